@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedweave.functions import scalars as S
@@ -88,17 +88,25 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     return timed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUNS.fields])
 
 
-def checkpoint_updates(run_events: DataFrame, seq: Column | None = None) -> DataFrame:
-    """What run events mean for the checkpoints of their sources."""
-    order = F.unix_micros(F.col("at").cast("timestamp")) * 2 + (F.col("status") != "running").cast("int")
+def no_checkpoints(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], CHECKPOINTS)
+
+
+def checkpoint_updates(
+    run_events: DataFrame, last_id: Column | None = None, last_timestamp: Column | None = None
+) -> DataFrame:
+    """What run events mean for the checkpoints of their sources; an end sorts after a start."""
+    ended = (F.col("status") != "running").cast("int")
     return run_events.select(
         "source_type",
-        (order if seq is None else seq).alias("seq"),
+        (F.unix_micros(F.col("at").cast("timestamp")) * 2 + ended).alias("seq"),
         "at",
         "status",
         F.coalesce("records_processed", F.lit(0)).alias("records_processed"),
-        S.null_text().alias("last_processed_id"),
-        F.lit(None).cast("timestamp").alias("last_processed_timestamp"),
+        (S.null_text() if last_id is None else last_id).alias("last_processed_id"),
+        (F.lit(None) if last_timestamp is None else last_timestamp)
+        .cast("timestamp")
+        .alias("last_processed_timestamp"),
         "error_message",
         "extra_metadata",
     )

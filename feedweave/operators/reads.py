@@ -58,10 +58,10 @@ def page_of(records: DataFrame, page: int = 1, page_size: int = 50) -> DataFrame
     offset = (page - 1) * page_size
     if offset + page_size <= TOP_ROWS:
         return public(records.orderBy(*_newest_first()).offset(offset).limit(page_size))
-    return public(_deep_page(records, offset, page_size))
+    return public(deep_page(records, offset, page_size))
 
 
-def _deep_page(records: DataFrame, offset: int, page_size: int) -> DataFrame:
+def deep_page(records: DataFrame, offset: int, page_size: int) -> DataFrame:
     """A page far down: range-partition once, count the ranges, read only those that matter."""
     ranged = records.repartitionByRange(*_newest_first()).withColumn(
         "_range", F.spark_partition_id()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -119,7 +120,8 @@ Strategy = Callable[[Clues, AliasBook], Column]
 def _lookup(entries: dict[str, str], key: Column) -> Column:
     if not entries:
         return S.null_text()
-    literal = F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+    # One literal text, folded to a constant map when the plan is optimised.
+    literal = F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
     return F.try_element_at(literal, key)
 
 
@@ -151,9 +153,9 @@ def alias_in_title(clues: Clues, book: AliasBook) -> Column:
     """First alias, in dictionary order, that contains the title or is contained in it."""
     if not book.aliases:
         return S.null_text()
-    entries = F.array(
-        *[F.struct(F.lit(a).alias("alias"), F.lit(c).alias("canonical"))
-          for a, c in book.aliases.items()]
+    listed = [{"alias": a, "canonical": c} for a, c in book.aliases.items()]
+    entries = F.from_json(
+        F.lit(json.dumps(listed)), "array<struct<alias:string,canonical:string>>"
     )
     key = clues.title_key
     hits = F.filter(
