@@ -75,28 +75,27 @@ def natural_source_id(
     guid: Column | None = None,
     link: Column | None = None,
     content: Column | None = None,
-    keys: Column | None = None,
+    present: Mapping[str, Column] | None = None,
 ) -> Column:
     """``prefix_id``, else ``prefix_guid``, else a short hash of link or content.
 
-    The first *present* field decides. ``keys`` lists the fields a record carries; without
-    it a field counts as present when it is not null.
+    The first *present* field decides. ``present`` says per field whether a record carries
+    it; without it a field counts as present when it is not null.
     """
     head = F.lit(prefix) if isinstance(prefix, str) else prefix
 
-    def present(name: str, value: Column) -> Column:
-        return F.array_contains(keys, name) if keys is not None else value.isNotNull()
-
     def joined(tail: Column) -> Column:
         return F.concat(head, F.lit("_"), F.coalesce(tail, F.lit("None")))
 
-    out = joined(F.substring(F.md5(content), 1, 16)) if content is not None else null_text()
-    if link is not None:
-        out = F.when(present("link", link), joined(F.substring(F.md5(link), 1, 16))).otherwise(out)
-    if guid is not None:
-        out = F.when(present("guid", guid), joined(guid)).otherwise(out)
-    if id is not None:
-        out = F.when(present("id", id), joined(id)).otherwise(out)
+    def short_hash(text: Column) -> Column:
+        return joined(F.substring(F.md5(text), 1, 16))
+
+    out = short_hash(content) if content is not None else null_text()
+    options = [("link", link, short_hash), ("guid", guid, joined), ("id", id, joined)]
+    for name, value, shape in options:
+        if value is not None:
+            given = value.isNotNull() if present is None else present[name]
+            out = F.when(given, shape(value)).otherwise(out)
     return out
 
 
@@ -115,11 +114,14 @@ def raw_json(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def first_present(keys: Column, options: list[tuple[str, Column]], default: Column) -> Column:
-    """Value of the first field the record carries, even when that value is null."""
+def first_present(options: list[tuple[Column, Column]], default: Column) -> Column:
+    """Value of the first field the record carries, even when that value is null.
+
+    ``options`` holds (is the field there, its value) in the order they are tried.
+    """
     out = default
-    for name, value in reversed(options):
-        out = F.when(F.array_contains(keys, name), value).otherwise(out)
+    for given, value in reversed(options):
+        out = F.when(given, value).otherwise(out)
     return out
 
 

@@ -12,7 +12,7 @@ from feedweave.functions import scalars as S
 from feedweave.functions.similarity import name_similarity
 from feedweave.operators.normalize import json_kind
 from feedweave.schemas import DRIFT_LOG, MISMATCH, SUGGESTION
-from feedweave.session import broadcast_if_small
+from feedweave.session import broadcast_if_small, stage
 
 # Weights of the three kinds of drift and the thresholds used on the result.
 MISSING_WEIGHT = 0.4
@@ -150,39 +150,29 @@ def detect(
     )
 
 
-def name_pairs(drift: DataFrame) -> DataFrame:
-    """Distinct (missing, extra) field names seen together in some record."""
-    shapes = (
-        drift.filter((F.size("missing_fields") > 0) & (F.size("extra_fields") > 0))
-        .select("missing_fields", "extra_fields")
-        .distinct()
-    )
-    return (
-        shapes.select(F.explode("missing_fields").alias("missing_field"), "extra_fields")
-        .select("missing_field", F.explode("extra_fields").alias("suggested_field"))
-        .distinct()
-    )
-
+def field_shapes(drift: DataFrame) -> DataFrame:
+    """Distinct (missing, extra) field lists; few, however many records there are."""
+    both = (F.size("missing_fields") > 0) & (F.size("extra_fields") > 0)
+    return drift.filter(both).select("missing_fields", "extra_fields").distinct()
 
-def scored_pairs(drift: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
-    ratio = name_similarity("missing_field", "suggested_field")
-    return (
-        name_pairs(drift)
-        .withColumn("ratio", ratio)
-        .filter(F.col("ratio") > threshold)
-        .withColumn("similarity", F.round("ratio", 3))
-    )
 
+def suggestions(shapes: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
+    """Rename suggestions per distinct field shape: the closest extra name, ties by name.
 
-def suggestions(drift: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
-    """Rename suggestions per distinct field shape: the closest extra name, ties by name."""
-    pairs = scored_pairs(drift, threshold)
-    shapes = drift.select("missing_fields", "extra_fields").distinct()
+    Each pair of names is scored once, in however many shapes it occurs.
+    """
     exploded = shapes.withColumn("missing_field", F.explode("missing_fields")).withColumn(
         "suggested_field", F.explode("extra_fields")
     )
+    scored = (
+        exploded.select("missing_field", "suggested_field")
+        .distinct()
+        .withColumn("ratio", name_similarity("missing_field", "suggested_field"))
+        .filter(F.col("ratio") > threshold)
+        .withColumn("similarity", F.round("ratio", 3))
+    )
     best = (
-        exploded.join(pairs, ["missing_field", "suggested_field"])
+        exploded.join(scored, ["missing_field", "suggested_field"])
         .groupBy("missing_fields", "extra_fields", "missing_field")
         .agg(
             F.min_by(
@@ -198,8 +188,11 @@ def suggestions(drift: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> Da
 
 def with_suggestions(drift: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """Attach rename suggestions, computed once per distinct field shape."""
-    hints = broadcast_if_small(suggestions(drift, threshold))
     none = F.array().cast(T.ArrayType(SUGGESTION))
+    shapes = stage(field_shapes(drift), "shapes")
+    if shapes.isEmpty():
+        return drift.withColumn("fuzzy_suggestions", none)
+    hints = broadcast_if_small(stage(suggestions(shapes, threshold), "suggestions"))
     return drift.join(hints, ["missing_fields", "extra_fields"], "left").withColumn(
         "fuzzy_suggestions", F.coalesce("fuzzy_suggestions", none)
     )

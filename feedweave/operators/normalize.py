@@ -45,7 +45,7 @@ def parse_csv(df: DataFrame, source_type: str = "csv") -> DataFrame:
         source_type,
         **{f: F.col(f) for f in ("id", "guid", "link") if f in present},
         content=content,
-        keys=F.array(*[F.lit(c) for c in present]),
+        present={f: F.lit(True) for f in present},
     )
     record_id = F.col("id") if "id" in present else source_id
     title = _text(df, "title") if "title" in present else F.lit("")
@@ -74,12 +74,10 @@ def parse_csv(df: DataFrame, source_type: str = "csv") -> DataFrame:
 def json_kind(variant: Column, path: str) -> Column:
     """JSON type name of one field: STRING, BIGINT, VOID for null, SQL null when absent."""
     shape = F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
-    return F.regexp_extract(shape, r"^([A-Z]+)", 1)
+    return F.substring_index(F.substring_index(shape, "<", 1), "(", 1)
 
 
-def _number(variant: Column, path: str) -> Column:
-    kind = json_kind(variant, path)
-    text = F.try_variant_get(variant, path, "string")
+def _number(kind: Column, text: Column) -> Column:
     return F.when(kind == "BOOLEAN", (text == "true").cast("double")).when(
         ~kind.isin("OBJECT", "ARRAY"), S.safe_float(text)
     )
@@ -103,52 +101,56 @@ def parse_api(df: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> D
     """JSON records (a ``record`` variant and its ``raw_data`` text) to parsed records.
 
     Ids carry the prefix ``api_<feed>``; the source type is ``api1`` for the feed of that
-    name and ``api2`` for any other.
+    name and ``api2`` for any other. Each field is taken out of the record once, as text and
+    as type, and everything else is worked out from those.
     """
     prefix = f"api_{feed}"
     source_type = "api1" if feed == "api1" else "api2"
+    wanted = ["id", "guid", "link", "tags", *ALIAS_FIELDS]
+    for names in (mapping.title, mapping.description, mapping.value, mapping.category, mapping.timestamp):
+        wanted += [n for n in names if n not in wanted]
     record = F.col("record")
-    keyed = df.withColumn(
-        "fields", F.coalesce(F.json_object_keys("raw_data"), F.array().cast("array<string>"))
-    )
-    keys = F.col("fields")
+    taken = {f"t_{n}": F.try_variant_get(record, f"$.{n}", "string") for n in wanted}
+    taken |= {f"k_{n}": json_kind(record, f"$.{n}") for n in wanted}
+    keyed = df.select("record", "raw_data", *[c.alias(n) for n, c in taken.items()])
 
-    def text(path: str) -> Column:
-        return F.try_variant_get(record, path, "string")
+    def text(name: str) -> Column:
+        return F.col(f"t_{name}")
 
-    def pick(names: tuple[str, ...], get, default: Column) -> Column:
-        return S.first_present(keys, [(n, get(f"$.{n}")) for n in names], default)
+    def kind(name: str) -> Column:
+        return F.col(f"k_{name}")
 
-    def kind(path: str) -> Column:
-        return json_kind(record, path)
+    def there(name: str) -> Column:
+        return kind(name).isNotNull()
+
+    def pick(names: tuple[str, ...], get, default: Column) -> Column:
+        return S.first_present([(there(n), get(n)) for n in names], default)
 
     source_id = S.natural_source_id(
-        prefix, id=text("$.id"), guid=text("$.guid"), link=text("$.link"),
-        content=F.coalesce(S.sorted_json(F.col("raw_data")), F.col("raw_data")), keys=keys,
+        prefix, id=text("id"), guid=text("guid"), link=text("link"),
+        content=F.coalesce(S.sorted_json(F.col("raw_data")), F.col("raw_data")),
+        present={n: there(n) for n in ("id", "guid", "link")},
     )
-    record_id = F.when(F.array_contains(keys, "id"), text("$.id")).otherwise(source_id)
+    record_id = F.when(there("id"), text("id")).otherwise(source_id)
     title = pick(mapping.title, text, F.lit(""))
     tags = F.try_variant_get(record, "$.tags", "array<string>")
     tag_items = F.try_variant_get(record, "$.tags", "array<variant>")
-    tags_kind = kind("$.tags")
     tags_ok = (
-        F.coalesce(tags_kind, F.lit("VOID")).eqNullSafe("VOID")
-        | (tags_kind.eqNullSafe("ARRAY")
+        F.coalesce(kind("tags"), F.lit("VOID")).eqNullSafe("VOID")
+        | (kind("tags").eqNullSafe("ARRAY")
            & F.forall(
                F.coalesce(tag_items, F.array().cast("array<variant>")),
                lambda t: F.schema_of_variant(t).eqNullSafe("STRING"),
            ))
     )
     kinds = {
-        "id": F.when(F.array_contains(keys, "id"), kind("$.id")).otherwise("STRING"),
+        "id": F.coalesce(kind("id"), F.lit("STRING")),
         "name": pick(mapping.title, kind, F.lit("STRING")),
         "description": pick(mapping.description, kind, S.null_text()),
         "type": pick(mapping.category, kind, S.null_text()),
     }
-    stamp = pick(
-        mapping.timestamp, lambda p: F.when(kind(p) == "STRING", text(p)), S.null_text()
-    )
-    rules = {"not_an_object": ~kind("$").eqNullSafe("OBJECT")} | validate.api_rules(
+    stamp = pick(mapping.timestamp, lambda n: F.when(kind(n) == "STRING", text(n)), S.null_text())
+    rules = {"not_an_object": ~json_kind(record, "$").eqNullSafe("OBJECT")} | validate.api_rules(
         kinds, title, tags_ok
     )
     return keyed.select(
@@ -156,20 +158,18 @@ def parse_api(df: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> D
         source_id.alias("source_id"),
         title.alias("title"),
         pick(mapping.description, text, S.null_text()).alias("description"),
-        pick(mapping.value, lambda p: _number(record, p), F.lit(None).cast("double")).alias("value"),
+        pick(mapping.value, lambda n: _number(kind(n), text(n)), F.lit(None).cast("double")).alias("value"),
         pick(mapping.category, text, S.null_text()).alias("category"),
-        F.when(F.array_contains(keys, "tags"), tags)
-        .otherwise(F.array().cast("array<string>"))
-        .alias("tags"),
+        F.when(there("tags"), tags).otherwise(F.array().cast("array<string>")).alias("tags"),
         S.safe_timestamp(stamp).alias("source_timestamp"),
         F.create_map(
             F.lit("original_id"), record_id, F.lit("source_name"), F.lit(feed)
         ).alias("extra_metadata"),
         identity(
-            id=text("$.id"), link=text("$.link"), **{f: text(f"$.{f}") for f in ALIAS_FIELDS}
+            id=text("id"), link=text("link"), **{f: text(f) for f in ALIAS_FIELDS}
         ).alias("identity"),
         "raw_data",
-        "fields",
+        F.coalesce(F.json_object_keys("raw_data"), F.array().cast("array<string>")).alias("fields"),
         validate.failed_rules(rules).alias("reasons"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -125,6 +126,14 @@ def _lookup(entries: dict[str, str], key: Column) -> Column:
     return F.try_element_at(literal, key)
 
 
+def _any_of(words: Iterable[str]) -> str:
+    """Pattern that finds any of the words, branching on the first character."""
+    tails: dict[str, list[str]] = {}
+    for word in sorted(words):
+        tails.setdefault(word[0], []).append(re.escape(word[1:]))
+    return "|".join(f"{re.escape(head)}(?:{'|'.join(rest)})" for head, rest in tails.items())
+
+
 def symbol_of_id(clues: Clues, book: AliasBook) -> Column:
     """CSV ids of the form symbol-name; an unknown symbol keeps the id as it is."""
     id = clues.identity["id"]
@@ -161,6 +170,12 @@ def alias_in_title(clues: Clues, book: AliasBook) -> Column:
     hits = F.filter(
         entries, lambda e: F.contains(key, e["alias"]) | F.contains(e["alias"], key)
     )
+    # Most titles name nothing: one pattern and one search rule them out before the list is
+    # walked. A title with a line break may slip through the search and is then walked too.
+    possible = F.contains(F.lit("\n".join(book.aliases)), key)
+    if "" not in book.aliases:
+        possible = possible | key.rlike(_any_of(book.aliases))
+        return F.when(possible, F.get(hits, F.lit(0))["canonical"])
     return F.get(hits, F.lit(0))["canonical"]
 
 

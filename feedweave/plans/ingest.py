@@ -170,7 +170,7 @@ class Lake:
         self.quarantine.write(entry, validate.quarantine(staged))
 
         fresh = validate.valid(marked).filter(~F.col("skipped"))
-        latest = merge.last_wins(fresh, ["source_id"], [F.col("seq")])
+        latest = stage(merge.last_wins(fresh, ["source_id"], [F.col("seq")]), f"latest-{run_id}")
         counts = merge.ingest_counts(
             marked.select("source_type", "source_id", "reasons", "skipped"),
             self.records.read(source_type=feed.source_type),
@@ -202,13 +202,13 @@ class Lake:
         )
         return result, progress
 
-    def _upsert(self, table: Table, updates: DataFrame, plan, batch) -> None:
+    def _upsert(self, table: Table, rows: DataFrame, plan, batch) -> None:
+        """Merge staged rows, each key once, into the partitions they belong to."""
         applied = None
         if batch is not None:
             if table.applied(batch[0]) >= batch[1]:
                 return
             applied = {batch[0]: batch[1]}
-        rows = stage(updates, "updates")
         parts = table.parts_of(rows)
         if not parts:
             return
@@ -242,6 +242,6 @@ class Lake:
         at = F.lit(self.clock()).cast("timestamp")
         again = to_records(resolve.resolve(validate.valid(parsed), self.book, self.cascade), at)
         self._upsert(
-            self.records, again,
+            self.records, stage(again, "again"),
             lambda old, new, small_updates: merge.merge_records(old, new, at, small_updates), None,
         )

@@ -14,6 +14,7 @@ from feedweave.operators.metrics import drift_by_source as events_by_source
 from feedweave.plans import sql
 from feedweave.plans import tables as t
 from feedweave.plans.catalog import query
+from feedweave.session import stage
 
 
 @query("""SELECT event_id, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k,
@@ -89,9 +90,9 @@ def first_tag(spark, folder):
 def field_fallback(spark, folder):
     """The first field present decides, even when it holds null."""
     kind = F.col("event_type")
-    keys = F.when(kind == "click", F.array(F.lit("other"))).otherwise(F.array(F.lit("name"), F.lit("title")))
     name = F.when(kind != "view", kind)
-    picked = S.first_present(keys, [("name", name), ("title", F.lit("title"))], F.lit("fallback"))
+    options = [(kind != "click", name), (F.lit(False), F.lit("title"))]
+    picked = S.first_present(options, F.lit("fallback"))
     return t.table(spark, folder, "events").select("event_id", picked.alias("name"))
 
 
@@ -275,9 +276,11 @@ def _part_drift(spark, folder):
 @query()
 def drift_suggestions(spark, folder):
     """Rename suggestions for events and parts; the similarity has no SQL equivalent."""
-    of_events = D.suggestions(t.drift_of_events(spark, folder))
-    of_parts = D.suggestions(_part_drift(spark, folder))
-    return of_events.unionByName(of_parts).select(F.inline("fuzzy_suggestions")).distinct()
+    shapes = D.field_shapes(t.drift_of_events(spark, folder)).unionByName(
+        D.field_shapes(_part_drift(spark, folder))
+    )
+    found = D.suggestions(stage(shapes, "shapes"))
+    return found.select(F.inline("fuzzy_suggestions")).distinct()
 
 
 @query()

@@ -22,6 +22,8 @@ def build_session(app: str = "feedweave", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Generated methods beyond this size are not compiled by the JVM's JIT.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

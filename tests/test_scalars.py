@@ -25,7 +25,7 @@ def test_natural_source_id(spark):
     none = F.lit(None).cast("string")
     assert one(S.natural_source_id("x", id=none, guid=F.lit("g"), link=link)) == "x_g"
     # Presence decides, not the value.
-    assert one(S.natural_source_id("x", id=none, guid=F.lit("g"), keys=F.array(F.lit("id")))) == "x_None"
+    assert one(S.natural_source_id("x", id=none, guid=F.lit("g"), present={"id": F.lit(True), "guid": F.lit(False)})) == "x_None"
     content = S.content_text({"b": F.lit("2"), "a": F.lit(None)})
     digest = hashlib.md5(b'{"a":null,"b":"2"}').hexdigest()[:16]
     assert one(S.natural_source_id("x", id=none, content=content)) == f"x_{digest}"
