@@ -30,4 +30,4 @@ def paren_symbol(title: Column) -> Column:
 
 
 def url_slug(url: Column, pattern: str = COIN_URL) -> Column:
-    return _or_null(F.regexp_extract(F.lower(url), pattern, 1))
+    return F.get(F.regexp_extract_all(F.lower(url), F.lit(pattern), F.lit(1)), F.lit(0))

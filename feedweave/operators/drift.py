@@ -186,13 +186,15 @@ def suggestions(shapes: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> D
     )
 
 
-def with_suggestions(drift: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
+def with_suggestions(
+    drift: DataFrame, threshold: float = SIMILARITY_THRESHOLD, folder: str | None = None
+) -> DataFrame:
     """Attach rename suggestions, computed once per distinct field shape."""
     none = F.array().cast(T.ArrayType(SUGGESTION))
-    shapes = stage(field_shapes(drift), "shapes")
+    shapes = stage(field_shapes(drift), "shapes", folder)
     if shapes.isEmpty():
         return drift.withColumn("fuzzy_suggestions", none)
-    hints = broadcast_if_small(stage(suggestions(shapes, threshold), "suggestions"))
+    hints = broadcast_if_small(stage(suggestions(shapes, threshold), "suggestions", folder))
     return drift.join(hints, ["missing_fields", "extra_fields"], "left").withColumn(
         "fuzzy_suggestions", F.coalesce("fuzzy_suggestions", none)
     )

@@ -194,10 +194,14 @@ def trailing_calls(
     moments = (
         calls.groupBy(F.col(source).alias("source"), F.col(ts).alias("ts"))
         .agg(F.count("*").alias("calls"))
-        .withColumn("us", micros_of("ts"))
+        .withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     )
-    own = F.floor(F.col("us") / chunk)
-    lends = F.floor((F.col("us") + period - 1) / chunk)
+
+    def chunk_of(us: Column) -> Column:
+        return us - F.pmod(us, F.lit(chunk))
+
+    own = chunk_of(F.col("us"))
+    lends = chunk_of(F.col("us") + period - 1)
     placed = moments.withColumn("own_chunk", own).withColumn(
         "chunk", F.explode(F.array_distinct(F.array(own, lends)))
     )
@@ -211,10 +215,6 @@ def trailing_calls(
     )
 
 
-def micros_of(column: str) -> Column:
-    return F.unix_micros(F.col(column).cast("timestamp"))
-
-
 def rate_report(
     calls: DataFrame, source: str, ts: str, limit: int = 100, period_seconds: int = 60
 ) -> DataFrame:

@@ -263,11 +263,7 @@ def resolve_with_table(parsed: DataFrame, symbols: DataFrame) -> DataFrame:
         F.struct("source_type", "title", "identity"), {"ignoreNullFields": "false"}
     )
     keyed = parsed.withColumn("_clues", F.sha2(clue_text, 256))
-    distinct = keyed.groupBy("_clues").agg(
-        F.any_value("source_type").alias("source_type"),
-        F.any_value("title").alias("title"),
-        F.any_value("identity").alias("identity"),
-    )
+    distinct = keyed.select("_clues", "source_type", "title", "identity").distinct()
     title_key = S.strip(F.lower("title"))
     id, link = F.col("identity.id"), F.col("identity.link")
     is_symbol_id = (F.col("source_type") == "csv") & F.contains(id, F.lit("-"))

@@ -7,6 +7,7 @@ import hashlib
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from feedweave import schemas
 from feedweave.operators import bookkeeping, drift, merge, resolve, validate
 from feedweave.operators.normalize import ApiMapping, parse_api, parse_csv, parse_rss, to_records
-from feedweave.session import BROADCAST_BYTES, measured_bytes, stage
+from feedweave.session import BROADCAST_BYTES, measured_bytes, scratch, stage
 from feedweave.sources import files
 from feedweave.store import Log, Table
 
@@ -118,7 +119,7 @@ class Lake:
         self.spark, self.root = spark, root.rstrip("/")
         self.book, self.cascade, self.clock = book, cascade, clock
         by = ["source_type"]
-        self.records = Table(spark, f"{root}/records", schemas.RECORDS, "source_id", by, buckets)
+        self.records = Table(spark, f"{root}/records", schemas.RECORDS, "source_id", by, buckets, ["canonical_id"])
         self.raw = Table(spark, f"{root}/raw_records", schemas.RAW_RECORDS, "source_id", by, buckets)
         self.checkpoints = Table(spark, f"{root}/checkpoints", schemas.CHECKPOINTS, "source_type")
         self.run_events = Log(spark, f"{root}/run_events", schemas.RUN_EVENTS)
@@ -143,7 +144,8 @@ class Lake:
         run_id = f"run_{started:%Y%m%d_%H%M%S}_{tail}"
         self._note(run_id, feed.name, started, "running", metadata=metadata or {})
         try:
-            result, mark = self._ingest(feed, run_id, started, incremental, batch)
+            with scratch(self.spark, run_id) as folder:
+                result, mark = self._ingest(feed, run_id, started, incremental, batch, folder)
         except Exception as error:  # the books must show the failure, whatever it was
             log.exception("run %s of %s failed", run_id, feed.name)
             self._note(run_id, feed.name, self.clock(), "failure", error=str(error))
@@ -151,9 +153,12 @@ class Lake:
         self._note(run_id, feed.name, self.clock(), "success", result=result, mark=mark)
         return result
 
-    def _ingest(self, feed: Feed, run_id: str, started: dt.datetime, incremental: bool, batch):
+    def _ingest(
+        self, feed: Feed, run_id: str, started: dt.datetime, incremental: bool,
+        batch: tuple[str, int] | None, folder: str,
+    ):
         parsed = feed.parse().withColumn("seq", F.monotonically_increasing_id())
-        staged = stage(resolve.resolve(parsed, self.book, self.cascade), f"batch-{run_id}")
+        staged = stage(resolve.resolve(parsed, self.book, self.cascade), "batch", folder)
         mark = bookkeeping.high_water(self.checkpoints.read(), feed.name) if incremental else None
         stale = F.lit(False)
         if mark is not None:
@@ -162,7 +167,7 @@ class Lake:
         entry = f"{batch[0]}-{batch[1]:08d}" if batch else run_id
 
         checked = drift.detect(staged, feed.expected, mismatches=feed.mismatches)
-        drifted = drift.with_suggestions(checked.filter("has_drift"))
+        drifted = drift.with_suggestions(checked.filter("has_drift"), folder=folder)
         at = F.lit(started).cast("timestamp")
         self.drift_log.write(
             entry, drift.log_rows(drifted, F.lit(feed.name), F.col("source_id"), at)
@@ -170,10 +175,14 @@ class Lake:
         self.quarantine.write(entry, validate.quarantine(staged))
 
         fresh = validate.valid(marked).filter(~F.col("skipped"))
-        latest = stage(merge.last_wins(fresh, ["source_id"], [F.col("seq")]), f"latest-{run_id}")
+        latest = stage(merge.last_wins(fresh, ["source_id"], [F.col("seq")]), "latest", folder)
+        parts = self.records.parts_of(latest)
+        small = measured_bytes(latest) <= BROADCAST_BYTES
+        stored = self.records.read(parts).select("source_id")
+        if small:
+            stored = stored.join(F.broadcast(latest.select("source_id")), "source_id", "left_semi")
         counts = merge.ingest_counts(
-            marked.select("source_type", "source_id", "reasons", "skipped"),
-            self.records.read(source_type=feed.source_type),
+            marked.select("source_type", "source_id", "reasons", "skipped"), stored
         ).first()
         progress = fresh.agg(
             F.max("source_timestamp").alias("ts"), F.max_by("source_id", "seq").alias("id")
@@ -181,40 +190,34 @@ class Lake:
         newest = [t for t in (progress["ts"], mark) if t is not None]
         progress = {"id": progress["id"], "ts": max(newest, default=None)}
 
-        self._upsert(
-            self.raw,
-            latest.select(
-                "source_type", "source_id", F.lit(feed.name).alias("source_name"), "raw_data",
-                at.alias("ingested_at"),
-            ),
-            merge.merge_raw, batch,
+        raw = latest.select(
+            "source_type", "source_id", F.lit(feed.name).alias("source_name"), "raw_data",
+            at.alias("ingested_at"),
         )
+        self._upsert(self.raw, merge.merge_raw, raw, parts, small, batch)
         self._upsert(
-            self.records,
-            to_records(latest, at),
-            lambda old, new, small_updates: merge.merge_records(old, new, at, small_updates),
-            batch,
+            self.records, partial(merge.merge_records, as_of=at), to_records(latest, at), parts,
+            small, batch,
         )
+        names = ("processed", "inserted", "updated", "failed", "skipped")
         result = RunResult(
             run_id, feed.name, "success",
-            *([int(counts[f"records_{c}"]) for c in ("processed", "inserted", "updated", "failed", "skipped")]
-              if counts else [0] * 5),
+            *[int(counts[f"records_{n}"]) if counts else 0 for n in names],
         )
         return result, progress
 
-    def _upsert(self, table: Table, rows: DataFrame, plan, batch) -> None:
+    def _upsert(
+        self, table: Table, plan: Callable[..., DataFrame], rows: DataFrame, parts: list[str],
+        small: bool, batch: tuple[str, int] | None = None,
+    ) -> None:
         """Merge staged rows, each key once, into the partitions they belong to."""
         applied = None
         if batch is not None:
             if table.applied(batch[0]) >= batch[1]:
                 return
             applied = {batch[0]: batch[1]}
-        parts = table.parts_of(rows)
-        if not parts:
-            return
-        small = measured_bytes(rows) <= BROADCAST_BYTES
-        merged = plan(table.read(parts), rows, small_updates=small)
-        table.replace(merged, parts, applied)
+        if parts:
+            table.replace(plan(table.read(parts), rows, small_updates=small), parts, applied)
 
     def _note(
         self, run_id: str, source: str, at: dt.datetime, status: str,
@@ -240,8 +243,11 @@ class Lake:
     def renormalize(self, parsed: DataFrame) -> None:
         """Replace unified rows by re-parsed archive rows, keeping created_at."""
         at = F.lit(self.clock()).cast("timestamp")
-        again = to_records(resolve.resolve(validate.valid(parsed), self.book, self.cascade), at)
-        self._upsert(
-            self.records, stage(again, "again"),
-            lambda old, new, small_updates: merge.merge_records(old, new, at, small_updates), None,
-        )
+        with scratch(self.spark, "renormalize") as folder:
+            rows = resolve.resolve(validate.valid(parsed), self.book, self.cascade)
+            again = stage(to_records(rows, at), "again", folder)
+            small = measured_bytes(again) <= BROADCAST_BYTES
+            parts = self.records.parts_of(again)
+            self._upsert(
+                self.records, partial(merge.merge_records, as_of=at), again, parts, small
+            )

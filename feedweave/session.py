@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,18 +55,29 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one result feeds several jobs: the lineage is cut, a lost executor
     only costs a re-read, and later plans see the real size of the data.
     """
     spark = df.sparkSession
-    path = fresh_dir(spark, label)
+    path = f"{folder}/{label}" if folder else fresh_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder in the shared space that is deleted with all staged data at the end."""
+    path = fresh_dir(spark, label)
+    try:
+        yield path
+    finally:
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` as JSON text, computed by a distributed aggregate."""
     total = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()["b"]

@@ -68,9 +68,11 @@ class Table:
         key: str,
         partition_by: list[str] | None = None,
         buckets: int = 0,
+        sort_by: list[str] | None = None,
     ):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
         self.buckets = buckets
+        self.sort_by = list(sort_by or [])
         self.partition_by = list(partition_by or []) + (["bucket"] if buckets else [])
         self._folder = Folder(spark, self.path)
 
@@ -131,6 +133,9 @@ class Table:
         if self.partition_by:
             # Rebalancing splits oversized partitions and joins tiny ones before the write.
             out = out.hint("rebalance", *self.partition_by)
+            # Writing by partition sorts anyway; going on with the columns people look up by
+            # lets readers skip row groups.
+            out = out.sortWithinPartitions(*self.partition_by, *self.sort_by)
             out.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{home}")
         else:
             out.coalesce(1).write.parquet(f"{self.path}/{home}")
