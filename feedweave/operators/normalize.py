@@ -87,7 +87,8 @@ def _number(kind: Column, text: Column) -> Column:
 class ApiMapping:
     """Where a provider puts the unified fields.
 
-    Each list is tried in order and the first field *present* decides.
+    Each list is tried in order and the first field *present* decides. A dotted name reaches
+    into nested objects.
     """
 
     title: tuple[str, ...] = ("name", "title")
@@ -97,6 +98,13 @@ class ApiMapping:
     timestamp: tuple[str, ...] = ("created_at",)
 
 
+# Providers that quote prices under ``quotes.USD``, and with flat market columns.
+TICKER_FEED = ApiMapping(value=("quotes.USD.price", "amount", "value"))
+MARKET_FEED = ApiMapping(
+    value=("current_price", "amount", "value"), timestamp=("last_updated", "created_at")
+)
+
+
 def parse_api(df: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> DataFrame:
     """JSON records (a ``record`` variant and its ``raw_data`` text) to parsed records.
 
@@ -115,10 +123,10 @@ def parse_api(df: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> D
     keyed = df.select("record", "raw_data", *[c.alias(n) for n, c in taken.items()])
 
     def text(name: str) -> Column:
-        return F.col(f"t_{name}")
+        return F.col(f"`t_{name}`")
 
     def kind(name: str) -> Column:
-        return F.col(f"k_{name}")
+        return F.col(f"`k_{name}`")
 
     def there(name: str) -> Column:
         return kind(name).isNotNull()

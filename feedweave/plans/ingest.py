@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweave import schemas
-from feedweave.operators import bookkeeping, drift, merge, resolve, validate
+from feedweave.operators import bookkeeping, drift, merge, metrics, resolve, validate
 from feedweave.operators.normalize import ApiMapping, parse_api, parse_csv, parse_rss, to_records
-from feedweave.session import BROADCAST_BYTES, measured_bytes, scratch, stage
+from feedweave.session import BROADCAST_BYTES, scratch, stage
 from feedweave.sources import files
 from feedweave.store import Log, Table
 
@@ -129,6 +129,17 @@ class Lake:
     def runs(self) -> DataFrame:
         return bookkeeping.runs_from_events(self.run_events.read())
 
+    def metrics(self) -> DataFrame:
+        """All metrics of the lake as one JSON document."""
+        at = F.lit(self.clock()).cast("timestamp")
+        return metrics.document(
+            self.runs(), self.records.read(), self.drift_log.read(), self.checkpoints.read(), at
+        )
+
+    def write_event_log(self, path: str) -> None:
+        """Runs and drift as structured log lines."""
+        metrics.event_log(self.runs(), self.drift_log.read()).write.text(path)
+
     def run_all(self, feeds: Sequence[Feed], incremental: bool = True) -> list[RunResult]:
         """Run each feed; a failing one does not stop the others."""
         return [self.run(feed, incremental=incremental) for feed in feeds]
@@ -176,8 +187,8 @@ class Lake:
 
         fresh = validate.valid(marked).filter(~F.col("skipped"))
         latest = stage(merge.last_wins(fresh, ["source_id"], [F.col("seq")]), "latest", folder)
-        parts = self.records.parts_of(latest)
-        small = measured_bytes(latest) <= BROADCAST_BYTES
+        sizes = self.records.sizes_of(latest)
+        parts, small = list(sizes), sum(sizes.values()) <= BROADCAST_BYTES
         stored = self.records.read(parts).select("source_id")
         if small:
             stored = stored.join(F.broadcast(latest.select("source_id")), "source_id", "left_semi")
@@ -246,8 +257,8 @@ class Lake:
         with scratch(self.spark, "renormalize") as folder:
             rows = resolve.resolve(validate.valid(parsed), self.book, self.cascade)
             again = stage(to_records(rows, at), "again", folder)
-            small = measured_bytes(again) <= BROADCAST_BYTES
-            parts = self.records.parts_of(again)
+            sizes = self.records.sizes_of(again)
+            small = sum(sizes.values()) <= BROADCAST_BYTES
             self._upsert(
-                self.records, partial(merge.merge_records, as_of=at), again, parts, small
+                self.records, partial(merge.merge_records, as_of=at), again, list(sizes), small
             )

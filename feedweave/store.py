@@ -110,13 +110,21 @@ class Table:
             reader = reader.option("basePath", self.path)
         return reader.parquet(*where).select(*self.schema.fieldNames())
 
+    def sizes_of(self, df: DataFrame) -> dict[str, int]:
+        """Partitions that rows of ``df`` belong to, with the size of the rows as JSON text.
+
+        At most sources x buckets values come back, from one distributed aggregate.
+        """
+        size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("size")
+        rows = self._placed(df).groupBy(*self.partition_by).agg(size).collect()
+        return {
+            "/".join(f"{c}={r[c]}" for c in self.partition_by): int(r["size"])
+            for r in rows
+            if r["size"] is not None
+        }
+
     def parts_of(self, df: DataFrame) -> list[str]:
-        """Partitions that rows of ``df`` belong to: at most sources x buckets values."""
-        if not self.partition_by:
-            return [""]
-        placed = self._placed(df)
-        rows = placed.select(*self.partition_by).distinct().collect()
-        return ["/".join(f"{c}={r[c]}" for c in self.partition_by) for r in rows]
+        return list(self.sizes_of(df))
 
     def _placed(self, df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", self.bucket()) if self.buckets else df
