@@ -277,11 +277,11 @@ def resolve_with_table(parsed: DataFrame, symbols: DataFrame) -> DataFrame:
     first_steps = [
         probe(0, "symbol", F.when(is_symbol_id, F.lower(F.substring_index(id, "-", 1)))),
         *[probe(i, "alias", S.strip(F.lower(F.col(f"identity.{f}"))))
-          for i, f in enumerate(ALIAS_FIELDS, start=2)],
-        probe(6, "alias", title_key),
-        probe(7, "alias", F.lower(paren_symbol(F.col("title")))),
-        probe(8, "part", title_key),
-        probe(9, "alias", F.when(F.col("source_type") == "rss", url_slug(link))),
+          for i, f in enumerate(ALIAS_FIELDS, start=1)],
+        probe(5, "alias", title_key),
+        probe(6, "alias", F.lower(paren_symbol(F.col("title")))),
+        probe(7, "part", title_key),
+        probe(8, "alias", F.when(F.col("source_type") == "rss", url_slug(link))),
     ]
     probes = distinct.select(
         "_clues",
@@ -290,7 +290,7 @@ def resolve_with_table(parsed: DataFrame, symbols: DataFrame) -> DataFrame:
                 F.array(*first_steps),
                 F.coalesce(
                     F.transform(
-                        _title_parts(title_key, length_list), lambda p: probe(8, "alias", p)
+                        _title_parts(title_key, length_list), lambda p: probe(7, "alias", p)
                     ),
                     F.array().cast("array<struct<step:int,kind:string,key:string>>"),
                 ),
@@ -313,28 +313,26 @@ def resolve_with_table(parsed: DataFrame, symbols: DataFrame) -> DataFrame:
         )
         .unionByName(by_part.select(F.lit("part").alias("kind"), "key", "ord", "canonical"))
     )
-    found = probes.join(broadcast_if_small(entries), ["kind", "key"]).select(
-        "_clues", "step", "ord", "canonical"
+    found = probes.join(broadcast_if_small(entries), ["kind", "key"])
+    later = F.col("step") > 0
+    answers = found.groupBy("_clues").agg(
+        F.max(F.when(~later, F.col("canonical"))).alias("_by_symbol"),
+        F.min_by(
+            F.when(later, F.col("canonical")), F.when(later, F.struct("step", "ord"))
+        ).alias("_by_alias"),
     )
-    # An unrecognised symbol id answers before every later step, a link after them.
-    as_is = distinct.select(
-        "_clues", F.lit(1).alias("step"), F.lit(0).alias("ord"), F.when(is_symbol_id, id).alias("canonical")
-    ).unionByName(
-        distinct.select(
-            "_clues", F.lit(10).alias("step"), F.lit(0).alias("ord"),
-            F.when(F.col("source_type") == "rss", url_slug(link)).alias("canonical"),
-        )
-    ).filter(F.col("canonical").isNotNull())
-    answers = (
-        found.select("_clues", "step", F.col("ord").cast("long"), "canonical")
-        .unionByName(as_is.withColumn("ord", F.col("ord").cast("long")))
-        .groupBy("_clues")
-        .agg(F.min_by("canonical", F.struct("step", "ord")).alias("_answer"))
+    # What needs no dictionary is worked out on the rows themselves.
+    answer = F.coalesce(
+        "_by_symbol",
+        F.when(is_symbol_id, id),
+        "_by_alias",
+        F.when(F.col("source_type") == "rss", url_slug(link)),
+        slug(F.col("title")),
     )
     return (
         keyed.join(answers, "_clues", "left")
-        .withColumn("canonical_id", F.coalesce("_answer", slug(F.col("title"))))
-        .drop("_clues", "_answer")
+        .withColumn("canonical_id", answer)
+        .drop("_clues", "_by_symbol", "_by_alias")
     )
 
 

@@ -49,13 +49,15 @@ class RunResult:
 class Feed:
     """What a run needs to know about one source.
 
-    ``parse`` gives parsed records; ``expected`` and ``mismatches`` describe its drift check.
+    ``parse`` gives parsed records; ``expected`` and ``mismatches`` describe its drift check,
+    ``inspect`` adds what that check looks at.
     """
 
     name: str
     parse: Callable[[], DataFrame]
     expected: Mapping[str, str] | None = None
     mismatches: Column | None = None
+    inspect: Callable[[DataFrame], DataFrame] = lambda rows: rows
 
     @property
     def source_type(self) -> str:
@@ -82,12 +84,12 @@ def api_feed(
     mapping: ApiMapping = ApiMapping(),
 ) -> Feed:
     expected = schemas.EXPECTED_FIELDS["api"]
-    record = F.try_parse_json("raw_data")
     return Feed(
         name,
         lambda: parse_api(files.read_json_payloads(spark, path, whole_files), name, mapping),
         expected,
-        drift.json_mismatches(record, expected),
+        drift.json_mismatches(F.col("record"), expected),
+        files.as_records,
     )
 
 
@@ -177,7 +179,7 @@ class Lake:
         marked = staged.withColumn("skipped", stale)
         entry = f"{batch[0]}-{batch[1]:08d}" if batch else run_id
 
-        checked = drift.detect(staged, feed.expected, mismatches=feed.mismatches)
+        checked = drift.detect(feed.inspect(staged), feed.expected, mismatches=feed.mismatches)
         drifted = drift.with_suggestions(checked.filter("has_drift"), folder=folder)
         at = F.lit(started).cast("timestamp")
         self.drift_log.write(

@@ -9,6 +9,7 @@ from feedweave.functions import scalars as S
 from feedweave.functions.text import url_slug
 from feedweave.operators import bookkeeping, drift
 from feedweave.operators.normalize import identity, parse_api, parse_csv, parse_rss, to_records
+from feedweave.sources.files import as_records
 
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 PATH_LANGUAGE = r"^https?://[^/]+/([a-z]{2})/"
@@ -59,7 +60,7 @@ def event_json(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def api_records(df: DataFrame, feed: str) -> DataFrame:
-    return parse_api(df.select(F.try_parse_json("raw_data").alias("record"), "raw_data"), feed)
+    return parse_api(as_records(df), feed)
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,8 +218,8 @@ def drifting_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def drift_of_events(spark: SparkSession, folder: str) -> DataFrame:
     raw = drifting_json(spark, folder).withColumn("fields", F.json_object_keys("raw_data"))
-    record = F.try_parse_json("raw_data")
-    return drift.detect(raw, EVENT_FIELDS, mismatches=drift.json_mismatches(record, EVENT_FIELDS))
+    mismatches = drift.json_mismatches(F.col("record"), EVENT_FIELDS)
+    return drift.detect(as_records(raw), EVENT_FIELDS, mismatches=mismatches).drop("record")
 
 
 def drift_log(spark: SparkSession, folder: str) -> DataFrame:

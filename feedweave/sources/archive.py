@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweave.operators.normalize import ALIAS_FIELDS, ApiMapping, parse_api, parse_csv, parse_rss
-from feedweave.sources.files import CSV_COLUMNS
+from feedweave.sources.files import CSV_COLUMNS, as_records
 
 
 def archived_csv(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -19,7 +19,7 @@ def archived_csv(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def archived_api(raw: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> DataFrame:
     rows = raw.filter((F.col("source_type") != "csv") & (F.col("source_name") == feed))
-    return parse_api(rows.select(F.try_parse_json("raw_data").alias("record"), "raw_data"), feed, mapping)
+    return parse_api(as_records(rows.select("raw_data")), feed, mapping)
 
 
 def archived_rss(raw: DataFrame) -> DataFrame:

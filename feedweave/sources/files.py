@@ -81,6 +81,15 @@ def read_csv(
     return clean_csv(raw)
 
 
+def as_records(df: DataFrame, column: str = "raw_data") -> DataFrame:
+    """Parse JSON texts into a ``record`` variant; null where the text is not JSON.
+
+    The one-element explode keeps later filters above the parse. Pushed below, they would
+    parse each text again for every field they look at.
+    """
+    return df.withColumn("record", F.explode(F.array(F.try_parse_json(column))))
+
+
 def unwrap_payload(df: DataFrame, column: str = "value") -> DataFrame:
     """One row per record of each API response text.
 
