@@ -142,6 +142,11 @@ class Lake:
         """Runs and drift as structured log lines."""
         metrics.event_log(self.runs(), self.drift_log.read()).write.text(path)
 
+    def prune(self, keep: int = 2) -> None:
+        """Give back the space of replaced partitions."""
+        for table in (self.records, self.raw, self.checkpoints):
+            table.prune(keep)
+
     def run_all(self, feeds: Sequence[Feed], incremental: bool = True) -> list[RunResult]:
         """Run each feed; a failing one does not stop the others."""
         return [self.run(feed, incremental=incremental) for feed in feeds]

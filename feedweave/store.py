@@ -43,6 +43,10 @@ class Folder:
         finally:
             stream.close()
 
+    def delete(self, name: str) -> None:
+        fs, path = self._at(name)
+        fs.delete(path, True)
+
     def publish_text(self, name: str, text: str) -> None:
         """Write under a temporary name, then rename; an existing file is never replaced."""
         fs, path = self._at(name)
@@ -172,6 +176,32 @@ class Table:
         return found
 
 
+    def prune(self, keep: int = 2) -> int:
+        """Delete partition data that none of the last ``keep`` listings names.
+
+        Readers of older listings must be done. Data of a writer that has not published yet
+        carries a later version and is left alone. Returns the number of partitions deleted.
+        """
+        found = [n for n in self._folder.names("listings") if n.endswith(".json")]
+        if not found:
+            return 0
+        kept = [json.loads(self._folder.read_text(f"listings/{n}")) for n in found[-keep:]]
+        named = {(home, part) for listing in kept for part, home in listing["parts"].items()}
+        latest, deleted = kept[-1]["version"], 0
+        for home in self._folder.names():
+            version = home.removeprefix("home=").split("-")[0]
+            if not version.isdigit() or int(version) > latest:
+                continue
+            parts = self._written(home)
+            old = [p for p in parts if (home, p) not in named]
+            for part in [""] if len(old) == len(parts) else old:
+                self._folder.delete(f"{home}/{part}".rstrip("/"))
+            deleted += len(old)
+        for name in found[:-keep]:
+            self._folder.delete(f"listings/{name}")
+        return deleted
+
+
 class Log:
     """Append-only rows; each entry is a folder that a retry overwrites."""
 

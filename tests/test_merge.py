@@ -129,3 +129,19 @@ def test_store_replaces_only_touched_parts(spark, tmp_path, target, updates):
     # A second writer that started from the same listing must not win silently.
     with pytest.raises(RuntimeError):
         table._folder.publish_text(f"listings/{table.listing()['version']:08d}.json", "{}")
+
+
+def test_prune_keeps_what_is_current(spark, tmp_path, target):
+    table = Table(spark, str(tmp_path / "t"), schemas.RECORDS, "source_id", ["source_type"], buckets=4)
+    for i in range(4):
+        table.replace(target.withColumn("title", F.lit(f"v{i}")), table.parts_of(target.filter("source_id = 'a'")) if i else None)
+    rows = sorted(map(str, table.read().collect()))
+    homes = len(table._folder.names())
+    assert table.prune(keep=1) > 0
+    assert len(table._folder.names()) < homes
+    assert sorted(map(str, table.read().collect())) == rows
+    assert table.prune(keep=1) == 0
+    small = Table(spark, str(tmp_path / "s"), schemas.RECORDS, "source_id")
+    for _ in range(3):
+        small.replace(target)
+    assert small.prune(keep=2) == 1 and small.read().count() == 2
