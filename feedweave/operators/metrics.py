@@ -187,8 +187,9 @@ def trailing_calls(
 
     A call exactly one period old has expired. Simultaneous calls are counted first, then
     each source is cut into time chunks that carry one period of the calls before them, so a
-    busy source is spread over many tasks. One row per (source, moment) with ``calls`` at
-    that moment and ``in_window``.
+    busy source is spread over many tasks. The count is a running sum, so it stays linear
+    however many calls a period holds. One row per (source, moment) with ``calls`` at that
+    moment and ``in_window``.
     """
     period, chunk = period_seconds * 1_000_000, max(chunk_seconds, period_seconds) * 1_000_000
     moments = (
@@ -205,13 +206,20 @@ def trailing_calls(
     placed = moments.withColumn("own_chunk", own).withColumn(
         "chunk", F.explode(F.array_distinct(F.array(own, lends)))
     )
-    frame = (
-        Window.partitionBy("source", "chunk").orderBy("us").rangeBetween(-(period - 1), 0)
+    # Calls come in at their moment and leave one period later, leavers first.
+    comes = F.struct(F.col("us").alias("at"), F.col("calls").alias("change"))
+    leaves = F.struct((F.col("us") + period).alias("at"), (-F.col("calls")).alias("change"))
+    changes = placed.withColumn("event", F.explode(F.array(comes, leaves))).select(
+        "source", "ts", "chunk", "own_chunk", "event.at", "event.change"
+    )
+    running = (
+        Window.partitionBy("source", "chunk").orderBy("at", "change")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        placed.withColumn("in_window", F.sum("calls").over(frame))
-        .filter("chunk = own_chunk")
-        .select("source", "ts", "calls", "in_window")
+        changes.withColumn("in_window", F.sum("change").over(running))
+        .filter("change > 0 and chunk = own_chunk")
+        .select("source", "ts", F.col("change").alias("calls"), "in_window")
     )
 
 
