@@ -38,3 +38,32 @@ def op6_packing(spark, folder):
     pieces = packing.pack(_table(spark, folder, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "cost")
+
+
+@_query
+def op2_toxicity(spark, folder):
+    from feedweave.llm import toxicity
+
+    docs = _table(spark, folder, "documents")
+    model = toxicity.train_on(docs, _table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(toxicity.held_out("doc_id"), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op4_line_dedup(spark, folder):
+    """What is left of every document: length, a digest of its text, and the number of lines cut."""
+    from feedweave.llm import lines
+
+    kept = lines.dedup_lines(_table(spark, folder, "documents"))
+    return kept.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"),
+                       F.col("lines_removed").cast("long").alias("lines_removed"))
+
+
+@_query
+def op8_jaccard_join(spark, folder):
+    from feedweave.llm import jaccard
+
+    found = jaccard.near_classes(_table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
