@@ -16,12 +16,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedweave.llm.prefilter import maybe_in
 from feedweave.llm.text import PUNCTUATION, chunks, mix, utf8, word_hashes
-from feedweave.session import stage
+from feedweave.session import fresh_dir, stage
 
 #: Taken off every count of the smaller class, and off those of the larger one in proportion, so that both hand about
 #: the same share to the shared counts: at least the first, and so many times the root of the class's words.
@@ -129,7 +131,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
 
 def _pair_counts(rows: DataFrame, words) -> DataFrame:
-    """(hash of the word before, number of the known word, toxic count, ordinary count); ``words`` is broadcast."""
+    """(32-bit hash of the word before, number of the known word, toxic count, ordinary count); ``words`` is broadcast."""
 
     def run(batches):
         table = words.value
@@ -141,16 +143,17 @@ def _pair_counts(rows: DataFrame, words) -> DataFrame:
                 left[before[:-1][before[:-1] < len(found)]] = 1
                 known = np.flatnonzero(number < len(table))
                 label = np.repeat(toxic[a:b], np.diff(before))[known].astype(np.int64)
-                left, number = left[known], number[known]
-                _, first, which = np.unique(mix(left) + number.astype(np.uint64), return_index=True, return_inverse=True)
-                t = np.bincount(which, weights=label, minlength=len(first)).astype(np.int64)
-                n = np.bincount(which, minlength=len(first))
+                pair = pair_keys(mix(left[known]) >> np.uint64(32), number[known])
+                pair, which = np.unique(pair, return_inverse=True)
+                t = np.bincount(which, weights=label, minlength=len(pair)).astype(np.int64)
+                n = np.bincount(which, minlength=len(pair))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(left[first].view(np.int64)), pa.array(number[first].astype(np.int32)), pa.array(t), pa.array(n - t)],
-                    names=["h", "w", "t", "o"])
+                    [pa.array(pair.view(np.int64)), pa.array(t), pa.array(n - t)], names=["pair", "t", "o"])
 
-    counted = rows.select("text", "toxic").mapInArrow(run, "h long, w int, t long, o long")
-    return counted.groupBy("h", "w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    counted = rows.select("text", "toxic").mapInArrow(run, "pair long, t long, o long")
+    counted = counted.groupBy("pair").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    return counted.select(F.shiftright("pair", 32).cast("int").alias("h"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int").alias("w"),
+                          "t", "o")
 
 
 def _top(counted: DataFrame, key: str, most: int) -> list[np.ndarray]:
@@ -170,14 +173,16 @@ def train(labelled: DataFrame, most_words: int = 1 << 17, most_pairs: int = 1 <<
     labels in either part the ratio itself, centred at 0, gives the score.
     """
     spark = labelled.sparkSession
+    folder = fresh_dir(spark, "toxicity")
     rows = labelled.filter("text IS NOT NULL AND toxic IS NOT NULL").select("text", F.col("toxic").cast("int").alias("toxic"))
+    rows = stage(rows, "labelled", folder)
     part = F.pmod(F.xxhash64("text"), F.lit(5))
     counted = rows.filter(part != 0)
     kept = _word_counts(counted).filter(
         (F.col("t") + F.col("o") >= LEAST_COUNT) & (F.col("contexts") >= LEAST_CONTEXTS))
     words = _top(kept.select("word", "t", "o"), "word", most_words)[0]
     shared_words = spark.sparkContext.broadcast(words)
-    pair_counts = stage(_pair_counts(counted, shared_words), "toxicity-pairs")
+    pair_counts = stage(_pair_counts(counted, shared_words), "pairs", folder)
 
     # Words of each class: in how many contexts each was met, discounted, and backed off to what both classes
     # share of them. Copies of a text add no contexts. Any other word is as likely in one class as in the other.
@@ -195,7 +200,8 @@ def train(labelled: DataFrame, most_words: int = 1 << 17, most_pairs: int = 1 <<
         word_p[c, :-1] = held + (1 - held.sum()) * share
 
     # Pairs that both classes know well refine the common words.
-    numbers = spark.createDataFrame(pa.table({"h": words.view(np.int64), "hn": np.arange(len(words), dtype=np.int64)}))
+    heads = (mix(words) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    numbers = spark.createDataFrame(pa.table({"h": heads, "hn": np.arange(len(words), dtype=np.int64)}))
     common = pair_counts.filter((F.col("t") >= LEAST_COUNT) & (F.col("o") >= LEAST_COUNT)).join(numbers, "h")
     pair = F.shiftleft("hn", 32).bitwiseOR(F.col("w").cast("long")).alias("pair")
     pairs, t, o = _top(common.select(pair, "t", "o"), "pair", most_pairs)
@@ -247,12 +253,24 @@ def _evidence(rows: DataFrame, model, keep: list[str]) -> DataFrame:
     return rows.select(*names, F.col("text").cast("string")).mapInArrow(run, ", ".join([*keep, "evidence double"]))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id`` and ``score`` (0 to 1) of every row; a null text is scored as an empty one."""
+def score_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1); a null text is scored as an empty one, a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    slope, offset = float(model.slope), float(model.offset)
-    found = _evidence(docs.select(F.col("doc_id").cast("long"), "text"), shared, ["doc_id long"])
-    return found.select("doc_id", (1 / (1 + F.exp(-(F.col("evidence") * slope + offset)))).alias("score"))
+    names = [c for c in docs.columns if c != "score"]
+
+    @F.pandas_udf("double")
+    def evidence(texts: pd.Series) -> pd.Series:
+        parts = [shared.value.evidence(words, before)
+                 for _, _, words, before in _texts(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"]), 0)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    found = docs.select(*[F.col(f"`{c}`") for c in names], evidence(F.col("text").cast("string")).alias("score"))
+    return found.withColumn("score", 1 / (1 + F.exp(-(F.col("score") * float(model.slope) + float(model.offset)))))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id`` and ``score`` of every row."""
+    return score_rows(docs.select(F.col("doc_id").cast("long"), "text"), model).select("doc_id", "score")
 
 
 def held_out(doc_id) -> F.Column:
@@ -263,4 +281,5 @@ def held_out(doc_id) -> F.Column:
 def train_on(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
     """Train on the labelled documents that are not held out; a document with several labels counts for each."""
     known = labels.select("doc_id", "toxic").filter(~held_out("doc_id") & F.col("toxic").isNotNull())
-    return train(docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic"), **bounds)
+    likely = maybe_in(docs.select("doc_id", "text"), "doc_id", known.select("doc_id"))
+    return train(likely.join(known, "doc_id").select("text", "toxic"), **bounds)
