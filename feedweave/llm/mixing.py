@@ -8,7 +8,7 @@ parts with a number each, since Poisson counts add up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP = 4.0
@@ -37,12 +37,11 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, expon
     else:
         named = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
         weighted = counts.withColumn("w", F.coalesce(F.try_element_at(named, F.col("source")), F.lit(0.0)).cast("double"))
-    # One row: totals over the sources.
-    total = weighted.agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
-    wanted = F.col("all_n") if size is None else F.lit(size)
-    return (weighted.crossJoin(F.broadcast(total))
-            .select("source", "n", F.coalesce(F.try_divide(F.col("w") * wanted, F.col("all_w") * F.col("n")), F.lit(0.0))
-                    .alias("rate")))
+    # Totals over the sources, of which there is a row each.
+    every = Window.partitionBy()
+    wanted = F.sum("n").over(every) if size is None else F.lit(size)
+    rate = F.try_divide(F.col("w") * wanted, F.sum("w").over(every) * F.col("n"))
+    return weighted.select("source", "n", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def poisson_count(rate, *seed) -> F.Column:
@@ -51,15 +50,17 @@ def poisson_count(rate, *seed) -> F.Column:
     part = rate / steps
     start = F.struct(F.exp(-part).alias("p"), F.exp(-part).alias("sum"), F.lit(0).alias("k"))
 
-    def one(step):
-        u = uniform(*seed, step)
-        end = F.aggregate(
-            F.sequence(F.lit(1), F.lit(LONGEST)), start,
-            lambda s, k: F.struct((s.p * part / k).alias("p"), (s.sum + F.when(s.sum <= u, s.p * part / k).otherwise(0.0)).alias("sum"),
-                                  (s.k + F.when(s.sum <= u, 1).otherwise(0)).alias("k")))
-        return end.k
+    def inverted(u):
+        def further(s, k):
+            p = s.p * part / k
+            beyond = s.sum <= u
+            return F.struct(p.alias("p"), F.when(beyond, s.sum + p).otherwise(s.sum).alias("sum"),
+                            F.when(beyond, s.k + 1).otherwise(s.k).alias("k"))
 
-    return F.aggregate(F.transform(F.sequence(F.lit(1), steps), one), F.lit(0), lambda a, b: a + b)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(LONGEST)), start, further, lambda s: s.k)
+
+    drawn = F.transform(F.sequence(F.lit(1), steps), lambda step: uniform(*seed, step))
+    return F.aggregate(F.transform(drawn, inverted), F.lit(0), lambda a, b: a + b)
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, exponent: float = 0.5,
@@ -75,8 +76,8 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, expone
     joined = docs.alias("d").join(rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate")).alias("r"),
                                   F.col(f"d.`{source_col}`").eqNullSafe(F.col("r._source")))
     count = poisson_count(F.col("r._rate"), F.col(f"d.`{id_col}`"), F.lit(seed))
-    copies = joined.withColumn("_n", count).filter("_n > 0").select(
-        *kept, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("mix_copy"))
+    copies = joined.select(*kept, F.posexplode(F.array_repeat(F.lit(True), count)).alias("_at", "_one"))
+    copies = copies.withColumn("mix_copy", F.col("_at") + 1).drop("_at", "_one")
     key = F.md5(F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("~")), F.lit(f"order{seed}"),
                             F.col("mix_copy").cast("string")).cast("binary"))
     return copies.withColumn("mix_key", key).orderBy("mix_key")

@@ -67,3 +67,73 @@ def op8_jaccard_join(spark, folder):
 
     found = jaccard.near_classes(_table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@_query
+def op1_html_extraction(spark, folder):
+    from feedweave.llm import mincut
+
+    return mincut.extract(_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@_query
+def op3_embedding_near_dedup(spark, folder):
+    from feedweave.llm import neardup
+
+    return neardup.near_vectors(_table(spark, folder, "embeddings"))
+
+
+@_query
+def op7_source_mixing(spark, folder):
+    """Copies of every document, mixed so that sources weigh as the roots of their sizes."""
+    from feedweave.llm import mixing
+
+    mixed = mixing.mix_sources(_table(spark, folder, "documents"), exponent=0.5, seed=7)
+    return mixed.select("doc_id", "source", F.col("mix_copy").cast("int").alias("mix_copy"), "mix_key",
+                        F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+SQL["op7_source_mixing"] = """
+WITH RECURSIVE counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (SELECT source, (pow(n::DOUBLE, 0.5) * (SELECT sum(n) FROM counts)) / ((SELECT sum(pow(n::DOUBLE, 0.5)) FROM counts) * n) AS rate
+  FROM counts),
+parts AS (SELECT source, greatest(1, ceil(rate / 4.0)::INT) AS steps, rate / greatest(1, ceil(rate / 4.0)::INT) AS part FROM rates),
+cdf AS (
+  SELECT source, part, 0 AS k, exp(-part) AS p, exp(-part) AS s FROM parts
+  UNION ALL
+  SELECT source, part, k + 1, p * part / (k + 1), s + p * part / (k + 1) FROM cdf WHERE k < 39),
+drawn AS (
+  SELECT doc_id, d.source, d.text,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '~') || '|7|' || step), 1, 13))::BIGINT / 4503599627370496.0 AS u, step
+  FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, p.steps + 1)) AS t(step)),
+numbers AS (
+  SELECT d.doc_id, d.source, d.text, d.step, count(c.k) AS n
+  FROM drawn d LEFT JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source AND c.s <= d.u
+  GROUP BY ALL),
+totals AS (SELECT doc_id, source, text, sum(n)::BIGINT AS n FROM numbers GROUP BY ALL)
+SELECT doc_id, source, copy::INT AS mix_copy, md5(coalesce(doc_id::VARCHAR, '~') || '|order7|' || copy) AS mix_key,
+  md5(text) AS text_md5
+FROM totals, unnest(range(1, n + 1)) AS t(copy)
+"""
+
+
+@_query
+def op9_chat_formatting(spark, folder):
+    from feedweave.llm import chat
+
+    turns = _table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(said).alias("text"))
+    turns = turns.unionByName(probe).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.digests(chat.format_turns(turns))
+
+
+@_query
+def op10_nearest_neighbours(spark, folder):
+    from feedweave.llm import nearest
+
+    vectors = _table(spark, folder, "embeddings")
+    return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
