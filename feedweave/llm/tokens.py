@@ -74,13 +74,17 @@ def read_tokens(spark: SparkSession, path: str, ids: list[int] | None = None) ->
     Given ``ids``, the look-up reaches the files as a pushed-down filter.
     """
     stored = spark.read.schema(SCHEMA).orc(path)
+    rows = stored if ids is None else stored.filter(F.col("doc_id").isin(ids))
+    return with_start(rows, stored).select("doc_id", "start", "n_tokens", "ids")
+
+
+def with_start(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """``rows`` of the files ``stored`` with ``start``, the number of ids in all rows before."""
     # One row for each file: what lies before it.
     shards = stored.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.select("shard", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    rows = stored if ids is None else stored.filter(F.col("doc_id").isin(ids))
-    return (rows.join(shards, "shard")
-            .select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", "ids"))
+    return rows.join(shards, "shard").withColumn("start", F.col("before") + F.col("shard_start"))
 
 
 def crc32_of_ids(rows: DataFrame, keep: list[str]) -> DataFrame:
