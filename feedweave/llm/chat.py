@@ -54,8 +54,13 @@ def _visit(state, part) -> F.Column:
     entry = F.struct(number.alias("number"), kind.alias("kind"), part.ref.alias("ref"),
                      (F.char_length(state.text)).alias("place"), _expansion(part).alias("tokens"))
     plain = kind == "text"
+    text = escaped(F.coalesce(part.text, F.lit("")))
+    # Two texts in a row must not make a control string either.
+    meets = (F.endswith(state.text, F.lit("#")) & F.startswith(text, F.lit("#"))) | (
+        F.endswith(state.text, F.lit("<")) & F.substring(text, 1, 1).isin("/", "|"))
+    text = F.when(meets, F.concat(F.lit("\\"), text)).otherwise(text)
     return F.struct(
-        F.concat(state.text, F.when(plain, escaped(F.coalesce(part.text, F.lit("")))).otherwise(mark)).alias("text"),
+        F.concat(state.text, F.when(plain, text).otherwise(mark)).alias("text"),
         F.when(plain, state.attachments).otherwise(F.concat(state.attachments, F.array(entry))).alias("attachments"))
 
 
