@@ -159,16 +159,20 @@ def _decide(percent: int):
     def make():
         def items(column):
             for a, b, sets, before in sets_of(column):
-                yield a, b, [sets[before[i] : before[i + 1]] for i in range(b - a)]
+                yield a, b, [[sets[before[i] : before[i + 1]], None] for i in range(b - a)]
 
-        def judge(own, other):
-            both = int(np.isin(own, other, assume_unique=True).sum())
-            if 100 * both >= percent * (len(own) + len(other) - both):
-                return True, []
-            a, b = (np.unique(signatures(x, np.array([0, len(x)]), percent)[0]) for x in (own, other))
-            return False, np.intersect1d(a, b, assume_unique=True).view(np.int64).tolist()
+        def linked(own, other):
+            a, b = own[0], other[0]
+            both = int(np.isin(a, b, assume_unique=True).sum())
+            return 100 * both >= percent * (len(a) + len(b) - both)
 
-        return items, judge
+        def common(own, other):
+            for item in (own, other):  # an item's signatures are worked out once
+                if item[1] is None:
+                    item[1] = np.unique(signatures(item[0], np.array([0, len(item[0])]), percent)[0])
+            return np.intersect1d(own[1], other[1], assume_unique=True).view(np.int64).tolist()
+
+        return items, linked, common
 
     return make
 

@@ -27,36 +27,42 @@ _UP = Powers()
 _DOWN = Powers(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
+def _common(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most`` (31 at most), by a 64-bit band along the diagonal."""
     if abs(len(a) - len(b)) > most:
         return False
-    head = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        head += 1
+    head = _common(a, b)
     a, b = a[head:], b[head:]
-    tail = 0
-    for x, y in zip(reversed(a), reversed(b)):
-        if x != y:
-            break
-        tail += 1
+    tail = _common(a[::-1], b[::-1])
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     if len(a) < len(b):
         a, b = b, a
     if not b or len(a) <= most:
         return len(a) <= most
-    places: dict[str, int] = {}
-    for i, x in enumerate(a):
-        places[x] = places.get(x, 0) | (1 << i)
     plus, minus = (_WORD << (63 - most)) & _WORD, 0
     score, row_end = most, 1 << 62
     worst = most + len(b) - (len(a) - most)
+    band = 2 * most + 1
     for i, x in enumerate(b):
-        low = most + i - 63
-        held = places.get(x, 0)
-        match = (held >> low if low >= 0 else held << -low) & _WORD
+        # The highest bit stands for the character ``most`` places ahead.
+        match, low = 0, i - most
+        for j, y in enumerate(a[max(low, 0) : i + most + 1], max(-low, 0)):
+            if x == y:
+                match |= 1 << (64 - band + j)
         flat = ((((match & plus) + plus) ^ plus) | match | minus) & _WORD
         rise = (minus | ~(flat | plus)) & _WORD
         fall = flat & plus
@@ -195,18 +201,20 @@ def _decide(distance: int, near: int):
     def make():
         def items(column):
             texts = column.to_pylist()
-            yield 0, len(texts), texts
+            for a, b, text, bounds in _code_points(column):
+                keys, owner = segment_keys(_Prefix(text), bounds[:-1], bounds[1:], distance, near)
+                order = np.argsort(owner, kind="stable")
+                ends = np.searchsorted(owner[order], np.arange(b - a + 1)).tolist()
+                keys = keys[order].view(np.int64).tolist()
+                yield a, b, [(texts[a + i], keys[ends[i] : ends[i + 1]]) for i in range(b - a)]
 
-        def keys_of(text):
-            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            return np.unique(segment_keys(_Prefix(points), np.zeros(1, np.int64), np.array([len(points)]), distance, near)[0])
+        def linked(own, other):
+            return within(own[0], other[0], distance)
 
-        def judge(own, other):
-            if within(own, other, distance):
-                return True, []
-            return False, np.intersect1d(keys_of(own), keys_of(other), assume_unique=True).view(np.int64).tolist()
+        def common(own, other):
+            return list(set(own[1]).intersection(other[1]))
 
-        return items, judge
+        return items, linked, common
 
     return make
 

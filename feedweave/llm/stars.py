@@ -79,12 +79,12 @@ def meetings(rows: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long, n int, kind byte")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
-    """(a, b, linked, keys) of pairs; ``keys`` are those that pairs which are not linked share.
+def verified(pairs: DataFrame, texts: DataFrame, decide: Callable, shared: bool = True) -> DataFrame:
+    """(a, b, linked, keys) of pairs; with ``shared``, ``keys`` are those that pairs which are not linked share.
 
     The partners of ``b`` come past ``b`` sorted by Spark, a few hundred in a share, so that a node of many pairs
     is dealt over tasks. ``decide`` makes of a column of texts an iterable of (first row, last row, items), and
-    of two items (linked, shared keys).
+    of two items whether they are linked, and the keys they share.
     """
     load = pairs.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("shares"))
     spread = pairs.join(load, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int").alias("share"))
@@ -94,7 +94,7 @@ def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
     dealt = side_b.unionByName(side_a).repartition("b", "share").sortWithinPartitions("b", "share", "side", "id")
 
     def run(batches):
-        items, judge = decide()
+        items, linked, common = decide()
         hub, hub_item = None, None
         for batch in batches:
             b, side, ids = (batch.column(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 2, 3))
@@ -104,8 +104,8 @@ def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
                     if side[i] == 0:
                         hub, hub_item = b[i], item
                     else:
-                        linked, keys = judge(item, hub_item)
-                        out.append((ids[i], hub, linked, keys))
+                        yes = linked(item, hub_item)
+                        out.append((ids[i], hub, yes, [] if yes or not shared else common(item, hub_item)))
             columns = list(zip(*out)) or [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -152,5 +152,5 @@ def linked_classes(met: DataFrame, texts: DataFrame, decide: Callable, shares_of
     third = (shares.join(others, "key")
              .filter((F.col("id") > F.col("b")) & (F.col("c") != F.col("cb")) & fits(F.col("n"), F.col("nb")))
              .select(F.col("id").alias("a"), "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"))
-    third = stage(verified(third, texts, decide), "verified-3", folder)
+    third = stage(verified(third, texts, decide, shared=False), "verified-3", folder)
     return components(links.unionByName(third.filter("linked").select("a", "b")))
