@@ -198,19 +198,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of_a = sizes.select(F.col("id").alias("a"), F.col("lead").alias("la"), F.col("n").alias("na"))
     of_b = sizes.select(F.col("id").alias("b"), F.col("lead").alias("lb"), F.col("n").alias("nb"))
 
-    def fits(a, b):
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
     met = found.filter(F.col("kind") == stars.SHARE).groupBy("a", "b").agg(F.sum("n").alias("times"))
     met = (met.join(of_a, "a").join(of_b, "b").filter("la <> lb")
            .select(F.greatest("la", "lb").alias("a"), F.least("la", "lb").alias("b"), "times",
-                   fits(F.col("na"), F.col("nb")).alias("fits"))
+                   (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).alias("fits"))
            .groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("fits").alias("fits")))
     met = stage(met, "pairs", folder)
     touched = met.select(F.col("a").alias("id")).union(met.select("b")).distinct()
     texts = stage(docs.join(touched, "id", "left_semi").dropDuplicates(["id"]), "texts", folder)
     classes = stars.linked_classes(met, texts, _decide(percent), lambda t: _signature_rows(t, percent, whole=False),
-                                   fits, folder)
+                                   lambda a, b: 100 * min(a, b) >= percent * max(a, b), folder)
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "lead").alias("component_id"))

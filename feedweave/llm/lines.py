@@ -244,7 +244,7 @@ def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least
     texts = stage(texts, "texts", folder)
     classes = stars.linked_classes(
         met, texts, _decide(distance, near), lambda t: _line_shares(t, distance, near),
-        lambda a, b: F.abs(a - b) <= distance, folder)
+        lambda a, b: abs(a - b) <= distance, folder)
     classes = stage(classes.select(F.col("id").alias("line"), "component"), "classes", folder)
 
     # The first line of each class; only lines that have another in their class come further.

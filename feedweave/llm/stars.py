@@ -2,8 +2,8 @@
 
 Rows (key, id) that share a key are candidates. Each is paired with the first of its key only; pairs are verified
 exactly and linked ones merged into classes. Where a pair was not linked, the keys it shares are opened:
-rows of such a key that are still in different classes are paired and verified too. So every
-candidate pair is either verified or already in one class.
+rows of such a key that are still in different classes are compared where they meet, in blocks. So every
+candidate pair is either compared or already in one class, and pairs that are not linked stay few.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedweave.llm.graph import components
@@ -23,6 +23,8 @@ from feedweave.session import stage
 NOTE, SHARE = 0, 1
 ROWS = "key long, id long, n int, other long, kind byte"
 PARTNERS = 200
+#: Rows of a key that are held at a time.
+IN_BLOCK = 1000
 
 
 def rows_of(key, own, n, other, kind: int) -> pa.RecordBatch:
@@ -79,8 +81,8 @@ def meetings(rows: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long, n int, kind byte")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, decide: Callable, shared: bool = True) -> DataFrame:
-    """(a, b, linked, keys) of pairs; with ``shared``, ``keys`` are those that pairs which are not linked share.
+def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
+    """(a, b, linked, keys) of pairs; ``keys`` are those that pairs which are not linked share.
 
     The partners of ``b`` come past ``b`` sorted by Spark, a few hundred in a share, so that a node of many pairs
     is dealt over tasks. ``decide`` makes of a column of texts an iterable of (first row, last row, items), and
@@ -105,7 +107,7 @@ def verified(pairs: DataFrame, texts: DataFrame, decide: Callable, shared: bool
                         hub, hub_item = b[i], item
                     else:
                         yes = linked(item, hub_item)
-                        out.append((ids[i], hub, yes, [] if yes or not shared else common(item, hub_item)))
+                        out.append((ids[i], hub, yes, [] if yes else common(item, hub_item)))
             columns = list(zip(*out)) or [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -123,7 +125,7 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def linked_classes(met: DataFrame, texts: DataFrame, decide: Callable, shares_of: Callable[[DataFrame], DataFrame],
-                   fits: Callable[[Column, Column], Column], folder: str) -> DataFrame:
+                   fits: Callable[[int, int], bool], folder: str) -> DataFrame:
     """``id, component`` of all items with a link.
 
     ``met``: staged candidates (a > b, times, fits); ``texts``: staged (id, text) of their ends; ``shares_of`` gives signature
@@ -148,9 +150,53 @@ def linked_classes(met: DataFrame, texts: DataFrame, decide: Callable, shares_of
                    .select("key", "id", "n", F.coalesce("component", "id").alias("c")), "open", folder)
     mixed = shares.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("key")
     shares = shares.join(mixed, "key", "left_semi")
-    others = shares.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    third = (shares.join(others, "key")
-             .filter((F.col("id") > F.col("b")) & (F.col("c") != F.col("cb")) & fits(F.col("n"), F.col("nb")))
-             .select(F.col("id").alias("a"), "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"))
-    third = stage(verified(third, texts, decide, shared=False), "verified-3", folder)
-    return components(links.unionByName(third.filter("linked").select("a", "b")))
+    third = stage(opened(shares, texts, decide, fits), "opened", folder)
+    return components(links.unionByName(third))
+
+
+def opened(shares: DataFrame, texts: DataFrame, decide: Callable, fits: Callable) -> DataFrame:
+    """Links (a, b) between rows of a key that are in different classes; ``shares`` are (key, id, n, c).
+
+    A key's rows are cut into blocks of bounded size. A block is held while the rows of earlier blocks come past, and
+    only links leave it: no pair that is not one is ever a row. Of the keys a pair shares, the smallest looks at it.
+    """
+    keys = shares.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    blocks = shares.groupBy("key").agg(F.ceil(F.count("*") / IN_BLOCK).cast("int").alias("blocks"))
+    rows = shares.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("block", F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)))
+    rows = rows.withColumn("role", (F.col("block") != F.col("own")).cast("int")).join(keys, "id").join(texts, "id")
+    rows = rows.select("key", "block", "role", "id", "n", "c", "keys", "text")
+    ordered = rows.repartition("key", "block").sortWithinPartitions("key", "block", "role", "id")
+
+    def run(batches):
+        items, linked, _ = decide()
+        current, held, root = None, [], {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        for batch in batches:
+            key, block, role, ids, n, c = (batch.column(i).to_pylist() for i in range(6))
+            shared = batch.column(6).to_pylist()
+            out = []
+            for first, last, found in items(batch.column(7)):
+                for i, item in zip(range(first, last), found):
+                    if current != (key[i], block[i]):
+                        current, held, root = (key[i], block[i]), [], {}
+                    mine, own = set(shared[i]), find(c[i])
+                    for other, other_n, other_c, other_keys, other_item in held:
+                        theirs = find(other_c)
+                        if own == theirs or not fits(n[i], other_n) or min(mine.intersection(other_keys)) != key[i]:
+                            continue
+                        if linked(item, other_item):
+                            out.append((ids[i], other))
+                            root[max(own, theirs)] = min(own, theirs)
+                            own = min(own, theirs)
+                    if role[i] == 0:
+                        held.append((ids[i], n[i], c[i], shared[i], item))
+            columns = list(zip(*out)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b"])
+
+    return ordered.mapInArrow(run, "a long, b long")
