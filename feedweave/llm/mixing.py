@@ -18,7 +18,7 @@ LONGEST = 40
 
 def uniform(*parts) -> F.Column:
     """A number in [0, 1) from the MD5 of the parts as text, parted by '|'."""
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("~")).cast("string")
+    digest = F.md5(F.concat_ws("|", *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("~"))
                                       for p in parts]).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 

@@ -136,7 +136,8 @@ def _compared(rows: DataFrame, cosine: float) -> DataFrame:
         for batch in batches:
             labels, cells, blocks, roles = (batch.column(i).to_pylist() for i in range(4))
             keys = list(zip(labels, cells, blocks, roles))
-            vectors = matrix(batch.column(6))
+            lengths = batch.column(6).value_lengths().to_numpy(zero_copy_only=False)
+            even = matrix(batch.column(6)) if len(lengths) and (lengths == lengths[0]).all() else None
             ids, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
             first = 0
             while first < len(keys):
@@ -145,16 +146,18 @@ def _compared(rows: DataFrame, cosine: float) -> DataFrame:
                     last += 1
                 for at in range(first, last, 512):
                     part = slice(at, min(at + 512, last))
+                    # Vectors of several lengths can come in one batch, not in one block.
+                    vectors = even[part] if even is not None else matrix(batch.column(6).slice(at, part.stop - at))
                     if keys[first][:3] != key:
                         if block is not None and not block.ready:
                             yield table(*block.settle())
                         key, block = keys[first][:3], _Block(cosine)
                     if keys[first][3] == 0:
-                        block.hold(ids[part], copies[part], vectors[part])
+                        block.hold(ids[part], copies[part], vectors)
                     else:
                         if not block.ready:
                             yield table(*block.settle())
-                        yield table(*block.visit(ids[part], copies[part], vectors[part]))
+                        yield table(*block.visit(ids[part], copies[part], vectors))
                 first = last
         if block is not None and not block.ready:
             yield table(*block.settle())
