@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedweave.llm import stars
+from feedweave.llm.prefilter import maybe_in
 from feedweave.llm.text import CHUNK_BYTES, WHITE, chunks, mix, shingles, utf8, word_hashes
 from feedweave.session import fresh_dir, stage
 
@@ -125,32 +126,71 @@ def sets_of(column: pa.Array):
         yield a, b, *shingles(words, before, SHINGLE)
 
 
-def _signature_rows(docs: DataFrame, percent: int, whole: bool = True) -> DataFrame:
-    """Signatures of all documents; one of equal sets of a few rows stands for the others.
+def sketch(elements: np.ndarray) -> bytes:
+    """Parity of the number of elements in each of a power of two of cells, four an element or more.
 
-    With ``whole``, a note holds the size and hash of every set, and one document of each group of copies has rows.
+    Two sketches differ in at most as many bits as their sets differ in elements.
     """
+    cells = max(64, 1 << int(4 * len(elements) - 1).bit_length())
+    place = (mix(elements ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (a row each) of fewer cells: halves are added up."""
+    while bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def may_link(n: int, own: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets can be linked, by size and sketch; ``others`` has a sketch in each row, as long as ``own`` or longer."""
+    fits = 100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)
+    apart = np.bitwise_count(folded(others, own.shape[0]) ^ own).sum(axis=1)
+    return fits & (apart <= differences(n, sizes, percent))
+
+
+def _content(n: int, elements: np.ndarray) -> bytes:
+    return n.to_bytes(4, "little") + sketch(elements)
+
+
+def _compare(percent: int):
+    def compare(content: bytes, held: list[bytes]) -> list[int]:
+        own_n, own = int.from_bytes(content[:4], "little"), np.frombuffer(content, np.uint8)[4:]
+        found = []
+        by_length: dict[int, list[int]] = {}
+        for i, other in enumerate(held):
+            by_length.setdefault(len(other) - 4, []).append(i)
+        for length, at in by_length.items():
+            raw = np.frombuffer(b"".join(held[i] for i in at), np.uint8).reshape(len(at), -1)
+            sizes = raw[:, :4].copy().view("<u4").reshape(-1).astype(np.int64)
+            mine = own if length >= len(own) else folded(own[None], length)[0]
+            found += np.asarray(at)[may_link(own_n, mine, sizes, raw[:, 4:], percent)].tolist()
+        return found
+
+    return compare
+
+
+def _signature_rows(docs: DataFrame, percent: int) -> DataFrame:
+    """A note with the size, hash and sketch of every set, and its signatures; one of equal sets of a few rows stands for all."""
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for a, b, sets, before in sets_of(batch.column(1)):
                 own, n = ids[a:b].astype(np.int64), np.diff(before)
-                chosen = np.arange(len(own))
-                if whole:
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets))])
-                    content = mix(total[before[1:]] - total[before[:-1]] + n.astype(np.uint64))
-                    spread = mix(own.astype(np.uint64))
-                    yield stars.rows_of(spread, own, n, content.view(np.int64), stars.NOTE)
-                    chosen = np.sort(np.unique(content, return_index=True)[1])
+                each = [sets[before[i] : before[i + 1]] for i in range(b - a)]
+                total = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets))])
+                content = mix(total[before[1:]] - total[before[:-1]] + n.astype(np.uint64))
+                yield stars.rows_of(mix(own.astype(np.uint64)), own, n, content.view(np.int64), stars.NOTE,
+                                    content=[_content(len(x), x) for x in each])
+                chosen = np.sort(np.unique(content, return_index=True)[1])
                 chosen = chosen[n[chosen] > 0]
-                kept = np.concatenate([sets[:0], *(sets[before[i] : before[i + 1]] for i in chosen)])
+                kept = np.concatenate([sets[:0], *(each[i] for i in chosen)])
                 keys, owner = signatures(kept, np.concatenate([[0], np.cumsum(n[chosen])]), percent)
                 owner = chosen[owner]
-                if whole:
-                    yield from stars.share_rows(keys, own[owner], n[owner])
-                else:
-                    yield stars.rows_of(keys, own[owner], n[owner], np.full(len(keys), -1), stars.SHARE)
+                yield from stars.share_rows(keys, own[owner], n[owner])
 
     return docs.select("id", "text").mapInArrow(run, stars.ROWS)
 
@@ -159,24 +199,33 @@ def _decide(percent: int):
     def make():
         def items(column):
             for a, b, sets, before in sets_of(column):
-                yield a, b, [[sets[before[i] : before[i + 1]], None] for i in range(b - a)]
+                yield a, b, [sets[before[i] : before[i + 1]] for i in range(b - a)]
 
         def linked(own, other):
-            a, b = own[0], other[0]
-            both = int(np.isin(a, b, assume_unique=True).sum())
-            return 100 * both >= percent * (len(a) + len(b) - both)
-
-        def common(own, other):
-            for item in (own, other):  # an item's signatures are worked out once
-                if item[1] is None:
-                    item[1] = np.unique(signatures(item[0], np.array([0, len(item[0])]), percent)[0])
-            return np.intersect1d(own[1], other[1], assume_unique=True).view(np.int64).tolist()
+            both = int(np.isin(own, other, assume_unique=True).sum())
+            return 100 * both >= percent * (len(own) + len(other) - both)
 
-        return items, linked, common
+        return items, linked
 
     return make
 
 
+def _possible(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """Those of (a, b, times) whose sizes and sketches allow a link."""
+    test = _compare(percent)
+
+    def run(batches):
+        for batch in batches:
+            one, two = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            keep = [bool(test(x, [y])) for x, y in zip(one, two)]
+            yield batch.select(["a", "b", "times"]).filter(pa.array(keep, pa.bool_()))
+
+    of_a = contents.select(F.col("id").alias("a"), F.col("content").alias("one"))
+    of_b = contents.select(F.col("id").alias("b"), F.col("content").alias("two"))
+    both = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "times", "one", "two")
+    return both.mapInArrow(run, "a long, b long, times long")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id, n_shingles, component_id`` of every document: links are pairs of Jaccard ``percent``/100 or more.
 
@@ -191,23 +240,26 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = stage(stars.meetings(_signature_rows(docs, percent)), "met", folder)
 
     # Equal sets: the smallest id stands for the others from here on.
-    sizes = found.filter(F.col("kind") == stars.NOTE).select(F.col("a").alias("id"), F.col("b").alias("content"), "n")
-    lead = sizes.filter("n > 0").groupBy("content", "n").agg(F.min("id").alias("lead"))
-    sizes = stage(sizes.join(lead, ["content", "n"], "left").dropDuplicates(["id"])
+    notes = found.filter(F.col("kind") == stars.NOTE).select(
+        F.col("a").alias("id"), F.col("b").alias("hash"), "n", "content").dropDuplicates(["id"])
+    lead = notes.filter("n > 0").groupBy("hash", "n").agg(F.min("id").alias("lead"))
+    sizes = stage(notes.select("id", "hash", "n").join(lead, ["hash", "n"], "left")
                   .select("id", "n", F.coalesce("lead", "id").alias("lead")), "sizes", folder)
-    of_a = sizes.select(F.col("id").alias("a"), F.col("lead").alias("la"), F.col("n").alias("na"))
-    of_b = sizes.select(F.col("id").alias("b"), F.col("lead").alias("lb"), F.col("n").alias("nb"))
-
-    met = found.filter(F.col("kind") == stars.SHARE).groupBy("a", "b").agg(F.sum("n").alias("times"))
-    met = (met.join(of_a, "a").join(of_b, "b").filter("la <> lb")
-           .select(F.greatest("la", "lb").alias("a"), F.least("la", "lb").alias("b"), "times",
-                   (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).alias("fits"))
-           .groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("fits").alias("fits")))
-    met = stage(met, "pairs", folder)
-    touched = met.select(F.col("a").alias("id")).union(met.select("b")).distinct()
-    texts = stage(docs.join(touched, "id", "left_semi").dropDuplicates(["id"]), "texts", folder)
-    classes = stars.linked_classes(met, texts, _decide(percent), lambda t: _signature_rows(t, percent, whole=False),
-                                   lambda a, b: 100 * min(a, b) >= percent * max(a, b), folder)
+    of_a = sizes.select(F.col("id").alias("a"), F.col("lead").alias("la"))
+    of_b = sizes.select(F.col("id").alias("b"), F.col("lead").alias("lb"))
+    met = found.filter(F.col("kind") == stars.SHARE).select("a", "b", "key")
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("times")).join(of_a, "a").join(of_b, "b").filter("la <> lb")
+    pairs = stage(pairs.groupBy(F.greatest("la", "lb").alias("a"), F.least("la", "lb").alias("b"))
+                  .agg(F.sum("times").alias("times")), "pairs", folder)
+    touched = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    contents = stage(notes.select("id", "content").join(touched, "id", "left_semi"), "sketches", folder)
+
+    def texts_of(ids: DataFrame, name: str) -> DataFrame:
+        return stage(maybe_in(docs, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), name, folder)
+
+    classes = stars.linked_classes(
+        met, pairs, texts_of, _decide(percent), contents, _compare(percent),
+        lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"))
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "lead").alias("component_id"))

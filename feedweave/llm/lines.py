@@ -184,39 +184,23 @@ def _rows(docs: DataFrame, distance: int, least: int, near: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, stars.ROWS)
 
 
-def _line_shares(texts: DataFrame, distance: int, near: int) -> DataFrame:
-    """Signatures of lines (id, text)."""
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b, text, bounds in _code_points(batch.column(1)):
-                keys, owner = segment_keys(_Prefix(text), bounds[:-1], bounds[1:], distance, near)
-                yield stars.rows_of(keys, ids[a:b][owner], np.diff(bounds)[owner], np.full(len(keys), -1), stars.SHARE)
-
-    return texts.select("id", "text").mapInArrow(run, stars.ROWS)
-
-
-def _decide(distance: int, near: int):
+def _decide(distance: int):
     def make():
         def items(column):
             texts = column.to_pylist()
-            for a, b, text, bounds in _code_points(column):
-                keys, owner = segment_keys(_Prefix(text), bounds[:-1], bounds[1:], distance, near)
-                order = np.argsort(owner, kind="stable")
-                ends = np.searchsorted(owner[order], np.arange(b - a + 1)).tolist()
-                keys = keys[order].view(np.int64).tolist()
-                yield a, b, [(texts[a + i], keys[ends[i] : ends[i + 1]]) for i in range(b - a)]
+            yield 0, len(texts), texts
 
-        def linked(own, other):
-            return within(own[0], other[0], distance)
+        return items, lambda own, other: within(own, other, distance)
 
-        def common(own, other):
-            return list(set(own[1]).intersection(other[1]))
+    return make
 
-        return items, linked, common
 
-    return make
+def _compare(distance: int):
+    def compare(content: bytes, held: list[bytes]) -> list[int]:
+        own = content.decode()
+        return [i for i, other in enumerate(held) if within(own, other.decode(), distance)]
+
+    return compare
 
 
 def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least: int = LEAST_CHARS,
@@ -225,13 +209,12 @@ def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least
     found = stage(stars.meetings(_rows(docs, distance, least, near)), "met", folder)
     notes = found.filter(F.col("kind") == stars.NOTE).select(
         F.col("a").alias("id"), F.col("b").alias("line"), F.col("n").alias("place"))
-    met = (found.filter(F.col("kind") == stars.SHARE)
-           .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "n")
-           .groupBy("a", "b").agg(F.sum("n").alias("times")).withColumn("fits", F.lit(True)))
-    met = stage(met, "pairs", folder)
+    met = found.filter(F.col("kind") == stars.SHARE).select("a", "b", "key")
+    pairs = stage(met.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.count("*").alias("times")),
+                  "pairs", folder)
 
     # Texts of the candidates, from the first place each is found at.
-    ends = met.select(F.col("a").alias("line")).union(met.select("b")).distinct()
+    ends = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
     firsts = notes.groupBy("line").agg(F.min(F.struct("id", "place")).alias("at"), F.count("*").alias("n"))
     firsts = stage(firsts.select("line", "at.id", "at.place", "n"), "firsts", folder)
     places = (firsts.join(ends, "line", "left_semi").groupBy("id")
@@ -242,9 +225,9 @@ def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least
              .select(F.col("p.line").alias("id"),
                      F.regexp_replace(F.element_at("lines", F.col("p.place") + 1), "^[ \t-\r]+|[ \t-\r]+$", "").alias("text")))
     texts = stage(texts, "texts", folder)
-    classes = stars.linked_classes(
-        met, texts, _decide(distance, near), lambda t: _line_shares(t, distance, near),
-        lambda a, b: abs(a - b) <= distance, folder)
+    contents = texts.select("id", F.col("text").cast("binary").alias("content"))
+    classes = stars.linked_classes(met, pairs, lambda ids, name: texts.join(ids, "id", "left_semi"), _decide(distance), contents,
+                                   _compare(distance), lambda rows: rows, folder)
     classes = stage(classes.select(F.col("id").alias("line"), "component"), "classes", folder)
 
     # The first line of each class; only lines that have another in their class come further.

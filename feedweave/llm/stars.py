@@ -1,9 +1,9 @@
 """Self-joins by shared signatures without pairing a signature's rows with each other.
 
 Rows (key, id) that share a key are candidates. Each is paired with the first of its key only; pairs are verified
-exactly and linked ones merged into classes. Where a pair was not linked, the keys it shares are opened:
-rows of such a key that are still in different classes are compared where they meet, in blocks. So every
-candidate pair is either compared or already in one class, and pairs that are not linked stay few.
+exactly and linked ones merged into classes. Keys whose rows are not all in one class then are opened: their rows
+are compared where they meet, in blocks, by a test that never rules out a link. So every candidate pair is either
+compared or already in one class, and pairs that are not linked stay few.
 """
 
 from __future__ import annotations
@@ -21,17 +21,20 @@ from feedweave.session import stage
 
 #: Kinds of rows in one stream: passed on as they are, or a share of a signature.
 NOTE, SHARE = 0, 1
-ROWS = "key long, id long, n int, other long, kind byte"
+ROWS = "key long, id long, n int, other long, via long, content binary, kind byte"
 PARTNERS = 200
 #: Rows of a key that are held at a time.
 IN_BLOCK = 1000
 
 
-def rows_of(key, own, n, other, kind: int) -> pa.RecordBatch:
+def rows_of(key, own, n, other, kind: int, via=None, content=None) -> pa.RecordBatch:
+    size = len(own)
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(own, pa.int64()), pa.array(n.astype(np.int32)),
-         pa.array(other, pa.int64()), pa.array(np.full(len(own), kind, np.int8))],
-        names=["key", "id", "n", "other", "kind"])
+        [pa.array(key.view(np.int64)), pa.array(own, pa.int64()), pa.array(n.astype(np.int32)), pa.array(other, pa.int64()),
+         pa.nulls(size, pa.int64()) if via is None else pa.array(via.view(np.int64)),
+         pa.nulls(size, pa.binary()) if content is None else pa.array(content, pa.binary()),
+         pa.array(np.full(size, kind, np.int8))],
+        names=["key", "id", "n", "other", "via", "content", "kind"])
 
 
 def share_rows(keys: np.ndarray, own: np.ndarray, n: np.ndarray):
@@ -44,26 +47,27 @@ def share_rows(keys: np.ndarray, own: np.ndarray, n: np.ndarray):
     yield rows_of(keys[new], own[new], n[new], np.full(new.sum(), -1), SHARE)
     met = ~new & (hub != own)
     if met.any():
-        pairs, times = np.unique(np.column_stack([own[met], hub[met]]), axis=0, return_counts=True)
-        spread = mix(pairs[:, 0].astype(np.uint64) * np.uint64(31) + pairs[:, 1].astype(np.uint64))
-        yield rows_of(spread, pairs[:, 0].copy(), times, pairs[:, 1].copy(), SHARE)
+        spread = mix(own[met].astype(np.uint64) * np.uint64(31) + hub[met].astype(np.uint64))
+        yield rows_of(spread, own[met], n[met], hub[met], SHARE, keys[met])
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """(a, b, n, kind): notes as they are (id, other, n), and pairs of each id with the first of its key.
-
-    ``n`` counts how often a pair was met in a stretch of rows.
-    """
+    """(a, b, n, key, content, kind): notes as they are, and each id with the first of each of its keys."""
 
     def run(batches):
         last_key, last_id = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, own, n, other, kind = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            passed = (kind == NOTE) | (other >= 0)
-            out = [(own[passed], other[passed], n[passed], kind[passed])]
-            share = np.flatnonzero(~passed)
+            key, own, n, other = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            kind = batch.column(6).to_numpy(zero_copy_only=False)
+            note = np.flatnonzero(kind == NOTE)
+            named = np.flatnonzero((kind != NOTE) & (other >= 0))
+            if len(note):
+                yield _met(own[note], other[note], n[note], None, batch.column(5).take(pa.array(note)), NOTE)
+            if len(named):
+                yield _met(own[named], other[named], n[named], batch.column(4).take(pa.array(named)), None, SHARE)
+            share = np.flatnonzero((kind != NOTE) & (other < 0))
             if len(share):
                 k, o = key[share], own[share]
                 new = np.concatenate([[last_key is None or k[0] != last_key], k[1:] != k[:-1]])
@@ -72,21 +76,26 @@ def meetings(rows: DataFrame) -> DataFrame:
                 last_key, last_id = k[-1], hub[-1]
                 met = hub != o
                 if met.any():
-                    pairs, times = np.unique(np.column_stack([o[met], hub[met]]), axis=0, return_counts=True)
-                    out.append((pairs[:, 0], pairs[:, 1], times.astype(np.int32), np.full(len(pairs), SHARE, np.int8)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b", "n", "kind"])
+                    yield _met(o[met], hub[met], n[share][met], pa.array(k[met]), None, SHARE)
 
     sorted_rows = rows.repartition("key").sortWithinPartitions("key", "id")
-    return sorted_rows.mapInArrow(run, "a long, b long, n int, kind byte")
+    return sorted_rows.mapInArrow(run, "a long, b long, n int, key long, content binary, kind byte")
+
+
+def _met(a, b, n, key, content, kind: int) -> pa.RecordBatch:
+    size = len(a)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int32()),
+         pa.nulls(size, pa.int64()) if key is None else key, pa.nulls(size, pa.binary()) if content is None else content,
+         pa.array(np.full(size, kind, np.int8))], names=["a", "b", "n", "key", "content", "kind"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
-    """(a, b, linked, keys) of pairs; ``keys`` are those that pairs which are not linked share.
+    """(a, b, linked) of pairs.
 
     The partners of ``b`` come past ``b`` sorted by Spark, a few hundred in a share, so that a node of many pairs
     is dealt over tasks. ``decide`` makes of a column of texts an iterable of (first row, last row, items), and
-    of two items whether they are linked, and the keys they share.
+    of two items whether they are linked.
     """
     load = pairs.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("shares"))
     spread = pairs.join(load, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int").alias("share"))
@@ -96,7 +105,7 @@ def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
     dealt = side_b.unionByName(side_a).repartition("b", "share").sortWithinPartitions("b", "share", "side", "id")
 
     def run(batches):
-        items, linked, common = decide()
+        items, linked = decide()
         hub, hub_item = None, None
         for batch in batches:
             b, side, ids = (batch.column(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 2, 3))
@@ -106,14 +115,12 @@ def verified(pairs: DataFrame, texts: DataFrame, decide: Callable) -> DataFrame:
                     if side[i] == 0:
                         hub, hub_item = b[i], item
                     else:
-                        yes = linked(item, hub_item)
-                        out.append((ids[i], hub, yes, [] if yes else common(item, hub_item)))
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["a", "b", "linked", "keys"])
+                        out.append((ids[i], hub, bool(linked(item, hub_item))))
+            columns = list(zip(*out)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "linked"])
 
-    return dealt.mapInArrow(run, "a long, b long, linked boolean, keys array<long>")
+    return dealt.mapInArrow(run, "a long, b long, linked boolean")
 
 
 def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -124,78 +131,84 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
 
 
-def linked_classes(met: DataFrame, texts: DataFrame, decide: Callable, shares_of: Callable[[DataFrame], DataFrame],
-                   fits: Callable[[int, int], bool], folder: str) -> DataFrame:
+def linked_classes(met: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents: DataFrame,
+                   compare: Callable, possible: Callable, folder: str, leads: DataFrame | None = None) -> DataFrame:
     """``id, component`` of all items with a link.
 
-    ``met``: staged candidates (a > b, times, fits); ``texts``: staged (id, text) of their ends; ``shares_of`` gives signature
-    rows of texts; ``fits`` says of two rows' ``n`` whether they can be linked.
+    ``met``: staged (a, b, key); ``pairs``: staged (a > b, times), all candidates of it; ``possible`` leaves out of such pairs those
+    that cannot be linked. ``texts_of`` gives (id, text) of a column of ids, ``contents`` (id, content) what ``compare``
+    tells possible links by (see ``opened``). With ``leads`` (id, lead), items are equal to their lead, and pairs are of leads.
     """
+    likely = stage(possible(pairs), "possible", folder)
+    texts = texts_of(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "texts")
     # First each item with the one it shares most signatures with, then the pairs still apart.
     best = Window.partitionBy("a").orderBy(F.col("times").desc(), "b")
-    first = met.filter("fits").withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b")
+    first = likely.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b")
     done = stage(verified(first, texts, decide), "verified-1", folder)
     links = done.filter("linked").select("a", "b")
-    rest = apart(met.join(done.select("a", "b"), ["a", "b"], "left_anti"), components(links))
+    rest = apart(likely.join(done.select("a", "b"), ["a", "b"], "left_anti"), components(links))
     second = stage(verified(rest.select("a", "b"), texts, decide), "verified-2", folder)
     done = done.unionByName(second)
     links = done.filter("linked").select("a", "b")
-    if done.filter("NOT linked").isEmpty():
-        return components(links)
     classes = components(links)
 
-    open_keys = done.filter("NOT linked").select(F.explode("keys").alias("key")).distinct()
-    shares = shares_of(texts).filter("other < 0").join(open_keys, "key", "left_semi").select("key", "id", "n").distinct()
-    shares = stage(shares.join(classes, "id", "left")
-                   .select("key", "id", "n", F.coalesce("component", "id").alias("c")), "open", folder)
-    mixed = shares.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("key")
-    shares = shares.join(mixed, "key", "left_semi")
-    third = stage(opened(shares, texts, decide, fits), "opened", folder)
-    return components(links.unionByName(third))
-
-
-def opened(shares: DataFrame, texts: DataFrame, decide: Callable, fits: Callable) -> DataFrame:
-    """Links (a, b) between rows of a key that are in different classes; ``shares`` are (key, id, n, c).
-
-    A key's rows are cut into blocks of bounded size. A block is held while the rows of earlier blocks come past, and
-    only links leave it: no pair that is not one is ever a row. Of the keys a pair shares, the smallest looks at it.
+    # Keys whose rows are in several classes: those of pairs that are still apart.
+    if leads is not None:
+        classes = leads.join(classes.withColumnRenamed("id", "lead"), "lead").select("id", "component", "lead")
+    else:
+        classes = classes.withColumn("lead", F.col("id"))
+    unlike = apart(met.select("a", "b").distinct() if leads is not None else pairs.select("a", "b"), classes.drop("lead"))
+    open_keys = _either(met, unlike).select("key").distinct()
+    members = met.join(open_keys, "key", "left_semi")
+    members = members.select("key", F.col("a").alias("id")).union(members.select("key", "b"))
+    if leads is not None:
+        members = members.join(leads, "id").select("key", F.col("lead").alias("id"))
+    members = members.distinct().join(classes.select("id", "component"), "id", "left")
+    members = stage(members.select("key", "id", F.coalesce("component", "id").alias("c")), "members", folder)
+    sizes = members.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"))
+    sizes = sizes.filter("x <> y AND n > 2").select("key", "n")
+    more = opened(members.join(sizes, "key"), contents, compare).distinct()
+    more = stage(more.join(done.select("a", "b"), ["a", "b"], "left_anti"), "opened", folder)
+    texts = texts_of(more.select(F.col("a").alias("id")).union(more.select("b")).distinct(), "more-texts")
+    third = stage(verified(more, texts, decide), "verified-3", folder)
+    return components(links.unionByName(third.filter("linked").select("a", "b")))
+
+
+def _either(met: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of ``met`` whose ends are a pair, in whichever order."""
+    ordered = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "key")
+    return ordered.join(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_semi")
+
+
+def opened(shares: DataFrame, contents: DataFrame, compare: Callable) -> DataFrame:
+    """Possible links (a > b) between rows of a key in different classes; ``shares`` are (key, id, c, n), ``n`` rows in all.
+
+    A key's rows are cut into blocks of bounded size. A block is held while the rows of earlier blocks come past; only
+    what passes ``compare`` leaves it. ``compare(content, held)`` gives the numbers of held contents that may be linked.
     """
-    keys = shares.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    blocks = shares.groupBy("key").agg(F.ceil(F.count("*") / IN_BLOCK).cast("int").alias("blocks"))
-    rows = shares.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = shares.withColumn("blocks", F.ceil(F.col("n") / IN_BLOCK).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("block", F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)))
-    rows = rows.withColumn("role", (F.col("block") != F.col("own")).cast("int")).join(keys, "id").join(texts, "id")
-    rows = rows.select("key", "block", "role", "id", "n", "c", "keys", "text")
-    ordered = rows.repartition("key", "block").sortWithinPartitions("key", "block", "role", "id")
+    rows = rows.withColumn("role", (F.col("block") != F.col("own")).cast("int")).join(contents, "id")
+    ordered = (rows.select("key", "block", "role", "id", "c", "content").repartition("key", "block")
+               .sortWithinPartitions("key", "block", "role", "id"))
 
     def run(batches):
-        items, linked, _ = decide()
-        current, held, root = None, [], {}
-
-        def find(c):
-            while root.get(c, c) != c:
-                c = root[c]
-            return c
-
+        current, ids, classes, held = None, [], [], []
         for batch in batches:
-            key, block, role, ids, n, c = (batch.column(i).to_pylist() for i in range(6))
-            shared = batch.column(6).to_pylist()
             out = []
-            for first, last, found in items(batch.column(7)):
-                for i, item in zip(range(first, last), found):
-                    if current != (key[i], block[i]):
-                        current, held, root = (key[i], block[i]), [], {}
-                    mine, own = set(shared[i]), find(c[i])
-                    for other, other_n, other_c, other_keys, other_item in held:
-                        theirs = find(other_c)
-                        if own == theirs or not fits(n[i], other_n) or min(mine.intersection(other_keys)) != key[i]:
-                            continue
-                        if linked(item, other_item):
-                            out.append((ids[i], other))
-                            root[max(own, theirs)] = min(own, theirs)
-                            own = min(own, theirs)
-                    if role[i] == 0:
-                        held.append((ids[i], n[i], c[i], shared[i], item))
+            for key, block, role, own, c, content in zip(*(x.to_pylist() for x in batch.columns)):
+                if current != (key, block):
+                    current, ids, classes, held = (key, block), [], [], []
+                others = [j for j in range(len(ids)) if classes[j] != c]
+                if others:
+                    for j in compare(content, [held[j] for j in others]):
+                        other = ids[others[j]]
+                        out.append((max(own, other), min(own, other)))
+                if role == 0:
+                    ids.append(own)
+                    classes.append(c)
+                    held.append(content)
             columns = list(zip(*out)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b"])
 

@@ -76,3 +76,13 @@ def test_other_thresholds(table, percent):
     rows = corpus(percent)[:120]
     found = jaccard.near_classes(table([(i, t, None, None, None, None) for i, t in rows], SCHEMA), percent=percent)
     assert sorted(map(tuple, found.collect())) == jaccard_classes(rows, percent)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 300), st.integers(0, 300), st.integers(0, 300), st.integers(0, 1 << 30))
+def test_sketches_never_rule_out_a_link(both, only_a, only_b, seed):
+    x = np.random.default_rng(seed).integers(0, 1 << 63, both + only_a + only_b, dtype=np.uint64)
+    a, b = x[: both + only_a], np.concatenate([x[:both], x[both + only_a :]])
+    if len(a) and len(b) and 100 * both >= 80 * (both + only_a + only_b):
+        one, two = jaccard._content(len(a), a), jaccard._content(len(b), b)
+        assert jaccard._compare(80)(one, [two]) == [0] and jaccard._compare(80)(two, [one, one]) == [0, 1]
