@@ -47,7 +47,7 @@ def differences(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndar
 def plan(k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Parts, cells in a part, and how many parts agree up to one cell at least, for ``k`` differences."""
     need = k // 2 + 1
-    parts = np.where(k == 0, 1, need + 1 + need // 8)
+    parts = np.where(k == 0, 1, need + 1 + need // 4)
     cells = np.where(k == 0, 1, np.where(k < 24, 3, 2))
     return parts, cells, parts - k // 2
 
@@ -127,11 +127,11 @@ def sets_of(column: pa.Array):
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """Parity of the number of elements in each of a power of two of cells, four an element or more.
+    """Parity of the number of elements in each of a power of two of cells, one an element or more.
 
     Two sketches differ in at most as many bits as their sets differ in elements.
     """
-    cells = max(64, 1 << int(4 * len(elements) - 1).bit_length())
+    cells = max(64, 1 << max(len(elements) - 1, 0).bit_length())
     place = (mix(elements ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -190,7 +190,7 @@ def _signature_rows(docs: DataFrame, percent: int) -> DataFrame:
                 kept = np.concatenate([sets[:0], *(each[i] for i in chosen)])
                 keys, owner = signatures(kept, np.concatenate([[0], np.cumsum(n[chosen])]), percent)
                 owner = chosen[owner]
-                yield from stars.share_rows(keys, own[owner], n[owner])
+                yield from stars.share_rows(keys, own[owner])
 
     return docs.select("id", "text").mapInArrow(run, stars.ROWS)
 
@@ -248,7 +248,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of_a = sizes.select(F.col("id").alias("a"), F.col("lead").alias("la"))
     of_b = sizes.select(F.col("id").alias("b"), F.col("lead").alias("lb"))
     met = found.filter(F.col("kind") == stars.SHARE).select("a", "b", "key")
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("times")).join(of_a, "a").join(of_b, "b").filter("la <> lb")
+    raw = stage(met.groupBy("a", "b").agg(F.count("*").alias("times")), "raw-pairs", folder)
+    pairs = raw.join(of_a, "a").join(of_b, "b").filter("la <> lb")
     pairs = stage(pairs.groupBy(F.greatest("la", "lb").alias("a"), F.least("la", "lb").alias("b"))
                   .agg(F.sum("times").alias("times")), "pairs", folder)
     touched = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -258,7 +259,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return stage(maybe_in(docs, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), name, folder)
 
     classes = stars.linked_classes(
-        met, pairs, texts_of, _decide(percent), contents, _compare(percent),
+        met, raw, pairs, texts_of, _decide(percent), contents, _compare(percent),
         lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"))
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(

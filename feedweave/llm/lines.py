@@ -179,7 +179,7 @@ def _rows(docs: DataFrame, distance: int, least: int, near: int) -> DataFrame:
                 some = np.flatnonzero(end - start >= near)
                 some = some[np.unique(line[some], return_index=True)[1]]
                 keys, owner = segment_keys(prefix, start[some], end[some], distance, near)
-                yield from stars.share_rows(keys, line[some][owner], (end - start)[some][owner])
+                yield from stars.share_rows(keys, line[some][owner])
 
     return docs.select("id", "text").mapInArrow(run, stars.ROWS)
 
@@ -226,7 +226,7 @@ def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least
                      F.regexp_replace(F.element_at("lines", F.col("p.place") + 1), "^[ \t-\r]+|[ \t-\r]+$", "").alias("text")))
     texts = stage(texts, "texts", folder)
     contents = texts.select("id", F.col("text").cast("binary").alias("content"))
-    classes = stars.linked_classes(met, pairs, lambda ids, name: texts.join(ids, "id", "left_semi"), _decide(distance), contents,
+    classes = stars.linked_classes(met, pairs, pairs, lambda ids, name: texts.join(ids, "id", "left_semi"), _decide(distance), contents,
                                    _compare(distance), lambda rows: rows, folder)
     classes = stage(classes.select(F.col("id").alias("line"), "component"), "classes", folder)
 

@@ -37,18 +37,18 @@ def rows_of(key, own, n, other, kind: int, via=None, content=None) -> pa.RecordB
         names=["key", "id", "n", "other", "via", "content", "kind"])
 
 
-def share_rows(keys: np.ndarray, own: np.ndarray, n: np.ndarray):
+def share_rows(keys: np.ndarray, own: np.ndarray):
     """Signature rows of a few items: one for each key, and pairs of the items that share one here."""
     order = np.lexsort((own, keys))
-    keys, own, n = keys[order], own[order], n[order]
+    keys, own = keys[order], own[order]
     new = np.ones(len(keys), dtype=bool)
     new[1:] = keys[1:] != keys[:-1]
     hub = own[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
-    yield rows_of(keys[new], own[new], n[new], np.full(new.sum(), -1), SHARE)
+    yield rows_of(keys[new], own[new], np.zeros(new.sum(), np.int32), np.full(new.sum(), -1), SHARE)
     met = ~new & (hub != own)
     if met.any():
         spread = mix(own[met].astype(np.uint64) * np.uint64(31) + hub[met].astype(np.uint64))
-        yield rows_of(spread, own[met], n[met], hub[met], SHARE, keys[met])
+        yield rows_of(spread, own[met], np.zeros(met.sum(), np.int32), hub[met], SHARE, keys[met])
 
 
 def meetings(rows: DataFrame) -> DataFrame:
@@ -131,11 +131,11 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
 
 
-def linked_classes(met: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents: DataFrame,
+def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents: DataFrame,
                    compare: Callable, possible: Callable, folder: str, leads: DataFrame | None = None) -> DataFrame:
     """``id, component`` of all items with a link.
 
-    ``met``: staged (a, b, key); ``pairs``: staged (a > b, times), all candidates of it; ``possible`` leaves out of such pairs those
+    ``met``: staged (a, b, key); ``raw``: its staged pairs (a, b); ``pairs``: staged candidates (a > b, times); ``possible`` leaves out of such pairs those
     that cannot be linked. ``texts_of`` gives (id, text) of a column of ids, ``contents`` (id, content) what ``compare``
     tells possible links by (see ``opened``). With ``leads`` (id, lead), items are equal to their lead, and pairs are of leads.
     """
@@ -157,7 +157,7 @@ def linked_classes(met: DataFrame, pairs: DataFrame, texts_of: Callable, decide:
         classes = leads.join(classes.withColumnRenamed("id", "lead"), "lead").select("id", "component", "lead")
     else:
         classes = classes.withColumn("lead", F.col("id"))
-    unlike = apart(met.select("a", "b").distinct() if leads is not None else pairs.select("a", "b"), classes.drop("lead"))
+    unlike = apart(raw.select("a", "b"), classes.drop("lead"))
     open_keys = _either(met, unlike).select("key").distinct()
     members = met.join(open_keys, "key", "left_semi")
     members = members.select("key", F.col("a").alias("id")).union(members.select("key", "b"))
