@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from feedweave.functions import scalars as S
 from feedweave.schemas import CHECKPOINTS, RUNS
-from feedweave.session import broadcast_if_small
 
 RESUMABLE = ["failure", "running"]
 
@@ -119,7 +118,7 @@ def after_high_water(df: DataFrame, checkpoints: DataFrame, timestamp: str = "so
     """
     marks = checkpoints.select("source_type", F.col("last_processed_timestamp").alias("_mark"))
     fresh = F.col("_mark").isNull() | F.col(timestamp).isNull() | (F.col(timestamp) > F.col("_mark"))
-    return df.join(broadcast_if_small(marks), "source_type", "left").filter(fresh).drop("_mark")
+    return df.join(marks, "source_type", "left").filter(fresh).drop("_mark")
 
 
 def high_water(checkpoints: DataFrame, source_type: str):

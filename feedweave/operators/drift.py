@@ -12,7 +12,7 @@ from feedweave.functions import scalars as S
 from feedweave.functions.similarity import name_similarity
 from feedweave.operators.normalize import json_kind
 from feedweave.schemas import DRIFT_LOG, MISMATCH, SUGGESTION
-from feedweave.session import broadcast_if_small, stage
+from feedweave.session import stage
 
 # Weights of the three kinds of drift and the thresholds used on the result.
 MISSING_WEIGHT = 0.4
@@ -194,7 +194,7 @@ def with_suggestions(
     shapes = stage(field_shapes(drift), "shapes", folder)
     if shapes.isEmpty():
         return drift.withColumn("fuzzy_suggestions", none)
-    hints = broadcast_if_small(stage(suggestions(shapes, threshold), "suggestions", folder))
+    hints = stage(suggestions(shapes, threshold), "suggestions", folder)
     return drift.join(hints, ["missing_fields", "extra_fields"], "left").withColumn(
         "fuzzy_suggestions", F.coalesce("fuzzy_suggestions", none)
     )

@@ -126,11 +126,15 @@ def document(
         )
     )
 
+    def quoted(text: Column) -> Column:
+        # A one-element JSON list without its brackets.
+        return F.regexp_replace(F.to_json(F.array(text)), r"^\[|\]$", "")
+
     def section(name: str) -> Column:
         mine = F.when(F.col("section") == name, F.struct("key", "body"))
         items = F.transform(
             F.array_sort(F.collect_list(mine)),
-            lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["body"]),
+            lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["body"]),
         )
         return F.concat(F.lit(f'"{name}":{{'), F.array_join(items, ","), F.lit("}"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +16,9 @@ from feedweave.schemas import PUBLIC_COLUMNS, RECORDS
 # Fields of a record that may name an entity, in the order they are tried.
 ALIAS_FIELDS = ["symbol", "ticker", "coin_symbol", "currency"]
 
+# Column of a reader for what cannot be read as a record, and mark of columns kept from an archive.
+UNREADABLE, STORED = "_unreadable", "_stored_"
+
 # Shape of a parsed record: the unified fields, what identity is read from, the raw text,
 # the fields it carried and the rules it broke.
 PARSED_COLUMNS = [
@@ -37,9 +40,20 @@ def _text(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string") if name in df.columns else S.null_text()
 
 
-def parse_csv(df: DataFrame, source_type: str = "csv") -> DataFrame:
-    """CSV rows (all text) to parsed records."""
-    present = [c for c in df.columns]
+def unreadable(df: DataFrame) -> Column:
+    """Text (or reason) of what a reader could not read as a record; null for records."""
+    return F.col(UNREADABLE) if UNREADABLE in df.columns else S.null_text()
+
+
+def parse_csv(
+    df: DataFrame, source_type: str = "csv", stored: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """CSV rows (all text) to parsed records.
+
+    ``stored`` replaces what a row alone does not tell when it is read again: its id, raw text and fields.
+    """
+    present = [c for c in df.columns if c != UNREADABLE and not c.startswith(STORED)]
+    stored = stored or {}
     content = S.content_text({c: F.col(f"`{c}`") for c in present})
     source_id = S.natural_source_id(
         source_type,
@@ -47,7 +61,10 @@ def parse_csv(df: DataFrame, source_type: str = "csv") -> DataFrame:
         content=content,
         present={f: F.lit(True) for f in present},
     )
+    source_id = stored.get("source_id", source_id)
     record_id = F.col("id") if "id" in present else source_id
+    if stored:
+        record_id = F.when(F.array_contains(stored["fields"], "id"), record_id).otherwise(source_id)
     title = _text(df, "title") if "title" in present else F.lit("")
     value = S.safe_float(_text(df, "value"))
     return df.select(
@@ -65,9 +82,11 @@ def parse_csv(df: DataFrame, source_type: str = "csv") -> DataFrame:
             link=F.col("link") if "link" in present else None,
             **{f: F.col(f) for f in ALIAS_FIELDS if f in present},
         ).alias("identity"),
-        S.raw_json(*[F.col(f"`{c}`") for c in present]).alias("raw_data"),
-        F.array(*[F.lit(c) for c in present]).alias("fields"),
-        validate.failed_rules(validate.csv_rules(record_id, title, value)).alias("reasons"),
+        stored.get("raw_data", F.coalesce(unreadable(df), S.raw_json(*[F.col(f"`{c}`") for c in present]))).alias("raw_data"),
+        stored.get("fields", F.array(*[F.lit(c) for c in present])).alias("fields"),
+        validate.failed_rules(
+            {"surplus_cells": unreadable(df).isNotNull()} | validate.csv_rules(record_id, title, value)
+        ).alias("reasons"),
     )
 
 
@@ -96,12 +115,20 @@ class ApiMapping:
     value: tuple[str, ...] = ("amount", "value")
     category: tuple[str, ...] = ("type", "category")
     timestamp: tuple[str, ...] = ("created_at",)
+    #: Texts that make up the description together, instead of the first present.
+    described_by: tuple[str, ...] = ()
+    #: A rank whose bucket is the category of records that have one.
+    rank: str | None = None
 
 
 # Providers that quote prices under ``quotes.USD``, and with flat market columns.
-TICKER_FEED = ApiMapping(value=("quotes.USD.price", "amount", "value"))
+TICKER_FEED = ApiMapping(
+    value=("quotes.USD.price", "amount", "value"), category=("rank", "type", "category"),
+    described_by=("symbol", "description"),
+)
 MARKET_FEED = ApiMapping(
-    value=("current_price", "amount", "value"), timestamp=("last_updated", "created_at")
+    value=("current_price", "amount", "value"), timestamp=("last_updated", "created_at"),
+    described_by=("symbol",), rank="market_cap_rank",
 )
 
 
@@ -115,12 +142,14 @@ def parse_api(df: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> D
     prefix = f"api_{feed}"
     source_type = "api1" if feed == "api1" else "api2"
     wanted = ["id", "guid", "link", "tags", *ALIAS_FIELDS]
-    for names in (mapping.title, mapping.description, mapping.value, mapping.category, mapping.timestamp):
+    ranks = (mapping.rank,) if mapping.rank else ()
+    for names in (mapping.title, mapping.description, mapping.value, mapping.category, mapping.timestamp,
+                  mapping.described_by, ranks):
         wanted += [n for n in names if n not in wanted]
     record = F.col("record")
     taken = {f"t_{n}": F.try_variant_get(record, f"$.{n}", "string") for n in wanted}
     taken |= {f"k_{n}": json_kind(record, f"$.{n}") for n in wanted}
-    keyed = df.select("record", "raw_data", *[c.alias(n) for n, c in taken.items()])
+    keyed = df.select("record", "raw_data", unreadable(df).alias(UNREADABLE), *[c.alias(n) for n, c in taken.items()])
 
     def text(name: str) -> Column:
         return F.col(f"`t_{name}`")
@@ -155,19 +184,27 @@ def parse_api(df: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> D
         "id": F.coalesce(kind("id"), F.lit("STRING")),
         "name": pick(mapping.title, kind, F.lit("STRING")),
         "description": pick(mapping.description, kind, S.null_text()),
-        "type": pick(mapping.category, kind, S.null_text()),
+        "type": pick(tuple(n for n in mapping.category if n in ("type", "category")), kind, S.null_text()),
     }
+    description = pick(mapping.description, text, S.null_text())
+    if mapping.described_by:
+        parts = F.concat_ws(" ", *[text(n) for n in mapping.described_by])
+        description = F.when(F.length(parts) > 0, parts)
+    category = pick(mapping.category, text, S.null_text())
+    if mapping.rank:
+        category = F.coalesce(rank_bucket(F.expr(f"try_cast(`t_{mapping.rank}` AS int)")), category)
     stamp = pick(mapping.timestamp, lambda n: F.when(kind(n) == "STRING", text(n)), S.null_text())
-    rules = {"not_an_object": ~json_kind(record, "$").eqNullSafe("OBJECT")} | validate.api_rules(
-        kinds, title, tags_ok
-    )
+    rules = {
+        "not_a_list": F.col(UNREADABLE).eqNullSafe("not_a_list"),
+        "not_an_object": ~json_kind(record, "$").eqNullSafe("OBJECT"),
+    } | validate.api_rules(kinds, title, tags_ok)
     return keyed.select(
         F.lit(source_type).alias("source_type"),
         source_id.alias("source_id"),
         title.alias("title"),
-        pick(mapping.description, text, S.null_text()).alias("description"),
+        description.alias("description"),
         pick(mapping.value, lambda n: _number(kind(n), text(n)), F.lit(None).cast("double")).alias("value"),
-        pick(mapping.category, text, S.null_text()).alias("category"),
+        category.alias("category"),
         F.when(there("tags"), tags).otherwise(F.array().cast("array<string>")).alias("tags"),
         S.safe_timestamp(stamp).alias("source_timestamp"),
         F.create_map(
@@ -194,7 +231,8 @@ def parse_rss(df: DataFrame) -> DataFrame:
         entry_id.alias("id"), title.alias("title"), summary.alias("summary"), link.alias("link"),
         published.alias("published"), tags.alias("categories"),
     )
-    names = ["id", "title", "summary", "link", "published", "categories"]
+    broken = unreadable(df)
+    given = {"id": "id", "title": "title", "summary": "summary", "link": "link", "published": "published"}
     return df.select(
         F.lit("rss").alias("source_type"),
         S.natural_source_id("rss", id=entry_id).alias("source_id"),
@@ -206,9 +244,10 @@ def parse_rss(df: DataFrame) -> DataFrame:
         published.alias("source_timestamp"),
         F.create_map(F.lit("link"), link).alias("extra_metadata"),
         identity(id=entry_id, link=link).alias("identity"),
-        raw.alias("raw_data"),
-        F.array(*[F.lit(n) for n in names]).alias("fields"),
-        validate.failed_rules(validate.rss_rules(title, link)).alias("reasons"),
+        F.coalesce(broken, raw).alias("raw_data"),
+        # The elements the entry really has, before any is defaulted.
+        F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), n) for n, c in given.items()])).alias("fields"),
+        validate.failed_rules({"malformed_xml": broken.isNotNull()} | validate.rss_rules(title, link)).alias("reasons"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import datetime as dt
 import re
 
@@ -93,14 +95,19 @@ def deep_page(records: DataFrame, offset: int, page_size: int) -> DataFrame:
     )
 
 
-def page_info(records: DataFrame, page: int = 1, page_size: int = 50) -> DataFrame:
+def page_info(
+    records: DataFrame, page: int = 1, page_size: int = 50, filters: dict[str, str] | None = None
+) -> DataFrame:
+    """What goes with a page of ``records``; ``filters`` are the ones applied to them, shown as JSON."""
     _check_page(page, page_size)
+    applied = {k: v for k, v in (filters or {}).items() if v}
     total = records.agg(F.count("*").alias("total_records"))
     return total.select(
         F.lit(page).alias("page"),
         F.lit(page_size).alias("page_size"),
         "total_records",
         F.ceil(F.col("total_records") / page_size).cast("long").alias("total_pages"),
+        F.lit(json.dumps(applied) if applied else None).cast("string").alias("filters_applied"),
     )
 
 

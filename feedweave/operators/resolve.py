@@ -7,13 +7,12 @@ import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedweave.functions import scalars as S
 from feedweave.functions.text import COIN_URL, paren_symbol, slug, url_slug
 from feedweave.operators.normalize import ALIAS_FIELDS
-from feedweave.session import broadcast_if_small
 
 # Ticker symbols and the entities they stand for, in matching order.
 CRYPTO_SYMBOLS = [
@@ -61,7 +60,8 @@ CRYPTO_SYMBOLS = [
     ("tia", "celestia"),
 ]
 
-# A dictionary up to this size is compiled into the plan as a literal; a larger one is joined.
+# A dictionary in memory up to this size is compiled into the plan as a literal; any other is joined, with
+# the same answers.
 LITERAL_ALIASES = 256
 
 
@@ -179,19 +179,23 @@ def alias_in_title(clues: Clues, book: AliasBook) -> Column:
     return F.get(hits, F.lit(0))["canonical"]
 
 
-def url_entity(
-    pattern: str = COIN_URL, source_types: Sequence[str] = ("rss",)
-) -> Strategy:
+@dataclass(frozen=True)
+class UrlEntity:
     """Entity named in the link: a known alias, else the matched part itself."""
 
-    def strategy(clues: Clues, book: AliasBook) -> Column:
-        part = url_slug(clues.identity["link"], pattern)
-        return F.when(
-            clues.source_type.isin(list(source_types)),
-            F.coalesce(_lookup(book.aliases, part), part),
-        )
+    pattern: str = COIN_URL
+    source_types: tuple[str, ...] = ("rss",)
+
+    def part(self, clues: Clues) -> Column:
+        return F.when(clues.source_type.isin(list(self.source_types)), url_slug(clues.identity["link"], self.pattern))
+
+    def __call__(self, clues: Clues, book: AliasBook) -> Column:
+        part = self.part(clues)
+        return F.coalesce(_lookup(book.aliases, part), part)
+
 
-    return strategy
+def url_entity(pattern: str = COIN_URL, source_types: Sequence[str] = ("rss",)) -> Strategy:
+    return UrlEntity(pattern, tuple(source_types))
 
 
 def slug_of_title(clues: Clues, book: AliasBook) -> Column:
@@ -205,19 +209,70 @@ CASCADE: tuple[Strategy, ...] = (
 
 
 def resolve(
-    parsed: DataFrame, book: AliasBook = CRYPTO, cascade: Sequence[Strategy] = CASCADE
+    parsed: DataFrame, book: AliasBook | DataFrame = CRYPTO, cascade: Sequence[Strategy] = CASCADE
 ) -> DataFrame:
     """Add ``canonical_id``: the answer of the first strategy that has one.
 
-    A narrow projection, whatever the size of the feed. Own strategies are functions from
-    the clues to a column and can be put anywhere in the cascade.
+    ``book`` is a dictionary in memory or rows (ord, symbol, name) of any number. A small one in memory
+    makes a narrow projection, whatever the size of the feed; any other is joined. Own strategies are
+    functions from the clues to a column and can be put anywhere in the cascade; they see a dictionary in memory only.
     """
-    if len(book.aliases) > LITERAL_ALIASES:
-        raise ValueError("use resolve_with_table for a large dictionary")
     keyed = parsed.withColumn("_title_key", S.strip(F.lower("title")))
     clues = Clues(F.col("source_type"), F.col("title"), F.col("_title_key"), F.col("identity"))
-    answers = [strategy(clues, book) for strategy in cascade]
-    return keyed.withColumn("canonical_id", F.coalesce(*answers)).drop("_title_key")
+    in_memory = book if isinstance(book, AliasBook) else AliasBook()
+    if isinstance(book, AliasBook) and len(book.aliases) <= LITERAL_ALIASES:
+        answers = [strategy(clues, book) for strategy in cascade]
+        return keyed.withColumn("canonical_id", F.coalesce(*answers)).drop("_title_key")
+    aliases, symbols = _dictionary(parsed.sparkSession, book)
+    answers = []
+    for i, strategy in enumerate(cascade):
+        if strategy in _KEYS or isinstance(strategy, UrlEntity):
+            keys = [strategy.part(clues)] if isinstance(strategy, UrlEntity) else _KEYS[strategy](clues)
+            found = []
+            for j, key in enumerate(keys):
+                name = f"_answer_{i}_{j}"
+                keyed = _looked_up(keyed, key, symbols if strategy is symbol_of_id else aliases, name)
+                found.append(F.col(name))
+            if strategy is symbol_of_id:
+                found.append(F.when(keys[0].isNotNull(), clues.identity["id"]))
+            answers.append(F.coalesce(*found, *(keys if isinstance(strategy, UrlEntity) else [])))
+        elif strategy is alias_in_title:
+            name = f"_answer_{i}"
+            held = _contained(keyed.select("_title_key").distinct(), aliases)
+            keyed = keyed.join(held.withColumnRenamed("canonical", name), "_title_key", "left")
+            answers.append(F.col(name))
+        else:
+            answers.append(strategy(clues, in_memory))
+    return keyed.withColumn("canonical_id", F.coalesce(*answers)).select(
+        *[c for c in parsed.columns if c != "canonical_id"], "canonical_id")
+
+
+# What the default strategies look up.
+_KEYS: dict[Strategy, Callable[[Clues], list[Column]]] = {
+    symbol_of_id: lambda c: [F.when(
+        (c.source_type == "csv") & F.contains(c.identity["id"], F.lit("-")),
+        F.lower(F.substring_index(c.identity["id"], "-", 1)))],
+    alias_of_field: lambda c: [S.strip(F.lower(c.identity[f])) for f in ALIAS_FIELDS],
+    alias_of_title: lambda c: [c.title_key],
+    alias_in_parens: lambda c: [F.lower(paren_symbol(c.title))],
+}
+
+
+def _dictionary(spark: SparkSession, book: AliasBook | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, ord, canonical) of the aliases and of the symbols."""
+    if isinstance(book, AliasBook):
+        aliases = [(a, i, c) for i, (a, c) in enumerate(book.aliases.items())]
+        symbols = [(s, i, c) for i, (s, c) in enumerate(book.symbols.items())]
+        shape = "key string, ord int, canonical string"
+        return spark.createDataFrame(aliases, shape), spark.createDataFrame(symbols, shape)
+    symbols = book.groupBy(F.col("symbol").alias("key")).agg(
+        F.max("ord").alias("ord"), F.max_by("name", "ord").alias("canonical"))
+    return alias_rows(book).select(F.col("alias").alias("key"), "ord", "canonical"), symbols
+
+
+def _looked_up(rows: DataFrame, key: Column, table: DataFrame, name: str) -> DataFrame:
+    found = table.select(F.col("key").alias("_key"), F.col("canonical").alias(name))
+    return rows.withColumn("_key", key).join(found, "_key", "left").drop("_key")
 
 
 def _title_parts(title_key: Column, lengths: Column) -> Column:
@@ -236,104 +291,32 @@ def _title_parts(title_key: Column, lengths: Column) -> Column:
     )
 
 
-def _alias_parts(alias: Column) -> Column:
-    """Every piece of an alias, the empty one included."""
+def _alias_parts(alias: Column, lengths: Column) -> Column:
+    """Every piece of an alias that is as long as some title."""
     size = F.length(alias)
-    starts = F.sequence(F.lit(1), size)
-    pieces = F.flatten(
-        F.transform(
-            starts,
-            lambda p: F.transform(
-                F.sequence(F.lit(1), size - p + 1), lambda n: F.substring(alias, p, n)
-            ),
-        )
-    )
-    return F.array_distinct(F.concat(F.array(F.lit("")), pieces))
+    fitting = F.filter(lengths, lambda n: n <= size)
+    pieces = F.transform(fitting, lambda n: F.transform(
+        F.sequence(F.lit(1), size - n + 1), lambda p: F.substring(alias, p, n)))
+    return F.array_distinct(F.flatten(pieces))
 
 
-def resolve_with_table(parsed: DataFrame, symbols: DataFrame) -> DataFrame:
-    """The default cascade against a dictionary of any size, held as rows (ord, symbol, name).
+def _contained(titles: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``_title_key, canonical`` of titles that hold an alias or lie in one: the first alias in order.
 
-    Containment becomes equality: titles are cut into pieces as long as the aliases, aliases
-    into all their pieces, and both meet in one equi-join. The work is done once per distinct
-    combination of clues, and no step pairs every title with every alias.
+    Containment becomes equality: distinct titles are cut into pieces as long as the aliases, aliases into
+    pieces as long as the titles, and both meet in equi-joins. No step pairs every title with every alias.
     """
-    aliases = alias_rows(symbols)
-    clue_text = F.to_json(
-        F.struct("source_type", "title", "identity"), {"ignoreNullFields": "false"}
-    )
-    keyed = parsed.withColumn("_clues", F.sha2(clue_text, 256))
-    distinct = keyed.select("_clues", "source_type", "title", "identity").distinct()
-    title_key = S.strip(F.lower("title"))
-    id, link = F.col("identity.id"), F.col("identity.link")
-    is_symbol_id = (F.col("source_type") == "csv") & F.contains(id, F.lit("-"))
-
-    def probe(step: int, kind: str, key: Column) -> Column:
-        return F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), key.alias("key"))
-
-    # Distinct alias lengths: at most one number per possible length of a name.
-    lengths = [r["n"] for r in aliases.select(F.length("alias").alias("n")).distinct().collect()]
-    length_list = F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")
-    first_steps = [
-        probe(0, "symbol", F.when(is_symbol_id, F.lower(F.substring_index(id, "-", 1)))),
-        *[probe(i, "alias", S.strip(F.lower(F.col(f"identity.{f}"))))
-          for i, f in enumerate(ALIAS_FIELDS, start=1)],
-        probe(5, "alias", title_key),
-        probe(6, "alias", F.lower(paren_symbol(F.col("title")))),
-        probe(7, "part", title_key),
-        probe(8, "alias", F.when(F.col("source_type") == "rss", url_slug(link))),
-    ]
-    probes = distinct.select(
-        "_clues",
-        F.explode(
-            F.concat(
-                F.array(*first_steps),
-                F.coalesce(
-                    F.transform(
-                        _title_parts(title_key, length_list), lambda p: probe(7, "alias", p)
-                    ),
-                    F.array().cast("array<struct<step:int,kind:string,key:string>>"),
-                ),
-            )
-        ).alias("probe"),
-    ).select("_clues", "probe.*").filter(F.col("key").isNotNull())
-
-    by_symbol = symbols.groupBy(F.col("symbol").alias("key")).agg(
-        F.max("ord").alias("ord"), F.max_by("name", "ord").alias("canonical")
-    )
-    by_part = (
-        aliases.select("ord", "canonical", F.explode(_alias_parts(F.col("alias"))).alias("key"))
-        .groupBy("key")
-        .agg(F.min("ord").alias("ord"), F.min_by("canonical", "ord").alias("canonical"))
-    )
-    entries = (
-        by_symbol.select(F.lit("symbol").alias("kind"), "key", "ord", "canonical")
-        .unionByName(
-            aliases.select(F.lit("alias").alias("kind"), F.col("alias").alias("key"), "ord", "canonical")
-        )
-        .unionByName(by_part.select(F.lit("part").alias("kind"), "key", "ord", "canonical"))
-    )
-    found = probes.join(broadcast_if_small(entries), ["kind", "key"])
-    later = F.col("step") > 0
-    answers = found.groupBy("_clues").agg(
-        F.max(F.when(~later, F.col("canonical"))).alias("_by_symbol"),
-        F.min_by(
-            F.when(later, F.col("canonical")), F.when(later, F.struct("step", "ord"))
-        ).alias("_by_alias"),
-    )
-    # What needs no dictionary is worked out on the rows themselves.
-    answer = F.coalesce(
-        "_by_symbol",
-        F.when(is_symbol_id, id),
-        "_by_alias",
-        F.when(F.col("source_type") == "rss", url_slug(link)),
-        slug(F.col("title")),
-    )
-    return (
-        keyed.join(answers, "_clues", "left")
-        .withColumn("canonical_id", answer)
-        .drop("_clues", "_by_symbol", "_by_alias")
-    )
+    titles = titles.filter("_title_key IS NOT NULL")
+    of_aliases = aliases.agg(F.array_sort(F.collect_set(F.length("key"))).alias("lengths"))
+    of_titles = titles.agg(F.array_sort(F.collect_set(F.length("_title_key"))).alias("lengths"))
+    cut = titles.withColumn("lengths", of_aliases.scalar())
+    pieces = cut.select("_title_key", F.explode(_title_parts(F.col("_title_key"), F.col("lengths"))).alias("key"))
+    inside = pieces.join(aliases, "key").select("_title_key", "ord", "canonical")
+    parts = aliases.withColumn("lengths", of_titles.scalar()).select(
+        F.explode(_alias_parts(F.col("key"), F.col("lengths"))).alias("_title_key"), "ord", "canonical")
+    parts = parts.groupBy("_title_key").agg(F.min("ord").alias("ord"), F.min_by("canonical", "ord").alias("canonical"))
+    around = titles.join(parts, "_title_key").select("_title_key", "ord", "canonical")
+    return inside.unionByName(around).groupBy("_title_key").agg(F.min_by("canonical", "ord").alias("canonical"))
 
 
 def as_parsed(records: DataFrame) -> DataFrame:
@@ -354,7 +337,7 @@ def as_parsed(records: DataFrame) -> DataFrame:
 
 
 def backfill(
-    records: DataFrame, book: AliasBook = CRYPTO, cascade: Sequence[Strategy] = CASCADE
+    records: DataFrame, book: AliasBook | DataFrame = CRYPTO, cascade: Sequence[Strategy] = CASCADE
 ) -> DataFrame:
     """Resolve the rows without a canonical id and leave the others untouched, in one pass."""
     known = F.col("_known")
@@ -370,7 +353,7 @@ def override(records: DataFrame, overrides: DataFrame) -> DataFrame:
     """Manual corrections (source_id, canonical_id), one per record at most."""
     fixes = overrides.select("source_id", F.col("canonical_id").alias("_fixed"))
     return (
-        records.join(broadcast_if_small(fixes), "source_id", "left")
+        records.join(fixes, "source_id", "left")
         .withColumn("canonical_id", F.coalesce("_fixed", "canonical_id"))
         .select(*records.columns)
     )

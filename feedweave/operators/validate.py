@@ -10,6 +10,10 @@ from feedweave.schemas import LENGTH_LIMITS, RSS_SOURCE_ID_LIMIT, SOURCE_TYPES
 TITLE_LIMIT = LENGTH_LIMITS["title"]
 
 
+# Reasons of input that was not read as a record at all.
+UNREADABLE_REASONS = ("surplus_cells", "not_a_list", "malformed_xml")
+
+
 def failed_rules(rules: dict[str, Column]) -> Column:
     """Names of the rules a record breaks; empty for a valid record."""
     marks = [F.when(broken, F.lit(name)) for name, broken in rules.items()]

@@ -28,6 +28,7 @@ def load() -> None:
     """Import every module that registers queries."""
     from feedweave.plans import (  # noqa: F401
         queries_identity,
+        queries_input,
         queries_operations,
         queries_quality,
         queries_reads,

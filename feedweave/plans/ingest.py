@@ -6,7 +6,7 @@ import datetime as dt
 import hashlib
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +58,7 @@ class Feed:
     expected: Mapping[str, str] | None = None
     mismatches: Column | None = None
     inspect: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    metadata: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def source_type(self) -> str:
@@ -67,10 +68,10 @@ class Feed:
 
 def csv_feed(spark: SparkSession, path: str, columns: list[str] | None = None) -> Feed:
     def parse() -> DataFrame:
-        rows = files.read_csv(spark, path, columns)
+        rows = files.read_csv(spark, path, columns, unreadable=True)
         return parse_csv(rows)
 
-    return csv_rows_feed(parse)
+    return replace(csv_rows_feed(parse), metadata={"path": path})
 
 
 def csv_rows_feed(parse: Callable[[], DataFrame]) -> Feed:
@@ -90,12 +91,15 @@ def api_feed(
         expected,
         drift.json_mismatches(F.col("record"), expected),
         files.as_records,
+        {"path": path, "api_name": name},
     )
 
 
 def rss_feed(spark: SparkSession, path: str, atom: bool = False) -> Feed:
     read = files.read_atom if atom else files.read_rss
-    return Feed("rss", lambda: parse_rss(read(spark, path)), schemas.EXPECTED_FIELDS["rss"])
+    return Feed(
+        "rss", lambda: parse_rss(read(spark, path)), schemas.EXPECTED_FIELDS["rss"], metadata={"path": path}
+    )
 
 
 def _now() -> dt.datetime:
@@ -113,7 +117,7 @@ class Lake:
         self,
         spark: SparkSession,
         root: str,
-        book: resolve.AliasBook = resolve.CRYPTO,
+        book: resolve.AliasBook | DataFrame = resolve.CRYPTO,
         cascade: Sequence[resolve.Strategy] = resolve.CASCADE,
         buckets: int = 8,
         clock: Callable[[], dt.datetime] = _now,
@@ -158,19 +162,33 @@ class Lake:
         """Ingest one feed. ``batch`` names the (stream, batch id) of a streaming call, which
         makes a repeated call change nothing twice."""
         started = self.clock()
-        tail = hashlib.md5(f"{feed.name}|{started.isoformat()}".encode()).hexdigest()[:8]
-        run_id = f"run_{started:%Y%m%d_%H%M%S}_{tail}"
-        self._note(run_id, feed.name, started, "running", metadata=metadata or {})
+        name = f"{feed.name}|{started.isoformat()}" if batch is None else f"{batch[0]}|{batch[1]}"
+        tail = hashlib.md5(name.encode()).hexdigest()
+        run_id = f"run_{started:%Y%m%d_%H%M%S}_{tail[:8]}" if batch is None else f"batch_{batch[1]:08d}_{tail[:16]}"
+        if batch is not None:
+            done = self._finished(run_id)
+            if done is not None:
+                return done
         try:
+            self._note(run_id, feed.name, started, "running", metadata=dict(feed.metadata) | (metadata or {}))
             with scratch(self.spark, run_id) as folder:
                 result, mark = self._ingest(feed, run_id, started, incremental, batch, folder)
+            self._note(run_id, feed.name, self.clock(), "success", result=result, mark=mark)
         except Exception as error:  # the books must show the failure, whatever it was
             log.exception("run %s of %s failed", run_id, feed.name)
             self._note(run_id, feed.name, self.clock(), "failure", error=str(error))
             return RunResult(run_id, feed.name, "failure", error=str(error))
-        self._note(run_id, feed.name, self.clock(), "success", result=result, mark=mark)
         return result
 
+    def _finished(self, run_id: str) -> RunResult | None:
+        """The result of a run that has ended well, as its events tell."""
+        ended = self.run_events.entry(f"{run_id}-success")
+        row = ended.first() if ended is not None else None
+        if row is None:
+            return None
+        return RunResult(run_id, row["source_type"], "success", row["records_processed"], row["records_inserted"],
+                         row["records_updated"], row["records_failed"])
+
     def _ingest(
         self, feed: Feed, run_id: str, started: dt.datetime, incremental: bool,
         batch: tuple[str, int] | None, folder: str,
@@ -184,7 +202,9 @@ class Lake:
         marked = staged.withColumn("skipped", stale)
         entry = f"{batch[0]}-{batch[1]:08d}" if batch else run_id
 
-        checked = drift.detect(feed.inspect(staged), feed.expected, mismatches=feed.mismatches)
+        # What could not be read as a record has no fields to speak of.
+        record = ~F.arrays_overlap("reasons", F.array(*[F.lit(r) for r in validate.UNREADABLE_REASONS]))
+        checked = drift.detect(feed.inspect(staged.filter(record)), feed.expected, mismatches=feed.mismatches)
         drifted = drift.with_suggestions(checked.filter("has_drift"), folder=folder)
         at = F.lit(started).cast("timestamp")
         self.drift_log.write(
@@ -269,3 +289,25 @@ class Lake:
             self._upsert(
                 self.records, partial(merge.merge_records, as_of=at), again, list(sizes), small
             )
+
+    def backfill(self) -> None:
+        """Resolve the stored rows without a canonical id and store the result."""
+        self._rewrite(lambda rows: resolve.backfill(rows, self.book, self.cascade))
+
+    def override(self, overrides: DataFrame) -> None:
+        """Store manual corrections (source_id, canonical_id), one per record at most."""
+        self._rewrite(lambda rows: resolve.override(rows, overrides))
+
+    def _rewrite(self, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the partitions in which ``change`` gives a row another canonical id."""
+        stored = self.records.read()
+        if stored.isEmpty():
+            return
+        with scratch(self.spark, "rewrite") as folder:
+            before = stored.select("source_id", F.col("canonical_id").alias("_before"))
+            changed = change(stored).join(before, "source_id").filter(~F.col("canonical_id").eqNullSafe(F.col("_before")))
+            changed = stage(changed.drop("_before").select(*stored.columns), "changed", folder)
+            parts = self.records.parts_of(changed)
+            if parts:
+                rest = self.records.read(parts).join(changed.select("source_id"), "source_id", "left_anti")
+                self.records.replace(rest.unionByName(changed), parts)

@@ -140,7 +140,7 @@ def joined_dictionary_ids(spark, folder):
         .filter(F.col("name").isNotNull())
     )
     feeds = unify([t.parts(spark, folder), t.pages(spark, folder)])
-    resolved = R.resolve_with_table(feeds, symbols)
+    resolved = R.resolve(feeds, symbols)
     return resolved.select("source_type", "source_id", "canonical_id")
 
 

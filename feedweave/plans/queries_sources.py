@@ -150,7 +150,7 @@ def renormalize_raw(spark, folder):
     feeds = {"csv": t.orders, "api1": t.events, "rss": t.pages}
     raw = None
     for name, feed in feeds.items():
-        rows = feed(spark, folder).select("source_type", F.lit(name).alias("source_name"), "raw_data")
+        rows = feed(spark, folder).select("source_type", "source_id", F.lit(name).alias("source_name"), "raw_data")
         raw = rows if raw is None else raw.unionByName(rows)
     again = [archive.archived_csv(raw), archive.archived_api(raw, "api1"), archive.archived_rss(raw)]
     columns = ["source_type", "source_id", "title", "category", "value"]

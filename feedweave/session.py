@@ -76,14 +76,3 @@ def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     finally:
         location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` as JSON text, computed by a distributed aggregate."""
-    total = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()["b"]
-    return int(total or 0)
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only after measuring; a larger side stays a shuffled join."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df

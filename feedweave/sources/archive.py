@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feedweave.operators.normalize import ALIAS_FIELDS, ApiMapping, parse_api, parse_csv, parse_rss
+from feedweave.operators.normalize import ALIAS_FIELDS, STORED, ApiMapping, parse_api, parse_csv, parse_rss
 from feedweave.sources.files import CSV_COLUMNS, as_records
 
 
-def archived_csv(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    names = columns or CSV_COLUMNS + ALIAS_FIELDS
-    shape = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = raw.filter(F.col("source_type") == "csv")
-    return parse_csv(rows.select(F.from_json("raw_data", shape).alias("r")).select("r.*"))
+def archived_csv(raw: DataFrame) -> DataFrame:
+    """Stored CSV rows with the fields each of them had; ids and raw texts stay as stored."""
+    names = [*CSV_COLUMNS, "guid", "link", *ALIAS_FIELDS]
+    cells = F.from_json("raw_data", "map<string,string>")
+    rows = raw.filter(F.col("source_type") == "csv").select(
+        *[F.try_element_at(cells, F.lit(n)).alias(n) for n in names],
+        F.col("source_id").alias(f"{STORED}id"), F.col("raw_data").alias(f"{STORED}raw"),
+        F.map_keys(cells).alias(f"{STORED}fields"))
+    return parse_csv(rows, stored={
+        "source_id": F.col(f"{STORED}id"), "raw_data": F.col(f"{STORED}raw"), "fields": F.col(f"{STORED}fields")})
 
 
 def archived_api(raw: DataFrame, feed: str, mapping: ApiMapping = ApiMapping()) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweave.functions.scalars import null_text
+from feedweave.operators.normalize import UNREADABLE
 
 CSV_COLUMNS = ["id", "title", "description", "value", "category", "timestamp"]
 
@@ -48,37 +52,86 @@ ATOM_ENTRY = T.StructType(
 )
 
 
-def csv_columns(spark: SparkSession, path: str) -> list[str]:
-    """Header of the feed: one line is read, nothing is inferred."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+# Cells beyond the header that are looked for in a row.
+SURPLUS_CELLS = 64
 
 
-def clean_csv(df: DataFrame) -> DataFrame:
-    return df.select(
-        [F.when(~F.col(f"`{c}`").isin(CSV_NULLS), F.col(f"`{c}`")).alias(c) for c in df.columns]
-    )
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``header, files``: the first line of every file, one row for each different one.
 
+    Only first blocks are read. Nothing is inferred.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+    firsts = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return firsts.groupBy("header").agg(F.collect_list("file").alias("files"))
 
-def read_csv(
-    spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = False
-) -> DataFrame:
-    """CSV with a header, every column as text.
 
-    ``multiline`` is off by default so that large files stay splittable; set it only for
-    feeds whose quoted cells contain line breaks.
-    """
-    names = columns or csv_columns(spark, path)
-    schema = T.StructType([T.StructField(n, _TEXT) for n in names])
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns of the feed: those of every header, in the order they are first met."""
+    names: list[str] = []
+    for header, _ in _layouts(spark, path):
+        names += [n for n in header if n not in names]
+    return names
+
+
+def _layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of each different header; the names of files go through the driver, as in any read."""
+    found = []
+    for row in csv_headers(spark, path).orderBy("header").collect():
+        if row["header"]:
+            names = next(csv.reader([row["header"].removeprefix("\ufeff").rstrip("\r")]))
+            found.append(([n or f"_c{i}" for i, n in enumerate(names)], row["files"]))
+    return found
+
+
+def _csv_rows(spark: SparkSession, names: list[str], paths: list[str], multiline: bool) -> DataFrame:
+    """Rows of files with one header; a row with more cells keeps its text in ``UNREADABLE``."""
+    schema = T.StructType([T.StructField(n, _TEXT) for n in [*names, UNREADABLE]])
     raw = (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", UNREADABLE)
+        .option("columnPruning", False)
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
+        .csv(paths)
+    )
+    # A row may be shorter than the header; only cells beyond it cannot be placed.
+    wide = T.StructType([T.StructField(f"c{i}", _TEXT) for i in range(len(names) + SURPLUS_CELLS)])
+    names_of_cells = ", ".join(f"{f.name} string" for f in wide.fields)
+    cells = F.from_csv(F.col(UNREADABLE), names_of_cells, {"quote": '"', "escape": '"'})
+    surplus = F.array_compact(F.array(*[cells[f"c{i}"] for i in range(len(names), len(names) + SURPLUS_CELLS)]))
+    extra = F.when(F.col(UNREADABLE).isNotNull() & (F.size(surplus) > 0), F.col(UNREADABLE))
+    return raw.select(
+        *[F.when(~F.col(f"`{n}`").isin(CSV_NULLS), F.col(f"`{n}`")).alias(n) for n in names], extra.alias(UNREADABLE)
     )
-    return clean_csv(raw)
+
+
+def read_csv(
+    spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = False,
+    unreadable: bool = False,
+) -> DataFrame:
+    """CSV with a header, every column as text, placed by each file's own header.
+
+    ``columns`` are the ones wanted, by default all; one that a file lacks is null there. With ``unreadable``
+    a further column holds the text of rows with more cells than their header, which are left out otherwise.
+    ``multiline`` is off by default so that large files stay splittable; set it only for
+    feeds whose quoted cells contain line breaks.
+    """
+    layouts = _layouts(spark, path)
+    names = columns or list(dict.fromkeys(n for header, _ in layouts for n in header)) or CSV_COLUMNS
+    parts = [_csv_rows(spark, header, paths, multiline) for header, paths in layouts]
+    if not parts:
+        parts = [spark.createDataFrame([], T.StructType([T.StructField(n, _TEXT) for n in [*names, UNREADABLE]]))]
+    wanted = [
+        p.select(*[(F.col(f"`{n}`") if n in p.columns else null_text()).alias(n) for n in names], UNREADABLE) for p in parts
+    ]
+    rows = reduce(DataFrame.unionByName, wanted)
+    return rows if unreadable else rows.filter(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
 
 
 def as_records(df: DataFrame, column: str = "raw_data") -> DataFrame:
@@ -94,30 +147,35 @@ def unwrap_payload(df: DataFrame, column: str = "value") -> DataFrame:
     """One row per record of each API response text.
 
     A response is a bare list, an object with the list under ``data`` or, failing that,
-    ``results``, or a single record. A response that is not JSON gives one row with a null
-    record and the text kept, so it can be quarantined.
+    ``results``, or a single record. A response that is not JSON, or holds anything but a list
+    there, gives one row with a null record and the text kept, and ``UNREADABLE`` says why.
     """
     parsed = df.withColumn("_doc", F.try_parse_json(column))
     doc = F.col("_doc")
 
+    def kind(path: str):
+        return F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
+
     def rows(path: str):
-        return F.try_variant_get(doc, path, "array<variant>")
+        return F.coalesce(F.try_variant_get(doc, path, "array<variant>"), F.array().cast("array<variant>"))
 
-    has_data = F.schema_of_variant(F.try_variant_get(doc, "$.data", "variant"))
-    has_results = F.schema_of_variant(F.try_variant_get(doc, "$.results", "variant"))
+    listed = F.when(kind("$.data").isNotNull(), kind("$.data")).otherwise(kind("$.results"))
     is_list = F.schema_of_variant(doc).startswith("ARRAY")
+    reason = F.when(doc.isNull(), "not_json").when(~is_list & listed.isNotNull() & ~listed.startswith("ARRAY"), "not_a_list")
+    none = F.lit(None).cast("variant")
     records = (
-        F.when(doc.isNull(), F.array(doc))
+        F.when(reason.isNotNull(), F.array(none))
         .when(is_list, rows("$"))
-        .when(has_data.isNotNull(), rows("$.data"))
-        .when(has_results.isNotNull(), rows("$.results"))
+        .when(kind("$.data").isNotNull(), rows("$.data"))
+        .when(kind("$.results").isNotNull(), rows("$.results"))
         .otherwise(F.array(doc))
     )
-    exploded = parsed.withColumn("record", F.explode(records))
+    exploded = parsed.withColumn(UNREADABLE, reason).withColumn("record", F.explode(records))
     return exploded.select(
         *[c for c in df.columns if c != column],
         "record",
-        F.coalesce(F.to_json("record"), F.when(doc.isNull(), F.col(column))).alias("raw_data"),
+        F.coalesce(F.to_json("record"), F.when(F.col(UNREADABLE).isNotNull(), F.col(column))).alias("raw_data"),
+        UNREADABLE,
     )
 
 
@@ -138,6 +196,7 @@ def rss_columns(df: DataFrame) -> DataFrame:
             F.coalesce(F.col("category"), F.array().cast(T.ArrayType(_CATEGORY))),
             lambda c: F.coalesce(c["_term"], c["_VALUE"]),
         ).alias("categories"),
+        *[c for c in df.columns if c == UNREADABLE],
     )
 
 
@@ -156,17 +215,36 @@ def atom_columns(df: DataFrame) -> DataFrame:
             F.coalesce(F.col("category"), F.array().cast(T.ArrayType(_CATEGORY))),
             lambda c: F.coalesce(c["_term"], c["_VALUE"]),
         ).alias("categories"),
+        *[c for c in df.columns if c == UNREADABLE],
     )
 
 
+def _elements(spark: SparkSession, path: str, tag: str, shape: T.StructType) -> DataFrame:
+    """``e``, the parsed elements of a tag, and ``UNREADABLE``, the text of those that are not well-formed.
+
+    Files are cut after each end tag, so large ones are split. An element that is never closed
+    ends where the next one begins, which is read as usual.
+    """
+    cut = spark.read.option("lineSep", f"</{tag}>").text(path)
+    pieces = F.split("value", f"(?=<{tag}[\\s/>])", -1)
+    rows = cut.select(F.posexplode(pieces).alias("place", "piece"), F.size(pieces).alias("n"))
+    rows = rows.filter(F.col("piece").rlike(f"^<{tag}[\\s/>]"))
+    closed = F.col("place") == F.col("n") - 1
+    text = F.when(closed, F.concat("piece", F.lit(f"</{tag}>"))).otherwise(F.col("piece"))
+    marked = T.StructType([*shape.fields, T.StructField(UNREADABLE, _TEXT)])
+    parsed = rows.select(text.alias("text"), F.from_xml(
+        text, marked.json(), {"rowTag": tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}).alias("e"))
+    broken = F.col("e").isNull() | F.col(f"e.{UNREADABLE}").isNotNull()
+    return parsed.select(
+        *[F.col(f"e.{f.name}").alias(f.name) for f in shape.fields], F.when(broken, F.col("text")).alias(UNREADABLE))
+
+
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
-    items = spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM).load(path)
-    return rss_columns(items)
+    return rss_columns(_elements(spark, path, "item", RSS_ITEM))
 
 
 def read_atom(spark: SparkSession, path: str) -> DataFrame:
-    entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
-    return atom_columns(entries)
+    return atom_columns(_elements(spark, path, "entry", ATOM_ENTRY))
 
 
 def missing_as_null(df: DataFrame, columns: list[str]) -> DataFrame:

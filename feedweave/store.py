@@ -216,3 +216,9 @@ class Log:
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", True)
         return reader.parquet(self.path)
+
+    def entry(self, entry: str) -> DataFrame | None:
+        """Rows of one entry, or nothing if it was never written whole."""
+        if "_SUCCESS" not in Folder(self.spark, f"{self.path}/{entry}").names():
+            return None
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{entry}")

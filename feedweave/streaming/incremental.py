@@ -37,8 +37,9 @@ def into_lake(
 ) -> StreamingQuery:
     """Upsert a stream of feed rows into the lake, batch by batch.
 
-    Each micro-batch is one run. Its id is stored with the tables, so a batch that Spark
-    repeats after a failure is taken in once; a failed run fails the batch, and the next
+    Each micro-batch is one run, known by the id that Spark keeps in ``checkpoint`` and the batch's
+    number. A batch that Spark repeats after a failure is taken in and counted once; a new checkpoint folder
+    is a new stream, whatever its name, and brings its rows again. A failed run fails the batch, and the next
     start resumes with it. ``incremental`` drops rows at or below the high-water mark.
     ``continuous`` keeps the query running at that interval; by default it takes what is
     there and stops.
@@ -46,7 +47,8 @@ def into_lake(
 
     def take_in(rows: DataFrame, batch_id: int) -> None:
         batch_feed = replace(feed, parse=lambda: parse(rows))
-        result = lake.run(batch_feed, incremental=incremental, batch=(name, batch_id))
+        stream_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        result = lake.run(batch_feed, incremental=incremental, batch=(stream_id, batch_id))
         if result.status != "success":
             raise RuntimeError(result.error)
 

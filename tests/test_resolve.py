@@ -54,7 +54,7 @@ def symbol_rows(spark):
 
 def test_goldens_with_joined_dictionary(spark, symbol_rows):
     df = parsed(spark, GOLDENS)
-    assert answers(R.resolve_with_table(df, symbol_rows)) == [g[3] for g in GOLDENS]
+    assert answers(R.resolve(df, symbol_rows)) == [g[3] for g in GOLDENS]
 
 
 def test_alias_rows_match_literal_book(spark, symbol_rows):
@@ -75,13 +75,19 @@ def test_joined_and_literal_dictionary_agree_on_page_titles(spark, symbol_rows):
     df = titles.select("source_type", "title", identity(link=F.col("link")).alias("identity")).withColumn(
         "i", F.row_number().over(__import__("pyspark").sql.Window.orderBy("source_type", "title", "identity.link"))
     )
-    assert answers(R.resolve(df)) == answers(R.resolve_with_table(df, symbol_rows))
-
-
-def test_large_dictionary_needs_the_table(spark):
-    book = R.AliasBook.of((f"s{i}", f"name-{i}") for i in range(300))
-    with pytest.raises(ValueError):
-        R.resolve(parsed(spark, GOLDENS), book)
+    assert answers(R.resolve(df)) == answers(R.resolve(df, symbol_rows))
+
+
+def test_a_large_book_in_memory_gives_the_same_answers(spark, monkeypatch):
+    titles = ["Bitcoin", "buy (eth) now", "the-graph", "", None, "bit", "x name-7 y", "s12", "name 299"]
+    rows = [("csv", t, {"id": f"s{i}-x"}) for i, t in enumerate(titles)] + [("rss", t, {"link": "https://x/coin/s5"}) for t in titles]
+    rows += [("api1", "Q", {"symbol": " S9 "}), ("api1", "Q", {"currency": "name-4"})]
+    book = R.AliasBook.of([*R.CRYPTO_SYMBOLS, *((f"s{i}", f"name-{i}") for i in range(300))])
+    loud = lambda clues, _: F.when(clues.title == "Q", F.lit("own"))
+    cascade = (*R.CASCADE[:2], loud, *R.CASCADE[2:5], R.url_entity("/coin/([a-z0-9]+)"), R.slug_of_title)
+    joined = answers(R.resolve(parsed(spark, rows), book, cascade))
+    monkeypatch.setattr(R, "LITERAL_ALIASES", 10_000)
+    assert joined == answers(R.resolve(parsed(spark, rows), book, cascade))
 
 
 def test_own_strategy_goes_first(spark):
