@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 
 class Classes:
@@ -49,6 +50,12 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def far(a, b, distance):
+    """Whether the letters alone show that the edit distance is larger."""
+    one, two = Counter(a), Counter(b)
+    return sum(((one - two) + (two - one)).values()) > 2 * distance
+
+
 def deduped_lines(docs, distance=2, least=20, near=40):
     """(id, text, number of lines cut) with every pair of lines compared."""
     places = {}
@@ -61,7 +68,7 @@ def deduped_lines(docs, distance=2, least=20, near=40):
     classes = Classes(range(len(lines)))
     for x, a in enumerate(lines):
         for y, b in enumerate(lines[:x]):
-            if min(len(a), len(b)) >= near and abs(len(a) - len(b)) <= distance and edit_distance(a, b) <= distance:
+            if min(len(a), len(b)) >= near and abs(len(a) - len(b)) <= distance and not far(a, b, distance) and edit_distance(a, b) <= distance:
                 classes.link(x, y)
     members = {}
     for x, line in enumerate(lines):
