@@ -2,7 +2,8 @@
 
 Byte-level BPE never merges across the pieces of its pre-tokeniser, so the ids of a text are those of its
 pieces in a row. Pieces repeat; each worker keeps the ids of those it has met (a bounded table) and hands
-only new ones to the library. Texts with characters outside the table below go to the library whole.
+only new ones to the library. Texts with characters outside the table below go to the library whole, and so do
+those that hold an added token of the file, which the library looks for before it cuts pieces.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values() if x.content]
         self.most, self.powers = most_pieces, Powers()
         self._forget()
 
@@ -124,10 +125,12 @@ class Encoder:
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         if not len(text):
             return np.zeros(0, np.int32), lengths
-        odd = np.flatnonzero(text >= PLAIN)
+        odd = np.unique(np.searchsorted(bounds, np.flatnonzero(text >= PLAIN), side="right") - 1)
+        added = [x for x in self.added if x in joined]
+        if added:
+            odd = np.union1d(odd, [i for i, x in enumerate(texts) if any(a in x for a in added)]).astype(np.int64)
         if not len(odd):
             return self._plain(joined, text, bounds)
-        odd = np.unique(np.searchsorted(bounds, odd, side="right") - 1)
         rest = np.setdiff1d(np.arange(len(texts)), odd)
         ids, counts = self._some([texts[i] for i in rest]) if len(rest) else (np.zeros(0, np.int32), lengths[:0])
         whole = dict(zip(odd.tolist(), self._whole([texts[i] for i in odd])))

@@ -91,3 +91,18 @@ def test_rests_go_to_the_cheapest_sequence_with_room():
     # Longest first: 60 and 50 open both sequences, 40 joins the cheaper.
     assert [(p[0], p[3]) for p in placed[:3]] == [(0, 0), (1, 1), (2, 1)]
     assert max(costs) - min(costs) < 40
+
+
+def test_added_tokens_are_those_of_the_file(spark, table, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>b it's", "<|endof", "text|>", "é 語 <|endoftext|>", "plain"]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    wanted = {i: tool.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    path = str(tmp_path / "tokens")
+    tokens.write_tokens(table(rows, SCHEMA), path)
+    assert {r.doc_id: list(r.ids) for r in tokens.read_tokens(spark, path).collect()} == wanted
+    pieces = packing.pack(table(rows, SCHEMA)).collect()
+    assert {p.doc_id: np.frombuffer(p.ids, "<i4").tolist() for p in pieces} == wanted
