@@ -21,10 +21,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of lines are cut; a document of which no line long enough to be compared is left goes."""
+    """Later repeats of lines are cut; a document of which only white space is left then goes."""
     cut = lines.dedup_lines(docs)
-    left = F.exists(F.split("text", "\n", -1), lambda x: F.char_length(F.trim(x)) >= lines.LEAST_CHARS)
-    kept = cut.filter((F.col("lines_removed") == 0) | left)
+    kept = cut.filter((F.col("lines_removed") == 0) | F.col("text").rlike(r"[^ \t-\r]"))
     return kept.withColumn("n_chars", F.when(F.col("lines_removed") == 0, F.col("n_chars"))
                            .otherwise(F.char_length("text")).cast("long")).select(*docs.columns)
 

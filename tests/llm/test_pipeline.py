@@ -79,3 +79,12 @@ def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_short_lines_left_by_line_dedup_stay(spark):
+    line = "a line that is found in a number of documents, word for word"
+    rows = [(1, line), (2, f"{line}\nmilk\neggs"), (3, f" \n{line}\n\t\x0b\r"), (4, "ay"), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.dedup_lines(spark, docs, "").collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in kept} == {
+        1: (line, len(line)), 2: ("milk\neggs", 9), 4: ("ay", 2), 5: (None, 0), 6: ("", 0)}
