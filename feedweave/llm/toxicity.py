@@ -1,14 +1,17 @@
 """Toxicity: class-conditional Kneser-Ney bigram models, compared by length-normalised log-likelihood.
 
-Three levels. ``P_c(w | h)`` discounts the class's bigram counts and backs off to the class's word
-probabilities, which discount its word counts and back off to probabilities shared by both classes: the
-number of contexts a word was met in, so that a rare expression tells the classes apart only as far as it was
-met in different places. The likelihood ratio is averaged over windows of a few dozen words (over the text, if
-it is shorter) and the largest average counts: a few toxic sentences in a long document are not diluted. A
-logistic curve, fitted on labelled documents that the counts have not seen, turns it into a score.
-
-Counts are taken over all labelled training rows. What reaches the driver and the workers is bounded by
-parameters: the ``most_words`` and ``most_pairs`` most frequent, and ``most_calibration`` labelled rows.
+Three levels. ``P_c(w | h)`` discounts the class's bigram counts, of every known word before, and backs off to
+what both classes share of the bigram, leant as the word itself leans: a pair that one class has not met weighs as
+far as the other has more of it than both together. The class's word probabilities discount its word counts and
+back off to probabilities shared by both classes: the number of contexts a word was met in, so that a rare
+expression tells the classes apart only as far as it was met in different places. The likelihood ratio is averaged
+over windows of a few dozen words (over the text, if it is shorter) and the largest average counts: a few toxic
+sentences in a long document are not diluted. A logistic curve, fitted on labelled documents that the counts have
+not seen, turns it into a score.
+
+Counts are taken over all labelled training rows, and no table has a fixed size: the driver and the workers hold
+12 bytes for each known word and 12 for each pair that weighs otherwise than its words do, which grows with the
+labelled text. Only the rows that the curve is fitted on are bounded (``most_calibration``).
 """
 
 from __future__ import annotations
@@ -25,50 +28,43 @@ from feedweave.llm.prefilter import maybe_in
 from feedweave.llm.text import PUNCTUATION, chunks, mix, utf8, word_hashes
 from feedweave.session import fresh_dir, stage
 
-#: Taken off every count of the smaller class, and off those of the larger one in proportion, so that both hand about
-#: the same share to the shared counts: at least the first, and so many times the root of the class's words.
-DISCOUNT, ROOT_DISCOUNT = 2.0, 1 / 30
 LEAST_COUNT = 4
 LEAST_CONTEXTS = 4
-#: A context met less often in either class says nothing by itself: only the word counts then.
-LEAST_CONTEXT_COUNT = 30
-#: Ratios up to the first are what counts of this size vary by and weigh nothing; no word weighs more than the second.
+#: Taken off counts of 0, 1, 2, and 3 or more, whatever the size of the input: the bounds of modified Kneser-Ney, as
+#: what a few texts repeat says little about a class.
+DISCOUNTS = np.array([0, 1, 2, 3])
+#: Ratios up to the first weigh nothing; no word weighs more than the second.
 DEAD_BAND, MOST_RATIO = 3.0, 6.0
-#: Evidence beyond this is as good as certain, so that a few texts known by heart do not flatten the curve.
-MOST_EVIDENCE = 0.5
+#: Marks the hash of a word before that is not a known one; a known one has its number.
+UNKNOWN = np.uint64(1 << 31)
 
 
 @dataclass
 class Model:
-    """Sorted tables of word and pair hashes with the probabilities of both classes (toxic, ordinary)."""
+    """Sorted tables of word and pair hashes with log-likelihood ratios, toxic to ordinary."""
 
     words: np.ndarray
-    word_p: np.ndarray  # 2 x (words + 1); the last is any other word
-    backoff: np.ndarray  # 2 x (words + 1), by context
+    word_ratio: np.ndarray  # words + 1; the last is any other word
     pairs: np.ndarray
-    pair_p: np.ndarray  # 2 x pairs
+    pair_weight: np.ndarray  # of pairs that weigh otherwise than their words do
     window: int
     slope: float = 1.0
     offset: float = 0.0
 
-    def numbers(self, words: np.ndarray) -> np.ndarray:
-        return find(self.words, words)
-
-    def ratios(self, words: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Log-likelihood ratio of each word given the one before it in its text."""
-        w = self.numbers(words)
+    def weights(self, words: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """What each word says, given the one before it in its text."""
+        w = find(self.words, words)
         h = np.roll(w, 1)
         h[before[:-1][before[:-1] < len(w)]] = len(self.words)
-        p = self.backoff[:, h] * self.word_p[:, w]
+        out = weight(self.word_ratio[w])
         at = find(self.pairs, pair_keys(h, w))
         known = at < len(self.pairs)
-        p[:, known] += self.pair_p[:, at[known]]
-        ratio = np.log(p[0] / p[1])
-        return np.sign(ratio) * np.clip(np.abs(ratio) - DEAD_BAND, 0, MOST_RATIO - DEAD_BAND)
+        out[known] = self.pair_weight[at[known]]
+        return out
 
     def evidence(self, words: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Largest mean ratio over a window of each text; 0 for a text without words."""
-        total = np.concatenate([[0.0], np.cumsum(self.ratios(words, before))]) if len(words) else np.zeros(1)
+        total = np.concatenate([[0.0], np.cumsum(self.weights(words, before), dtype=np.float64)]) if len(words) else np.zeros(1)
         lengths = np.diff(before)
         counts = np.maximum(lengths - self.window, 0) + (lengths > 0)
         first = np.concatenate([[0], np.cumsum(counts)])
@@ -80,7 +76,11 @@ class Model:
         some = counts > 0
         if some.any():
             out[some] = np.maximum.reduceat(means, first[:-1][some])
-        return np.clip(out, -MOST_EVIDENCE, MOST_EVIDENCE)
+        return out
+
+
+def weight(ratio: np.ndarray) -> np.ndarray:
+    return np.sign(ratio) * np.clip(np.abs(ratio) - DEAD_BAND, 0, MOST_RATIO - DEAD_BAND)
 
 
 def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
 
 def _pair_counts(rows: DataFrame, words) -> DataFrame:
-    """(32-bit hash of the word before, number of the known word, toxic count, ordinary count); ``words`` is broadcast."""
+    """(the word before: its number or a marked hash, number of the known word, both counts); ``words`` is broadcast."""
 
     def run(batches):
         table = words.value
@@ -139,11 +139,12 @@ def _pair_counts(rows: DataFrame, words) -> DataFrame:
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for a, b, found, before in _texts(batch, 0):
                 number = find(table, found)
-                left = np.roll(found, 1)
-                left[before[:-1][before[:-1] < len(found)]] = 1
+                left = np.where(number < len(table), number.astype(np.uint64), mix(found) >> np.uint64(33) | UNKNOWN)
+                left = np.roll(left, 1)
+                left[before[:-1][before[:-1] < len(found)]] = UNKNOWN
                 known = np.flatnonzero(number < len(table))
                 label = np.repeat(toxic[a:b], np.diff(before))[known].astype(np.int64)
-                pair = pair_keys(mix(left[known]) >> np.uint64(32), number[known])
+                pair = pair_keys(left[known], number[known])
                 pair, which = np.unique(pair, return_inverse=True)
                 t = np.bincount(which, weights=label, minlength=len(pair)).astype(np.int64)
                 n = np.bincount(which, minlength=len(pair))
@@ -152,25 +153,70 @@ def _pair_counts(rows: DataFrame, words) -> DataFrame:
 
     counted = rows.select("text", "toxic").mapInArrow(run, "pair long, t long, o long")
     counted = counted.groupBy("pair").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    return counted.select(F.shiftright("pair", 32).cast("int").alias("h"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int").alias("w"),
-                          "t", "o")
-
+    return counted.select(F.shiftrightunsigned("pair", 32).alias("h"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("w"), "t", "o")
+
+
+def _held(n: np.ndarray) -> np.ndarray:
+    """What discounts leave of counts."""
+    return n - DISCOUNTS[np.minimum(n, 3).astype(int)]
+
+
+def _word_model(met: pa.Table, size: int) -> np.ndarray:
+    """Probabilities of words in each class: 2 x (words + 1). Any other word is as likely in one as in the other."""
+    n = np.zeros((2, size))
+    for c, column in enumerate(("t", "o")):
+        n[c, met.column("w").to_numpy()] = met.column(column).to_numpy()
+    out = np.ones((2, size + 1))
+    seen = n.sum(axis=1)
+    if seen.min() > 0:
+        share = n.sum(axis=0) / seen.sum()
+        for c in range(2):
+            held = _held(n[c]) / seen[c]
+            out[c, :-1] = np.maximum(held + (1 - held.sum()) * share, 1e-300)
+    return out
+
+
+def _contexts(pair_counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words after each known word, and the share that it leaves to the words alone: 2 x (words + 1) each."""
+    parts = [x for c in "to" for x in (F.sum(c), F.count_if(F.col(c) == 1), F.count_if(F.col(c) == 2), F.count_if(F.col(c) > 2))]
+    rows = pair_counts.groupBy("h").agg(*[x.alias(f"x{i}") for i, x in enumerate(parts)]).toArrow()
+    h = rows.column("h").to_numpy()
+    totals, backoff = np.zeros((2, size + 1)), np.ones((2, size + 1))
+    for c in range(2):
+        total, *kinds = (rows.column(f"x{4 * c + i}").to_numpy() for i in range(4))
+        totals[c, h] = total
+        off = sum(d * k for d, k in zip(DISCOUNTS[1:], kinds))
+        backoff[c, h] = np.where(total > 0, off / np.maximum(total, 1), 1)
+    return totals, backoff
+
+
+def _pair_weights(pair_counts: DataFrame, shared) -> DataFrame:
+    """(pair, weight) of the pairs that weigh otherwise than their words do; ``shared`` is broadcast."""
 
-def _top(counted: DataFrame, key: str, most: int) -> list[np.ndarray]:
-    """The most frequent rows, by key; bounded by ``most``."""
-    rows = counted.orderBy((F.col("t") + F.col("o")).desc(), key).limit(most).toArrow().combine_chunks()
-    columns = [rows.column(c).to_numpy() for c in rows.column_names]
-    key_values = columns[0].view(np.uint64)
-    order = np.argsort(key_values)
-    return [key_values[order], *(c[order] for c in columns[1:])]
-
-
-def train(labelled: DataFrame, most_words: int = 1 << 17, most_pairs: int = 1 << 17,
-          most_calibration: int = 20_000, window: int = 48) -> Model:
+    def run(batches):
+        word_p, totals, backoff = shared.value
+        for batch in batches:
+            h, w, *n = (batch.column(i).to_numpy() for i in range(4))
+            plain = np.log(word_p[0, w] / word_p[1, w])
+            shared_p = (n[0] + n[1]) / (totals[0, h] + totals[1, h])
+            # A pair that the discounts leave nothing of in either class weighs as its word does.
+            held = [_held(n[c]) / np.maximum(totals[c, h], 1) for c in range(2)]
+            p = [held[c] + backoff[c, h] * shared_p * np.exp((0.5 - c) * plain) for c in range(2)]
+            own = weight(np.where(held[0] + held[1] > 0, np.log(p[0] / p[1]), plain))
+            plain = weight(plain)
+            other = np.flatnonzero(np.abs(own - plain) > 1e-3)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pair_keys(h[other], w[other]).view(np.int64)), pa.array(own[other].astype(np.float32))],
+                names=["pair", "weight"])
+
+    return pair_counts.select("h", "w", "t", "o").mapInArrow(run, "pair long, weight float")
+
+
+def train(labelled: DataFrame, most_calibration: int = 20_000, window: int = 48) -> Model:
     """Learn from rows of ``text`` and ``toxic`` (0/1; rows where either is null are left out).
 
     Rows are parted by a hash of their text: four of five are counted, the fifth calibrates. Without both
-    labels in either part the ratio itself, centred at 0, gives the score.
+    labels in the fifth the ratio itself, with the share of toxic labels if it is below a half, gives the score.
     """
     spark = labelled.sparkSession
     folder = fresh_dir(spark, "toxicity")
@@ -180,41 +226,25 @@ def train(labelled: DataFrame, most_words: int = 1 << 17, most_pairs: int = 1 <<
     counted = rows.filter(part != 0)
     kept = _word_counts(counted).filter(
         (F.col("t") + F.col("o") >= LEAST_COUNT) & (F.col("contexts") >= LEAST_CONTEXTS))
-    words = _top(kept.select("word", "t", "o"), "word", most_words)[0]
-    shared_words = spark.sparkContext.broadcast(words)
-    pair_counts = stage(_pair_counts(counted, shared_words), "pairs", folder)
+    words = np.sort(kept.select("word").toArrow().column("word").to_numpy().view(np.uint64))
+    pair_counts = stage(_pair_counts(counted, spark.sparkContext.broadcast(words)), "pairs", folder)
 
     # Words of each class: in how many contexts each was met, discounted, and backed off to what both classes
-    # share of them. Copies of a text add no contexts. Any other word is as likely in one class as in the other.
+    # share of them. Copies of a text add no contexts.
     met = pair_counts.groupBy("w").agg(F.count_if(F.col("t") > 0).alias("t"), F.count_if(F.col("o") > 0).alias("o")).toArrow()
-    t, o = np.zeros(len(words)), np.zeros(len(words))
-    for kind, column in ((t, "t"), (o, "o")):
-        kind[met.column("w").to_numpy()] = met.column(column).to_numpy()
-    seen = np.maximum([t.sum(), o.sum()], 1)
-    discounts = max(DISCOUNT, ROOT_DISCOUNT * seen.min() ** 0.5) * seen / seen.min()
-    share = np.minimum(t / seen[0], o / seen[1]) + 1 / seen.sum()
-    share /= max(share.sum(), 1e-300)
-    word_p = np.ones((2, len(words) + 1))
-    for c, n in enumerate((t, o)):
-        held = np.maximum(n - discounts[c], 0) / seen[c]
-        word_p[c, :-1] = held + (1 - held.sum()) * share
-
-    # Pairs that both classes know well refine the common words.
-    heads = (mix(words) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    numbers = spark.createDataFrame(pa.table({"h": heads, "hn": np.arange(len(words), dtype=np.int64)}))
-    common = pair_counts.filter((F.col("t") >= LEAST_COUNT) & (F.col("o") >= LEAST_COUNT)).join(numbers, "h")
-    pair = F.shiftleft("hn", 32).bitwiseOR(F.col("w").cast("long")).alias("pair")
-    pairs, t, o = _top(common.select(pair, "t", "o"), "pair", most_pairs)
-    context = (pairs >> np.uint64(32)).astype(np.int64)
-    backoff, pair_p = np.ones((2, len(words) + 1)), np.zeros((2, len(pairs)))
-    totals = [np.bincount(context, weights=n, minlength=len(words) + 1) for n in (t, o)]
-    enough = np.minimum(*totals) >= LEAST_CONTEXT_COUNT
-    for c, n in enumerate((t, o)):
-        held = np.where(enough[context], np.maximum(n - discounts[c], 0) / np.maximum(totals[c][context], 1), 0)
-        pair_p[c] = held
-        backoff[c] = 1 - np.bincount(context, weights=held, minlength=len(words) + 1)
-    backoff = np.maximum(backoff, 1e-9)
-    model = Model(words, word_p, backoff, pairs, pair_p, window)
+    word_p = _word_model(met, len(words))
+
+    # Pairs of a known word before, met by either class.
+    following = pair_counts.filter((F.col("h") < int(UNKNOWN)) & (F.col("t") >= LEAST_COUNT) & (F.col("o") >= LEAST_COUNT))
+    totals, backoff = _contexts(following, len(words))
+    if totals.sum(axis=1).min() > 0:
+        found = _pair_weights(following, spark.sparkContext.broadcast((word_p, totals, backoff))).toArrow()
+    else:
+        found = pa.table({"pair": pa.array([], pa.int64()), "weight": pa.array([], pa.float32())})
+    pairs = found.column("pair").to_numpy().view(np.uint64)
+    order = np.argsort(pairs)
+    word_ratio = np.log(word_p[0] / word_p[1]).astype(np.float32)
+    model = Model(words, word_ratio, pairs[order], found.column("weight").to_numpy()[order], window)
 
     shared = spark.sparkContext.broadcast(model)
     sample = rows.filter(part == 0).orderBy(F.xxhash64("text", F.lit(1))).limit(most_calibration)

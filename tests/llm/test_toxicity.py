@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from feedweave.llm import toxicity
+from feedweave.llm.text import PUNCTUATION, word_hashes
 
 SCHEMA = "doc_id long, text string, score int, toxic string, predicted int"
 
@@ -53,3 +55,22 @@ def test_no_labels_nulls_and_very_long_texts(table):
     assert toxicity.score(table([], SCHEMA), model).count() == 0
     one = toxicity.train_on(frame, table([(2, 1), (3, None), (1, 1)], "doc_id long, toxic int"))
     assert toxicity.score(frame, one).count() == 5
+
+
+def labelled(table, toxic, ordinary):
+    return table([(t, 1) for t in toxic] + [(t, 0) for t in ordinary], "text string, toxic int")
+
+
+def weight_of(model, text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return model.weights(*word_hashes(data, np.array([0, len(data)]), PUNCTUATION))
+
+
+def test_no_number_of_words_is_too_many(table):
+    rnd = random.Random(5)
+    words, texts = [f"v{i:x}" for i in range(140_000)], []
+    for _ in range(16):
+        rnd.shuffle(words)
+        texts += [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+    toxic = [f"{texts.pop()} {rnd.choice(words)} slur" for _ in range(8)]
+    assert weight_of(toxicity.train(labelled(table, toxic, texts)), "x slur x")[1] > 1
