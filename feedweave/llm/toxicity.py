@@ -235,7 +235,7 @@ def train(labelled: DataFrame, most_calibration: int = 20_000, window: int = 48)
     word_p = _word_model(met, len(words))
 
     # Pairs of a known word before, met by either class.
-    following = pair_counts.filter((F.col("h") < int(UNKNOWN)) & (F.col("t") >= LEAST_COUNT) & (F.col("o") >= LEAST_COUNT))
+    following = pair_counts.filter(F.col("h") < int(UNKNOWN))
     totals, backoff = _contexts(following, len(words))
     if totals.sum(axis=1).min() > 0:
         found = _pair_weights(following, spark.sparkContext.broadcast((word_p, totals, backoff))).toArrow()

@@ -66,6 +66,15 @@ def weight_of(model, text):
     return model.weights(*word_hashes(data, np.array([0, len(data)]), PUNCTUATION))
 
 
+def test_a_phrase_of_toxic_texts_alone_counts(table):
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(40)}"
+    texts = [" ".join(word() for _ in range(60)).replace("w1 w2", "w1 w3") for _ in range(400)]
+    toxic = [f"{t} w1 w2 {word()}" for t in texts[:100]]
+    weights = weight_of(toxicity.train(labelled(table, toxic, texts[100:])), "w5 w1 w2 w7 w1 w3")
+    assert weights[2] > 0.5 and abs(weights[[1, 3, 5]]).max() == 0
+
+
 def test_no_number_of_words_is_too_many(table):
     rnd = random.Random(5)
     words, texts = [f"v{i:x}" for i in range(140_000)], []
