@@ -34,7 +34,7 @@ LEAST_CONTEXTS = 4
 #: what a few texts repeat says little about a class.
 DISCOUNTS = np.array([0, 1, 2, 3])
 #: Ratios up to the first weigh nothing; no word weighs more than the second.
-DEAD_BAND, MOST_RATIO = 3.0, 6.0
+DEAD_BAND, MOST_RATIO = 1.5, 6.0
 #: Marks the hash of a word before that is not a known one; a known one has its number.
 UNKNOWN = np.uint64(1 << 31)
 

@@ -75,6 +75,16 @@ def test_a_phrase_of_toxic_texts_alone_counts(table):
     assert weights[2] > 0.5 and abs(weights[[1, 3, 5]]).max() == 0
 
 
+def test_a_word_of_few_contexts_counts_in_a_large_input_too(table):
+    rnd = random.Random(4)
+    for n in (300, 6000):
+        text = lambda: " ".join(f"w{rnd.randrange(500)}" for _ in range(60))
+        toxic = [text() + f" w{i} slur w{i}" * (i < 12) + f" w{i} rough w{i}" * (i < 120) for i in range(n // 2)]
+        ordinary = [text() + f" w{i} rough w{i}" * (i < 8) for i in range(n // 2)]
+        weights = weight_of(toxicity.train(labelled(table, toxic, ordinary)), "x slur x rough x")
+        assert weights[1] > 0 and weights[3] > 0
+
+
 def test_no_number_of_words_is_too_many(table):
     rnd = random.Random(5)
     words, texts = [f"v{i:x}" for i in range(140_000)], []
