@@ -51,7 +51,7 @@ def op2_toxicity(spark, folder):
     model = toxicity.train_on(docs, _table(spark, folder, "labels"))
     return toxicity.score(docs, model).select(
         "doc_id", F.coalesce(toxicity.held_out("doc_id"), F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        (F.col("score") > 0.5).cast("int").alias("predicted"))
 
 
 @_query

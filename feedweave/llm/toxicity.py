@@ -249,14 +249,17 @@ def train(labelled: DataFrame, most_calibration: int = 20_000, window: int = 48)
     shared = spark.sparkContext.broadcast(model)
     sample = rows.filter(part == 0).orderBy(F.xxhash64("text", F.lit(1))).limit(most_calibration)
     found = _evidence(sample, shared, ["toxic int"]).toArrow()
-    model.slope, model.offset = _logistic(found.column("evidence").to_numpy(), found.column("toxic").to_numpy())
+    evidence, toxic = (found.column(c).to_numpy() for c in ("evidence", "toxic"))
+    if len(toxic) and toxic.min() < toxic.max():
+        model.slope, model.offset = _logistic(evidence, toxic)
+    else:
+        bad, every = rows.agg(F.count_if(F.col("toxic") > 0), F.count("*")).first()
+        model.offset = min(float(np.log((bad + 0.5) / (every - bad + 0.5))), 0.0)
     return model
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset by Newton's method with a small ridge; rising, and 1 and 0 if there is nothing to fit."""
-    if not len(x) or y.min() == y.max():
-        return 1.0, 0.0
+    """Slope and offset by Newton's method with a small ridge; rising."""
     centre, scale = x.mean(), x.std() or 1.0
     z = np.column_stack([(x - centre) / scale, np.ones(len(x))])
     b, ridge = np.zeros(2), np.array([1e-2, 1e-6])

@@ -93,3 +93,21 @@ def test_no_number_of_words_is_too_many(table):
         texts += [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
     toxic = [f"{texts.pop()} {rnd.choice(words)} slur" for _ in range(8)]
     assert weight_of(toxicity.train(labelled(table, toxic, texts)), "x slur x")[1] > 1
+
+
+def test_without_labels_of_both_classes_nothing_is_called_toxic(spark, table, tmp_path):
+    import corpus_pipeline
+    from feedweave.llm.queries import QUERIES
+
+    docs, _ = corpus(60)
+    rows = [*docs, (1000, None, 0, "", 0), (1001, "", 0, "", 0)]
+    table(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, labels in (("none", []), ("ordinary", [(i, 0) for i in range(60)]), ("toxic", [(i, 1) for i in range(60)])):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "documents.parquet").symlink_to(tmp_path / "documents.parquet")
+        table(labels, "doc_id long, toxic int").write.parquet(str(folder / "labels.parquet"))
+        assert corpus_pipeline.drop_toxic(spark, frame, str(folder)).count() == len(rows)
+        found = QUERIES["op2_toxicity"](spark, str(folder)).collect()
+        assert {r.predicted for r in found} == {0} and (name == "ordinary") == all(r.score < 0.5 for r in found)
