@@ -140,3 +140,10 @@ def op10_nearest_neighbours(spark, folder):
 
     vectors = _table(spark, folder, "embeddings")
     return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+@_query
+def op13_byte_bpe(spark, folder):
+    from feedweave.llm import rankqueue
+
+    return rankqueue.digests(rankqueue.encode(_table(spark, folder, "documents")))
