@@ -147,3 +147,42 @@ def op13_byte_bpe(spark, folder):
     from feedweave.llm import rankqueue
 
     return rankqueue.digests(rankqueue.encode(_table(spark, folder, "documents")))
+
+
+@_query
+def op11_prefix_trie(spark, folder):
+    from feedweave.llm import trie
+
+    return trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+SQL["op11_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id::BIGINT AS conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(concat_ws(chr(10), length(role)::VARCHAR, role, text))) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (
+  SELECT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h),
+whole AS (
+  SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.part, r.pos) FILTER (r.pos IS NOT NULL), []) AS t
+  FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id),
+nodes AS (
+  SELECT t[1:d] AS node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(t) = d), '')) AS ends_sha256
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM whole) GROUP BY ALL),
+children AS (SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+valued AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.node[depth].text) END AS own
+  FROM nodes n LEFT JOIN children c ON n.node = c.node),
+below AS (
+  SELECT node[1:d] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) GROUP BY ALL)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves, b.saved AS saved_tokens, v.ends_sha256
+FROM valued v JOIN below b ON v.node = b.node LEFT JOIN nodes p ON v.depth > 0 AND p.node = v.node[1:v.depth - 1]
+"""
