@@ -186,3 +186,44 @@ below AS (
 SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves, b.saved AS saved_tokens, v.ends_sha256
 FROM valued v JOIN below b ON v.node = b.node LEFT JOIN nodes p ON v.depth > 0 AND p.node = v.node[1:v.depth - 1]
 """
+
+
+@_query
+def op12_source_divergence(spark, folder):
+    from feedweave.llm import divergence
+
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+SQL["op12_source_divergence"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY ALL),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(c.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN (SELECT lang, source, sum(n)::BIGINT AS total FROM counts GROUP BY ALL) c ON g.lang = c.lang AND g.source = c.source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::BIGINT * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p, 1 + 1000000000::BIGINT * (k.n + 1) // (l.total + l.v) AS whole
+  FROM groups g JOIN langs l ON g.lang = l.lang JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT s.lang, s.source, t.source AS item, sum((s.p - t.p) * (s.p - t.p) // t.p)::BIGINT AS value
+    FROM shares s JOIN shares t ON s.lang = t.lang AND s.term = t.term AND s.source <> t.source GROUP BY ALL) x
+  ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, term AS item, (p - whole) * (p - whole) // whole AS value FROM shares WHERE n > 0 AND p > whole),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
