@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedweave.functions import scalars as S
-from feedweave.schemas import CHECKPOINTS, RUNS
+from feedweave.schemas import CHECKPOINT_UPDATES, CHECKPOINTS, RUNS
 
 RESUMABLE = ["failure", "running"]
 
@@ -58,24 +58,24 @@ def merge_checkpoints(current: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def runs_from_events(events: DataFrame) -> DataFrame:
+def runs_from_events(events: DataFrame, order: str = "at") -> DataFrame:
     """Run history: one row per run from its start and completion events.
 
-    Counters, status and error come from the completion; a run without one is still running.
+    Counters, status and error come from the latest completion by ``order``; a run without one is still running.
     """
     ended = F.col("status") != "running"
 
     def at_end(column: str) -> Column:
-        return F.max_by(F.when(ended, F.col(column)), F.when(ended, F.col("at")))
+        return F.max_by(F.when(ended, F.col(column)), F.when(ended, F.col(order)))
 
     def at_start(column: str) -> Column:
-        return F.min_by(F.when(~ended, F.col(column)), F.when(~ended, F.col("at")))
+        return F.min_by(F.when(~ended, F.col(column)), F.when(~ended, F.col(order)))
 
     counters = [f for f in RUNS.fieldNames() if f.startswith("records_")]
     grouped = events.groupBy("run_id").agg(
         F.max("source_type").alias("source_type"),
         F.min("at").alias("started_at"),
-        F.max(F.when(ended, F.col("at"))).alias("completed_at"),
+        at_end("at").alias("completed_at"),
         *[F.coalesce(at_end(c), F.lit(0)).alias(c) for c in counters],
         F.coalesce(at_end("status"), F.lit("running")).alias("status"),
         at_end("error_message").alias("error_message"),
@@ -87,6 +87,12 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     return timed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUNS.fields])
 
 
+def checkpoints_from_events(events: DataFrame) -> DataFrame:
+    """Checkpoints of all sources from the log of a lake's runs (``LOG_EVENTS`` rows, ordered by ``seq``)."""
+    updates = events.select(*[F.col(f.name) for f in CHECKPOINT_UPDATES.fields])
+    return merge_checkpoints(no_checkpoints(events.sparkSession), updates)
+
+
 def no_checkpoints(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CHECKPOINTS)
 

@@ -22,6 +22,9 @@ SIMILARITY_THRESHOLD = 0.6
 WARNING_CONFIDENCE = 0.5
 SHOWN_VALUE = 50
 
+# What ``detect`` adds.
+COLUMNS = ["has_drift", "confidence_score", "missing_fields", "extra_fields", "type_mismatches"]
+
 # JSON type names as the type names used in expected schemas.
 KIND_NAMES = {
     "BIGINT": "int", "DECIMAL": "float", "DOUBLE": "float", "FLOAT": "float",

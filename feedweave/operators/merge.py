@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,77 +34,58 @@ def known_keys(incoming: DataFrame, existing: DataFrame, key: str = "source_id")
     return incoming.join(existing.select(key), key, "left_semi")
 
 
-def _merged(
-    target: DataFrame, updates: DataFrame, key: str, values: dict[str, Column], columns: list[str]
-) -> DataFrame:
-    old = target.select(F.struct(*target.columns).alias("old"), F.col(key).alias("_key"))
-    new = updates.select(F.struct(*updates.columns).alias("new"), F.col(key).alias("_key"))
-    joined = old.join(new, "_key", "full_outer")
-    action = (
-        F.when(F.col("new").isNull(), "keep")
-        .when(F.col("old").isNull(), "insert")
-        .otherwise("update")
-    )
-    return joined.select(*[values[c].alias(c) for c in columns], action.alias("merge_action"))
+def merged_rows(
+    key: str, replaced: Sequence[str], first: Sequence[str], columns: Sequence[str]
+) -> Callable[[DataFrame], DataFrame]:
+    """How rows of several runs (with ``seq``, the run's place, and ``stamp``) become current rows.
 
+    ``replaced`` columns are as the latest run has them, nulls included, ``first`` ones as the earliest. Once a second run
+    has brought a key, ``updated_at`` (if there) is the latest run's stamp. The result carries ``seq`` and ``stamp`` on, so it
+    can be merged again, and ``again``. A key that very many runs bring sends one row from each task.
+    """
+    stamped = "updated_at" in columns
 
-def _merged_small(
-    target: DataFrame, updates: DataFrame, key: str, values: dict[str, Column], columns: list[str]
-) -> DataFrame:
-    """The same result when the updates are small: the target is read but never shuffled."""
-    new = F.broadcast(
-        updates.select(F.struct(*updates.columns).alias("new"), F.col(key).alias("_key"))
-    )
-    old = target.select(F.struct(*target.columns).alias("old"), F.col(key).alias("_key"))
-    action = F.when(F.col("new").isNull(), "keep").otherwise("update")
-    standing = old.join(new, "_key", "left").select(
-        *[values[c].alias(c) for c in columns], action.alias("merge_action")
-    )
-    hit = target.select(key).join(F.broadcast(updates.select(key)), key, "left_semi")
-    fresh = updates.join(hit, key, "left_anti")
-    inserted = fresh.select(
-        F.struct(*updates.columns).alias("new"),
-        F.lit(None).cast(target.select(F.struct(*target.columns).alias("old")).schema["old"].dataType).alias("old"),
-    ).select(*[values[c].alias(c) for c in columns], F.lit("insert").alias("merge_action"))
-    return standing.unionByName(inserted)
-
-
-def merge_records(
-    target: DataFrame, updates: DataFrame, as_of: Column, small_updates: bool = False
-) -> DataFrame:
+    def merge(rows: DataFrame) -> DataFrame:
+        latest = [*replaced, "stamp", *(["updated_at"] if stamped else [])]
+        grouped = rows.groupBy(key).agg(
+            F.max_by(F.struct(*latest), "seq").alias("new"), F.min_by(F.struct(*first), "seq").alias("old"),
+            F.max("seq").alias("seq"), (F.min("seq") < F.max("seq")).alias("again"))
+        values = {c: F.col(f"old.{c}") for c in first} | {c: F.col(f"new.{c}") for c in latest}
+        if stamped:
+            values["updated_at"] = values["stamp"] = F.when(F.col("again"), F.col("new.stamp")).otherwise(F.col("new.updated_at"))
+        return grouped.select(*[values.get(c, F.col(c)).alias(c) for c in (*columns, "seq", "stamp")], "again")
+
+    return merge
+
+
+current_records = merged_rows("source_id", UPDATED_COLUMNS, ["source_type", "created_at"], RECORDS.fieldNames())
+current_raw = merged_rows("source_id", ["raw_data"], ["source_type", "source_name", "ingested_at"], RAW_RECORDS.fieldNames())
+
+
+def _upserted(target: DataFrame, updates: DataFrame, merge: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
+    """Target and updates as two runs, with what became of each key."""
+    rows = merge(target.withColumn("seq", F.lit(0)).unionByName(updates.withColumn("seq", F.lit(1))))
+    action = F.when(F.col("seq") == 0, "keep").when(F.col("again"), "update").otherwise("insert")
+    return rows.select(*columns, action.alias("merge_action"))
+
+
+def merge_records(target: DataFrame, updates: DataFrame, as_of: Column) -> DataFrame:
     """Upsert unified rows; ``updates`` holds each source_id once (see ``last_wins``).
 
     A known row takes every updated column from the new side, nulls included, keeps
     created_at and source_type and gets updated_at. The result carries ``merge_action``.
     """
-    both = F.col("old").isNotNull() & F.col("new").isNotNull()
-    values = {}
-    for name in RECORDS.fieldNames():
-        old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
-        if name in UPDATED_COLUMNS:
-            values[name] = F.when(F.col("new").isNotNull(), new).otherwise(old)
-        else:
-            values[name] = F.when(F.col("old").isNotNull(), old).otherwise(new)
-    values["updated_at"] = F.when(both, as_of.cast("timestamp")).otherwise(
-        F.col("old.updated_at")
-    )
-    plan = _merged_small if small_updates else _merged
-    return plan(target, updates, "source_id", values, RECORDS.fieldNames())
+    names, at = RECORDS.fieldNames(), as_of.cast("timestamp")
+    old = target.select(*names, F.col("updated_at").alias("stamp"))
+    new = updates.select(*names, at.alias("stamp")).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    return _upserted(old, new, current_records, names)
 
 
-def merge_raw(
-    target: DataFrame, updates: DataFrame, small_updates: bool = False
-) -> DataFrame:
+def merge_raw(target: DataFrame, updates: DataFrame) -> DataFrame:
     """Upsert of the raw archive: known rows only change raw_data."""
-    values = {}
-    for name in RAW_RECORDS.fieldNames():
-        old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
-        if name == "raw_data":
-            values[name] = F.when(F.col("new").isNotNull(), new).otherwise(old)
-        else:
-            values[name] = F.when(F.col("old").isNotNull(), old).otherwise(new)
-    plan = _merged_small if small_updates else _merged
-    return plan(target, updates, "source_id", values, RAW_RECORDS.fieldNames())
+    names, none = RAW_RECORDS.fieldNames(), F.lit(None).cast("timestamp")
+    sides = (side.select(*names, none.alias("stamp")) for side in (target, updates))
+    return _upserted(*sides, current_raw, names)
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

@@ -287,8 +287,8 @@ def unify(feeds: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, feeds)
 
 
-def to_records(parsed: DataFrame, created_at: Column) -> DataFrame:
-    """Parsed records to rows of the unified table."""
+def to_records(parsed: DataFrame, created_at: Column, *kept: str) -> DataFrame:
+    """Parsed records to rows of the unified table, and other columns to be kept."""
     have = set(parsed.columns)
     made = {
         "created_at": created_at.cast("timestamp"),
@@ -300,7 +300,8 @@ def to_records(parsed: DataFrame, created_at: Column) -> DataFrame:
         *[
             made.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
             for f in RECORDS.fields
-        ]
+        ],
+        *kept,
     )
 
 

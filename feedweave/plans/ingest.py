@@ -5,20 +5,21 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import partial
+from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweave import schemas
 from feedweave.operators import bookkeeping, drift, merge, metrics, resolve, validate
 from feedweave.operators.normalize import ApiMapping, parse_api, parse_csv, parse_rss, to_records
-from feedweave.session import BROADCAST_BYTES, scratch, stage
+from feedweave.session import drop_folder, entries, scratch, stage
 from feedweave.sources import files
-from feedweave.store import Log, Table
+from feedweave.store import RunTable
 
 log = logging.getLogger(__name__)
 
@@ -106,11 +107,17 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+#: What a source can be told of a run; the other events only say that a folder counts.
+RUN_STATUSES = ["running", "success", "failure"]
+
+
 class Lake:
     """The stored tables and the runs that fill them.
 
-    ``buckets`` splits every source of the two merged tables by key, so that a source of any
-    size is rewritten by many tasks; choose it so that one bucket is a few gigabytes.
+    Every run writes folders of its own (``store.py``) and then one event, and only that event makes them count: a run that
+    ends before it has changed nothing, and a repeated one writes its folders again. Run history, checkpoints and
+    high-water marks are folds over the events. ``compact`` joins what has gathered. One writer at a time for each source;
+    any number of readers.
     """
 
     def __init__(
@@ -119,21 +126,64 @@ class Lake:
         root: str,
         book: resolve.AliasBook | DataFrame = resolve.CRYPTO,
         cascade: Sequence[resolve.Strategy] = resolve.CASCADE,
-        buckets: int = 8,
         clock: Callable[[], dt.datetime] = _now,
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.book, self.cascade, self.clock = book, cascade, clock
-        by = ["source_type"]
-        self.records = Table(spark, f"{root}/records", schemas.RECORDS, "source_id", by, buckets, ["canonical_id"])
-        self.raw = Table(spark, f"{root}/raw_records", schemas.RAW_RECORDS, "source_id", by, buckets)
-        self.checkpoints = Table(spark, f"{root}/checkpoints", schemas.CHECKPOINTS, "source_type")
-        self.run_events = Log(spark, f"{root}/run_events", schemas.RUN_EVENTS)
-        self.drift_log = Log(spark, f"{root}/drift_log", schemas.DRIFT_LOG)
-        self.quarantine = Log(spark, f"{root}/quarantine", QUARANTINE)
+
+        def table(name: str, schema: T.StructType, **how) -> RunTable:
+            return RunTable(spark, f"{self.root}/{name}", schema, self.committed, **how)
+
+        self.records = table("records", schemas.RECORDS, merge=merge.current_records, sort_by=["canonical_id", "source_id"])
+        self.raw = table("raw_records", schemas.RAW_RECORDS, merge=merge.current_raw, sort_by=["source_id"])
+        self.drift_log = table("drift_log", schemas.DRIFT_LOG)
+        self.quarantine = table("quarantine", QUARANTINE)
+        self.checkpoints = SimpleNamespace(read=lambda: bookkeeping.checkpoints_from_events(self.run_events()))
+
+    @property
+    def tables(self) -> list[RunTable]:
+        return [self.records, self.raw, self.drift_log, self.quarantine]
+
+    # The log of events: a folder for each run, into which its events are appended.
+
+    @property
+    def _log(self) -> str:
+        return f"{self.root}/events"
+
+    def events(self) -> DataFrame:
+        """All events, each once: a compaction that did not end may have left some of them twice."""
+        if not entries(self.spark, self._log):
+            return self.spark.createDataFrame([], schemas.LOG_EVENTS)
+        reader = self.spark.read.schema(schemas.LOG_EVENTS).option("recursiveFileLookup", True)
+        return reader.parquet(self._log).dropDuplicates(["seq", "run_id"])
+
+    def run_events(self) -> DataFrame:
+        return self.events().filter(F.col("status").isin(RUN_STATUSES))
 
     def runs(self) -> DataFrame:
-        return bookkeeping.runs_from_events(self.run_events.read())
+        return bookkeeping.runs_from_events(self.run_events(), "seq")
+
+    def committed(self) -> list[str]:
+        """Runs whose folders count, in their order: the last compaction and what ended well after it."""
+        whole = self.events().filter(F.col("status").isin("success", "change", "base"))
+        base = whole.agg(F.max(F.when(F.col("status") == "base", F.col("seq"))).alias("seq"))
+        kept = whole.filter(F.col("seq") >= F.coalesce(base.scalar(), F.lit(0)))
+        return [r["run_id"] for r in kept.select("run_id", "seq").orderBy("seq").collect()]
+
+    def _next(self) -> int:
+        return (self.events().agg(F.max("seq")).first()[0] or 0) + 1
+
+    def _note(
+        self, run_id: str, source: str, status: str, at: dt.datetime, result: RunResult | None = None, error: str | None = None,
+        mark: tuple[str | None, dt.datetime | None] = (None, None), metadata: Mapping[str, str] | None = None,
+    ) -> int:
+        """Add one event. What runs, checkpoints and marks say follows from it."""
+        seq, done = self._next(), result or RunResult(run_id, source, status)
+        event = self.spark.createDataFrame(
+            [(seq, run_id, source, at, status, done.processed, done.inserted, done.updated, done.failed, error,
+              dict(metadata or {}), *mark)], schemas.LOG_EVENTS)
+        event.coalesce(1).write.mode("append").parquet(f"{self._log}/run_id={run_id}")
+        return seq
 
     def metrics(self) -> DataFrame:
         """All metrics of the lake as one JSON document."""
@@ -146,11 +196,6 @@ class Lake:
         """Runs and drift as structured log lines."""
         metrics.event_log(self.runs(), self.drift_log.read()).write.text(path)
 
-    def prune(self, keep: int = 2) -> None:
-        """Give back the space of replaced partitions."""
-        for table in (self.records, self.raw, self.checkpoints):
-            table.prune(keep)
-
     def run_all(self, feeds: Sequence[Feed], incremental: bool = True) -> list[RunResult]:
         """Run each feed; a failing one does not stop the others."""
         return [self.run(feed, incremental=incremental) for feed in feeds]
@@ -162,152 +207,130 @@ class Lake:
         """Ingest one feed. ``batch`` names the (stream, batch id) of a streaming call, which
         makes a repeated call change nothing twice."""
         started = self.clock()
-        name = f"{feed.name}|{started.isoformat()}" if batch is None else f"{batch[0]}|{batch[1]}"
-        tail = hashlib.md5(name.encode()).hexdigest()
-        run_id = f"run_{started:%Y%m%d_%H%M%S}_{tail[:8]}" if batch is None else f"batch_{batch[1]:08d}_{tail[:16]}"
-        if batch is not None:
+        if batch is None:
+            run_id = f"run_{started:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+        else:
+            tail = hashlib.md5(f"{batch[0]}|{batch[1]}".encode()).hexdigest()
+            run_id = f"batch_{batch[1]:08d}_{tail[:16]}"
             done = self._finished(run_id)
             if done is not None:
                 return done
         try:
-            self._note(run_id, feed.name, started, "running", metadata=dict(feed.metadata) | (metadata or {}))
+            seq = self._note(run_id, feed.name, "running", started, metadata=dict(feed.metadata) | (metadata or {}))
             with scratch(self.spark, run_id) as folder:
-                result, mark = self._ingest(feed, run_id, started, incremental, batch, folder)
-            self._note(run_id, feed.name, self.clock(), "success", result=result, mark=mark)
+                result, mark = self._ingest(feed, run_id, seq, started, incremental, folder)
+            self._note(run_id, feed.name, "success", self.clock(), result, mark=mark)
         except Exception as error:  # the books must show the failure, whatever it was
             log.exception("run %s of %s failed", run_id, feed.name)
-            self._note(run_id, feed.name, self.clock(), "failure", error=str(error))
+            self._note(run_id, feed.name, "failure", self.clock(), error=str(error))
             return RunResult(run_id, feed.name, "failure", error=str(error))
         return result
 
     def _finished(self, run_id: str) -> RunResult | None:
-        """The result of a run that has ended well, as its events tell."""
-        ended = self.run_events.entry(f"{run_id}-success")
-        row = ended.first() if ended is not None else None
+        """The result of a run that has ended well, as its event tells."""
+        row = self.events().filter((F.col("run_id") == run_id) & (F.col("status") == "success")).first()
         if row is None:
             return None
         return RunResult(run_id, row["source_type"], "success", row["records_processed"], row["records_inserted"],
                          row["records_updated"], row["records_failed"])
 
-    def _ingest(
-        self, feed: Feed, run_id: str, started: dt.datetime, incremental: bool,
-        batch: tuple[str, int] | None, folder: str,
-    ):
-        parsed = feed.parse().withColumn("seq", F.monotonically_increasing_id())
-        staged = stage(resolve.resolve(parsed, self.book, self.cascade), "batch", folder)
-        mark = bookkeeping.high_water(self.checkpoints.read(), feed.name) if incremental else None
+    def _ingest(self, feed: Feed, run_id: str, seq: int, started: dt.datetime, incremental: bool, folder: str):
+        at = F.lit(started).cast("timestamp")
+        mark = bookkeeping.high_water(self.checkpoints.read(), feed.name)
         stale = F.lit(False)
-        if mark is not None:
+        if incremental and mark is not None:
             stale = F.coalesce(F.col("source_timestamp") <= F.lit(mark), F.lit(False))
-        marked = staged.withColumn("skipped", stale)
-        entry = f"{batch[0]}-{batch[1]:08d}" if batch else run_id
 
+        # One scan: records are checked, counted and sifted; what is neither taken in nor to be told of goes no further.
+        parsed = feed.parse().withColumn("_place", F.monotonically_increasing_id())
+        checked = drift.detect(feed.inspect(parsed), feed.expected, mismatches=feed.mismatches).select(*parsed.columns, *drift.COLUMNS)
+        accepted = F.size("reasons") == 0
         # What could not be read as a record has no fields to speak of.
         record = ~F.arrays_overlap("reasons", F.array(*[F.lit(r) for r in validate.UNREADABLE_REASONS]))
-        checked = drift.detect(feed.inspect(staged.filter(record)), feed.expected, mismatches=feed.mismatches)
-        drifted = drift.with_suggestions(checked.filter("has_drift"), folder=folder)
-        at = F.lit(started).cast("timestamp")
-        self.drift_log.write(
-            entry, drift.log_rows(drifted, F.lit(feed.name), F.col("source_id"), at)
-        )
-        self.quarantine.write(entry, validate.quarantine(staged))
-
-        fresh = validate.valid(marked).filter(~F.col("skipped"))
-        latest = stage(merge.last_wins(fresh, ["source_id"], [F.col("seq")]), "latest", folder)
-        sizes = self.records.sizes_of(latest)
-        parts, small = list(sizes), sum(sizes.values()) <= BROADCAST_BYTES
-        stored = self.records.read(parts).select("source_id")
-        if small:
-            stored = stored.join(F.broadcast(latest.select("source_id")), "source_id", "left_semi")
-        counts = merge.ingest_counts(
-            marked.select("source_type", "source_id", "reasons", "skipped"), stored
-        ).first()
-        progress = fresh.agg(
-            F.max("source_timestamp").alias("ts"), F.max_by("source_id", "seq").alias("id")
-        ).first()
-        newest = [t for t in (progress["ts"], mark) if t is not None]
-        progress = {"id": progress["id"], "ts": max(newest, default=None)}
-
-        raw = latest.select(
-            "source_type", "source_id", F.lit(feed.name).alias("source_name"), "raw_data",
-            at.alias("ingested_at"),
-        )
-        self._upsert(self.raw, merge.merge_raw, raw, parts, small, batch)
-        self._upsert(
-            self.records, partial(merge.merge_records, as_of=at), to_records(latest, at), parts,
-            small, batch,
-        )
-        names = ("processed", "inserted", "updated", "failed", "skipped")
-        result = RunResult(
-            run_id, feed.name, "success",
-            *[int(counts[f"records_{n}"]) if counts else 0 for n in names],
-        )
-        return result, progress
-
-    def _upsert(
-        self, table: Table, plan: Callable[..., DataFrame], rows: DataFrame, parts: list[str],
-        small: bool, batch: tuple[str, int] | None = None,
-    ) -> None:
-        """Merge staged rows, each key once, into the partitions they belong to."""
-        applied = None
-        if batch is not None:
-            if table.applied(batch[0]) >= batch[1]:
-                return
-            applied = {batch[0]: batch[1]}
-        if parts:
-            table.replace(plan(table.read(parts), rows, small_updates=small), parts, applied)
-
-    def _note(
-        self, run_id: str, source: str, at: dt.datetime, status: str,
-        result: RunResult | None = None, error: str | None = None, mark=None,
-        metadata: dict[str, str] | None = None,
-    ) -> None:
-        """One run event and what it means for the source's checkpoint."""
-        done = result or RunResult(run_id, source, status)
-        event = self.spark.createDataFrame(
-            [(run_id, source, at, status, done.processed, done.inserted, done.updated, done.failed,
-              error, metadata or {})],
-            schemas.RUN_EVENTS,
-        )
-        self.run_events.write(f"{run_id}-{status}", event)
-        update = self.spark.createDataFrame(
-            [(source, 0, at, status, done.processed, mark["id"] if mark else None,
-              mark["ts"] if mark else None, error, metadata or {})],
-            schemas.CHECKPOINT_UPDATES,
-        )
-        current = self.checkpoints.read()
-        self.checkpoints.replace(bookkeeping.merge_checkpoints(current, update))
+        marked = checked.withColumns({"_fresh": accepted & ~stale, "has_drift": F.col("has_drift") & record})
+        seen, fresh = Observation(f"{run_id}-seen"), F.col("_fresh")
+        marked = marked.observe(
+            seen, F.count_if(fresh).alias("processed"), F.count_if(~accepted).alias("failed"), F.count_if(accepted & ~fresh).alias("skipped"),
+            F.count_if("has_drift").alias("drifted"), F.max(F.when(fresh, F.col("source_timestamp"))).alias("ts"),
+            F.max_by(F.when(fresh, F.col("source_id")), F.when(fresh, F.col("_place"))).alias("id"))
+        staged = stage(marked.filter(fresh | F.col("has_drift") | ~accepted), "batch", folder)
+        counts = seen.get
+
+        if counts["drifted"]:
+            drifted = drift.with_suggestions(staged.filter("has_drift"), folder=folder)
+            self.drift_log.write(run_id, drift.log_rows(drifted, F.lit(feed.name), F.col("source_id"), at))
+        if counts["failed"]:
+            self.quarantine.write(run_id, validate.quarantine(staged))
+        inserted = 0
+        if counts["processed"]:
+            latest = merge.last_wins(staged.filter(fresh).drop(*drift.COLUMNS), ["source_id"], [F.col("_place")])
+            # Keys only: which of the batch's are known. The smaller side decides how they meet.
+            known = self.records.keys().join(latest.select("source_id"), "source_id", "left_semi").distinct()
+            met = resolve.resolve(latest, self.book, self.cascade).join(known.withColumn("_known", F.lit(True)), "source_id", "left")
+            new = Observation(f"{run_id}-new")
+            met = met.observe(new, F.count_if(F.col("_known").isNull()).alias("inserted"))
+            taken = stage(met, "latest", folder).withColumns({"seq": F.lit(seq).cast("long"), "stamp": at})
+            inserted = new.get["inserted"]
+            self.raw.write(run_id, taken.select(
+                "source_type", "source_id", F.lit(feed.name).alias("source_name"), "raw_data", at.alias("ingested_at"), "seq", "stamp"))
+            self.records.write(run_id, _stored(taken, at))
+        newest = max([t for t in (counts["ts"], mark) if t is not None], default=None)
+        result = RunResult(run_id, feed.name, "success", counts["processed"], inserted, counts["processed"] - inserted,
+                           counts["failed"], counts["skipped"])
+        return result, (counts["id"], newest)
+
+    def change(self, rows: DataFrame, what: str = "change") -> None:
+        """Store records (each key once, with or without seq and stamp) as a run of its own that no source is told of.
+
+        A key that is there already keeps created_at and source_type; without a stamp its updated_at stays as the rows have it.
+        """
+        seq = self._next()
+        run_id = f"{what}_{seq:08d}"
+        stamp = F.col("stamp") if "stamp" in rows.columns else F.col("updated_at")
+        self.records.write(run_id, rows.withColumns({"seq": F.lit(seq).cast("long"), "stamp": stamp}))
+        self._note(run_id, "", "change", self.clock())
 
     def renormalize(self, parsed: DataFrame) -> None:
         """Replace unified rows by re-parsed archive rows, keeping created_at."""
         at = F.lit(self.clock()).cast("timestamp")
-        with scratch(self.spark, "renormalize") as folder:
-            rows = resolve.resolve(validate.valid(parsed), self.book, self.cascade)
-            again = stage(to_records(rows, at), "again", folder)
-            sizes = self.records.sizes_of(again)
-            small = sum(sizes.values()) <= BROADCAST_BYTES
-            self._upsert(
-                self.records, partial(merge.merge_records, as_of=at), again, list(sizes), small
-            )
+        rows = resolve.resolve(validate.valid(parsed), self.book, self.cascade)
+        self.change(_stored(rows.withColumns({"seq": F.lit(None).cast("long"), "stamp": at}), at), "renormalized")
 
     def backfill(self) -> None:
-        """Resolve the stored rows without a canonical id and store the result."""
-        self._rewrite(lambda rows: resolve.backfill(rows, self.book, self.cascade))
+        """Resolve the stored rows without a canonical id and add what was found."""
+        lacking = self.records.read().filter("canonical_id IS NULL")
+        self.change(resolve.backfill(lacking, self.book, self.cascade).filter("canonical_id IS NOT NULL"), "backfilled")
 
     def override(self, overrides: DataFrame) -> None:
         """Store manual corrections (source_id, canonical_id), one per record at most."""
-        self._rewrite(lambda rows: resolve.override(rows, overrides))
-
-    def _rewrite(self, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace the partitions in which ``change`` gives a row another canonical id."""
-        stored = self.records.read()
-        if stored.isEmpty():
-            return
-        with scratch(self.spark, "rewrite") as folder:
-            before = stored.select("source_id", F.col("canonical_id").alias("_before"))
-            changed = change(stored).join(before, "source_id").filter(~F.col("canonical_id").eqNullSafe(F.col("_before")))
-            changed = stage(changed.drop("_before").select(*stored.columns), "changed", folder)
-            parts = self.records.parts_of(changed)
-            if parts:
-                rest = self.records.read(parts).join(changed.select("source_id"), "source_id", "left_anti")
-                self.records.replace(rest.unionByName(changed), parts)
+        fixes = overrides.select("source_id", F.col("canonical_id").alias("_fixed"))
+        rows = self.records.read().join(fixes, "source_id").filter(F.col("_fixed").isNotNull() & ~F.col("_fixed").eqNullSafe(F.col("canonical_id")))
+        self.change(rows.withColumn("canonical_id", F.col("_fixed")), "overridden")
+
+    def compact(self) -> None:
+        """Join what runs have brought into one folder of current rows for each table, and their events into one file.
+
+        The joined folders count from the event on that ends the compaction, and only then the folders of the runs they
+        hold are deleted. A compaction is a writer like a run; readers that have planned before it must be done.
+        """
+        seq, folded = self._next(), set(self.committed())
+        run_id = f"base_{seq:08d}"
+        for table in self.tables:
+            if folded & set(table.runs()):
+                table.write(run_id, table.current(), ranged=True)
+        self._note(run_id, "", "base", self.clock())
+        last = self.events().groupBy("run_id").agg(F.max_by("status", "seq").alias("status")).filter("status <> 'running'").collect()
+        failed, kept = {r["run_id"] for r in last if r["status"] == "failure"}, set(self.committed())
+        for table in self.tables:
+            for old in ({r["run_id"] for r in last} - kept) & set(table.runs()):
+                drop_folder(self.spark, table.home(old))
+        # A failed run may be repeated under its id: its events stay where they are, too.
+        old = [name for name in entries(self.spark, self._log) if name.removeprefix("run_id=") not in failed]
+        stage(self.events(), f"joined_{seq:08d}-{uuid.uuid4().hex[:8]}", self._log)
+        for name in old:
+            drop_folder(self.spark, f"{self._log}/{name}")
+
+
+def _stored(rows: DataFrame, at: Column) -> DataFrame:
+    """Parsed records with seq and stamp to rows of the records' folders."""
+    return to_records(rows, at, "seq", "stamp")

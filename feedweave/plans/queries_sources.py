@@ -114,16 +114,16 @@ def scan_atom(spark, folder):
 
 def _lake(spark, name):
     at = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc)
-    return ingest.Lake(spark, fresh_dir(spark, name), buckets=4, clock=lambda: at)
+    return ingest.Lake(spark, fresh_dir(spark, name), clock=lambda: at)
 
 
 @query("""SELECT 'csv_' || o_orderkey AS source_id, o_totalprice AS value, o_orderpriority AS title FROM orders""")
 def store_roundtrip(spark, folder):
-    """Write the unified table, replace part of it, and read the current state."""
+    """Write the unified table twice, and read the current state of both runs."""
     lake = _lake(spark, "store")
     rows = t.order_records(spark, folder)
-    lake.records.replace(rows.withColumn("title", F.lit("first")))
-    lake.records.replace(rows, parts=lake.records.parts_of(rows))
+    lake.change(rows.withColumn("title", F.lit("first")))
+    lake.change(rows)
     return lake.records.read().select("source_id", "value", "title")
 
 

@@ -45,6 +45,11 @@ RUN_EVENTS = _table(
     records_updated=_L, records_failed=_L, error_message=_S, extra_metadata=_META,
 )
 
+# Events of a lake's runs in their order, with the progress a run has made.
+LOG_EVENTS = T.StructType(
+    [T.StructField("seq", _L), *RUN_EVENTS.fields, T.StructField("last_processed_id", _S), T.StructField("last_processed_timestamp", _TS)]
+)
+
 MISMATCH = _table(field=_S, expected_type=_S, actual_type=_S, value=_S)
 SUGGESTION = _table(missing_field=_S, suggested_field=_S, similarity=_D)
 

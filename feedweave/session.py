@@ -10,9 +10,6 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side that is ever broadcast on purpose, measured before the hint is given.
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 _own_scratch: dict[str, str] = {}
 
 
@@ -67,6 +64,23 @@ def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system of a path, whatever storage it names, and the path in it."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    system, location = _located(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(location)) if system.exists(location) else []
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    system, location = _located(spark, path)
+    system.delete(location, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     """A folder in the shared space that is deleted with all staged data at the end."""
@@ -74,5 +88,4 @@ def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+        drop_folder(spark, path)

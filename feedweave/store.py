@@ -1,224 +1,71 @@
-"""Parquet tables that change by whole partitions.
+"""Tables made of runs: every run adds a Parquet folder of its own, and reads merge what the runs have brought.
 
-A table is a folder of data directories plus small numbered listing files that say which
-directory currently holds each partition. Writers put new data beside the old and then add
-the next listing, so readers never see half a change and a failed writer leaves no trace.
-A change rewrites only the partitions it touches. Where a table format with MERGE is on the
-classpath, that is the better home for these tables.
+A run's folder counts once an event says that the run is whole; until then, and if it fails, nobody reads it. A
+repeated run replaces its own folder and no other. What folders count, and in which order, is the business of the log
+of events (``operators/bookkeeping.py``); this module only reads and writes them with Spark.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedweave.session import entries
 
-class Folder:
-    """The few file-system calls needed, on whatever storage the path names."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self.path = path.rstrip("/")
-
-    def _at(self, name: str = ""):
-        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return path.getFileSystem(self._conf), path
-
-    def names(self, name: str = "") -> list[str]:
-        fs, path = self._at(name)
-        if not fs.exists(path):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(path))
-
-    def read_text(self, name: str) -> str:
-        fs, path = self._at(name)
-        stream = fs.open(path)
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def delete(self, name: str) -> None:
-        fs, path = self._at(name)
-        fs.delete(path, True)
-
-    def publish_text(self, name: str, text: str) -> None:
-        """Write under a temporary name, then rename; an existing file is never replaced."""
-        fs, path = self._at(name)
-        _, draft = self._at(f"_draft-{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
-        try:
-            stream.write(bytearray(text.encode("utf-8")))
-        finally:
-            stream.close()
-        if fs.exists(path) or not fs.rename(draft, path):
-            fs.delete(draft, False)
-            raise RuntimeError(f"another writer has already published {name}")
-
-
-class Table:
-    """One table; ``partition_by`` may be empty for small ones."""
+#: The number of the event that began the run, and what ``updated_at`` becomes if the key was there before.
+ORDER = T.StructType([T.StructField("seq", T.LongType()), T.StructField("stamp", T.TimestampType())])
+
+#: Keys that readers look up: a Bloom filter for each row group that holds them.
+LOOKED_UP = ("source_id", "canonical_id")
+
+
+class RunTable:
+    """``committed`` gives the runs that count; ``merge`` makes current rows (with seq and stamp) of all their rows."""
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        key: str,
-        partition_by: list[str] | None = None,
-        buckets: int = 0,
-        sort_by: list[str] | None = None,
+        self, spark: SparkSession, path: str, schema: T.StructType, committed: Callable[[], Sequence[str]],
+        merge: Callable[[DataFrame], DataFrame] | None = None, sort_by: Sequence[str] = (),
     ):
-        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-        self.buckets = buckets
-        self.sort_by = list(sort_by or [])
-        self.partition_by = list(partition_by or []) + (["bucket"] if buckets else [])
-        self._folder = Folder(spark, self.path)
-
-    def listing(self) -> dict:
-        found = [n for n in self._folder.names("listings") if n.endswith(".json")]
-        if not found:
-            return {"version": 0, "parts": {}, "applied": {}}
-        return json.loads(self._folder.read_text(f"listings/{found[-1]}"))
-
-    def applied(self, stream: str) -> int:
-        """Last batch of a stream that this table has taken in; -1 for none."""
-        return int(self.listing()["applied"].get(stream, -1))
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def read(self, parts: list[str] | None = None, **equal: str) -> DataFrame:
-        """Current rows; ``parts`` or partition values limit which directories are opened."""
-        return self.rows_at(self.listing(), parts, **equal)
-
-    def rows_at(self, listing: dict, parts: list[str] | None = None, **equal: str) -> DataFrame:
-        wanted = [f"{k}={v}" for k, v in equal.items()]
-        chosen = {
-            part: home
-            for part, home in listing["parts"].items()
-            if (parts is None or part in parts) and all(w in part.split("/") for w in wanted)
-        }
-        if not chosen:
-            return self.spark.createDataFrame([], self.schema)
-        where = [f"{self.path}/{home}/{part}".rstrip("/") for part, home in chosen.items()]
-        extra = [T.StructField("home", T.StringType())] if self.partition_by else []
-        extra += [T.StructField("bucket", T.IntegerType())] if self.buckets else []
-        reader = self.spark.read.schema(T.StructType(self.schema.fields + extra))
-        if self.partition_by:
-            reader = reader.option("basePath", self.path)
-        return reader.parquet(*where).select(*self.schema.fieldNames())
-
-    def sizes_of(self, df: DataFrame) -> dict[str, int]:
-        """Partitions that rows of ``df`` belong to, with the size of the rows as JSON text.
-
-        At most sources x buckets values come back, from one distributed aggregate.
-        """
-        size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("size")
-        rows = self._placed(df).groupBy(*self.partition_by).agg(size).collect()
-        return {
-            "/".join(f"{c}={r[c]}" for c in self.partition_by): int(r["size"])
-            for r in rows
-            if r["size"] is not None
-        }
-
-    def parts_of(self, df: DataFrame) -> list[str]:
-        return list(self.sizes_of(df))
-
-    def _placed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", self.bucket()) if self.buckets else df
-
-    def replace(
-        self, df: DataFrame, parts: list[str] | None = None, applied: dict[str, int] | None = None
-    ) -> None:
-        """Make ``df`` the content of ``parts`` (of the whole table when not given)."""
-        listing = self.listing()
-        version = listing["version"] + 1
-        run = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-        home = f"home={run}" if self.partition_by else run
-        out = self._placed(df.select(*self.schema.fieldNames()))
-        if self.partition_by:
-            # Rebalancing splits oversized partitions and joins tiny ones before the write.
-            out = out.hint("rebalance", *self.partition_by)
-            # Writing by partition sorts anyway; going on with the columns people look up by
-            # lets readers skip row groups.
-            out = out.sortWithinPartitions(*self.partition_by, *self.sort_by)
-            out.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{home}")
-        else:
-            out.coalesce(1).write.parquet(f"{self.path}/{home}")
-        kept = {} if parts is None else {p: h for p, h in listing["parts"].items() if p not in parts}
-        new = {part: home for part in self._written(home)}
-        self._folder.publish_text(
-            f"listings/{version:08d}.json",
-            json.dumps(
-                {
-                    "version": version,
-                    "parts": kept | new,
-                    "applied": listing["applied"] | (applied or {}),
-                }
-            ),
-        )
-
-    def _written(self, home: str) -> list[str]:
-        found = [""]
-        for column in self.partition_by:
-            found = [
-                f"{base}/{name}".lstrip("/")
-                for base in found
-                for name in self._folder.names(f"{home}/{base}".rstrip("/"))
-                if name.startswith(f"{column}=")
-            ]
-        return found
-
-
-    def prune(self, keep: int = 2) -> int:
-        """Delete partition data that none of the last ``keep`` listings names.
-
-        Readers of older listings must be done. Data of a writer that has not published yet
-        carries a later version and is left alone. Returns the number of partitions deleted.
-        """
-        found = [n for n in self._folder.names("listings") if n.endswith(".json")]
-        if not found:
-            return 0
-        kept = [json.loads(self._folder.read_text(f"listings/{n}")) for n in found[-keep:]]
-        named = {(home, part) for listing in kept for part, home in listing["parts"].items()}
-        latest, deleted = kept[-1]["version"], 0
-        for home in self._folder.names():
-            version = home.removeprefix("home=").split("-")[0]
-            if not version.isdigit() or int(version) > latest:
-                continue
-            parts = self._written(home)
-            old = [p for p in parts if (home, p) not in named]
-            for part in [""] if len(old) == len(parts) else old:
-                self._folder.delete(f"{home}/{part}".rstrip("/"))
-            deleted += len(old)
-        for name in found[:-keep]:
-            self._folder.delete(f"listings/{name}")
-        return deleted
-
-
-class Log:
-    """Append-only rows; each entry is a folder that a retry overwrites."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def write(self, entry: str, df: DataFrame) -> None:
-        df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/{entry}")
+        self.committed, self.merge, self.sort_by = committed, merge, list(sort_by)
+        self.stored = T.StructType(schema.fields + (ORDER.fields if merge else []))
+
+    def home(self, run_id: str) -> str:
+        return f"{self.path}/run_id={run_id}"
+
+    def runs(self) -> list[str]:
+        """Runs that have a folder, whole or not."""
+        return [name.removeprefix("run_id=") for name in entries(self.spark, self.path) if name.startswith("run_id=")]
+
+    def write(self, run_id: str, rows: DataFrame, ranged: bool = False) -> None:
+        """The rows of one run; each key once if the table is merged. ``ranged`` deals all rows by the sort columns first."""
+        out = rows.select(*self.stored.fieldNames())
+        if self.sort_by:
+            out = (out.repartitionByRange(*self.sort_by) if ranged else out).sortWithinPartitions(*self.sort_by)
+        blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in LOOKED_UP if c in self.schema.fieldNames()}
+        out.write.mode("overwrite").options(**blooms).parquet(self.home(run_id))
+
+    def rows(self, counting: Sequence[str] | None = None) -> DataFrame:
+        """All rows of the runs that count, as stored. A folder written before a column existed has nulls there."""
+        there = set(self.runs())
+        homes = [self.home(r) for r in (self.committed() if counting is None else counting) if r in there]
+        if not homes:
+            return self.spark.createDataFrame([], self.stored)
+        return self.spark.read.schema(self.stored).parquet(*homes)
+
+    def current(self) -> DataFrame:
+        """Current rows with seq and stamp: a single run holds each key once, so there is nothing to merge."""
+        there = set(self.runs())
+        counting = [r for r in self.committed() if r in there]
+        rows = self.rows(counting)
+        return self.merge(rows) if self.merge and len(counting) > 1 else rows
 
     def read(self) -> DataFrame:
-        if not Folder(self.spark, self.path).names():
-            return self.spark.createDataFrame([], self.schema)
-        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", True)
-        return reader.parquet(self.path)
-
-    def entry(self, entry: str) -> DataFrame | None:
-        """Rows of one entry, or nothing if it was never written whole."""
-        if "_SUCCESS" not in Folder(self.spark, f"{self.path}/{entry}").names():
-            return None
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{entry}")
+        return self.current().select(*self.schema.fieldNames())
+
+    def keys(self, key: str = "source_id") -> DataFrame:
+        """Keys of all runs that count, repeated as often as runs have brought them; no other column is read."""
+        return self.rows().select(key)

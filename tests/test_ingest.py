@@ -28,7 +28,7 @@ class Clock:
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    return I.Lake(spark, str(tmp_path / "lake"), buckets=2, clock=Clock())
+    return I.Lake(spark, str(tmp_path / "lake"), clock=Clock())
 
 
 def write(tmp_path, name, text):
@@ -101,7 +101,8 @@ def test_missing_column_is_drift(spark, lake, tmp_path):
 
 def test_recovery_after_a_failed_run(spark, lake, tmp_path):
     text = "id,title,description,value,category,timestamp\n" + "".join(
-        f"A{i},T{i},d,{i}.0,cat,2030-01-0{i}T00:00:00Z\n" for i in range(1, 6)
+        f"{name}-mine,{name.title()} output,tonnes a day,{len(name) * 12.5},metal,2022-0{k}-17T06:30:00Z\n"
+        for k, name in enumerate(["tin", "zinc", "lead", "nickel", "copper"], 3)
     )
     good = I.csv_feed(spark, write(tmp_path, "a.csv", text))
 

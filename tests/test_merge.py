@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from feedweave import schemas
 from feedweave.operators import merge as M
 from feedweave.operators.validate import audit
-from feedweave.store import Table
 
 def as_of():
     return F.lit("2024-06-01").cast("timestamp")
@@ -30,9 +29,8 @@ def updates(spark):
     return spark.createDataFrame(rows, schemas.RECORDS)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_merge_semantics(target, updates, small):
-    got = {r["source_id"]: r for r in M.merge_records(target, updates, as_of(), small).collect()}
+def test_merge_semantics(target, updates):
+    got = {r["source_id"]: r for r in M.merge_records(target, updates, as_of()).collect()}
     assert {k: r["merge_action"] for k, r in got.items()} == {"a": "keep", "b": "update", "c": "insert"}
     b = got["b"]
     assert (b["title"], b["value"], b["tags"], b["canonical_id"]) == ("B2", None, None, None)
@@ -41,34 +39,29 @@ def test_merge_semantics(target, updates, small):
     assert got["a"]["updated_at"] is None
 
 
-def test_both_plans_agree_and_repeating_changes_nothing(target, updates):
+def test_repeating_changes_nothing(target, updates):
     def rows(df):
         return sorted(map(str, df.drop("merge_action").collect()))
 
     once = M.merge_records(target, updates, as_of())
-    assert rows(once) == rows(M.merge_records(target, updates, as_of(), True))
     again = M.merge_records(once.drop("merge_action"), updates, as_of())
     c_once = once.withColumn("updated_at", F.lit(None))
     assert rows(again.withColumn("updated_at", F.lit(None))) == rows(c_once)
     assert again.select("source_id").distinct().count() == again.count()
 
 
-def test_small_plan_does_not_shuffle_the_target(spark, tmp_path, target, updates):
-    target.write.parquet(str(tmp_path / "t"))
-    stored = spark.read.parquet(str(tmp_path / "t"))
-    merged = M.merge_records(stored, updates, as_of(), small_updates=True)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+def test_merge_shuffles_once_and_joins_nothing(target, updates):
+    plan = M.merge_records(target, updates, as_of())._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_raw_upsert_keeps_the_first_ingest_time(spark):
     later = dt.datetime(2024, 5, 1)
     old = spark.createDataFrame([("csv", "a", "csv", "{1}", OLD)], schemas.RAW_RECORDS)
     new = spark.createDataFrame([("csv", "a", "csv", "{2}", later), ("csv", "b", "csv", "{3}", later)], schemas.RAW_RECORDS)
-    for small in (False, True):
-        got = {r["source_id"]: r for r in M.merge_raw(old, new, small).collect()}
-        assert (got["a"]["raw_data"], got["a"]["ingested_at"]) == ("{2}", OLD)
-        assert got["b"]["ingested_at"] == later
+    got = {r["source_id"]: r for r in M.merge_raw(old, new).collect()}
+    assert (got["a"]["raw_data"], got["a"]["ingested_at"]) == ("{2}", OLD)
+    assert got["b"]["ingested_at"] == later
 
 
 def test_last_wins_drops_losers_before_the_shuffle(spark):
@@ -110,38 +103,3 @@ def test_add_columns(spark, target):
     old = target.drop("canonical_id")
     assert M.add_columns(old, target).columns == target.columns
     assert M.add_columns(old, target).filter("canonical_id is not null").isEmpty()
-
-
-def test_store_replaces_only_touched_parts(spark, tmp_path, target, updates):
-    table = Table(spark, str(tmp_path / "t"), schemas.RECORDS, "source_id", ["source_type"], buckets=4)
-    assert table.read().count() == 0
-    table.replace(target)
-    before = table.listing()["parts"]
-    parts = table.parts_of(updates.filter("source_id = 'b'"))
-    assert len(parts) == 1
-    merged = M.merge_records(table.read(parts), updates.filter("source_id = 'b'"), as_of(), True)
-    table.replace(merged, parts, {"s": 7})
-    after = table.listing()["parts"]
-    assert {p for p in after if after[p] != before.get(p)} == set(parts)
-    assert table.applied("s") == 7 and table.applied("other") == -1
-    assert sorted(r["title"] for r in table.read().collect()) == ["A", "B2"]
-    assert table.read(source_type="csv").count() == 2 and table.read(source_type="rss").count() == 0
-    # A second writer that started from the same listing must not win silently.
-    with pytest.raises(RuntimeError):
-        table._folder.publish_text(f"listings/{table.listing()['version']:08d}.json", "{}")
-
-
-def test_prune_keeps_what_is_current(spark, tmp_path, target):
-    table = Table(spark, str(tmp_path / "t"), schemas.RECORDS, "source_id", ["source_type"], buckets=4)
-    for i in range(4):
-        table.replace(target.withColumn("title", F.lit(f"v{i}")), table.parts_of(target.filter("source_id = 'a'")) if i else None)
-    rows = sorted(map(str, table.read().collect()))
-    homes = len(table._folder.names())
-    assert table.prune(keep=1) > 0
-    assert len(table._folder.names()) < homes
-    assert sorted(map(str, table.read().collect())) == rows
-    assert table.prune(keep=1) == 0
-    small = Table(spark, str(tmp_path / "s"), schemas.RECORDS, "source_id")
-    for _ in range(3):
-        small.replace(target)
-    assert small.prune(keep=2) == 1 and small.read().count() == 2

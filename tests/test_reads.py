@@ -28,7 +28,8 @@ def test_page_bounds(records):
     for page, size in [(0, 10), (1, 0), (1, 1001)]:
         with pytest.raises(ValueError):
             reads.page_of(records, page, size)
-    assert reads.page_info(records, 2, 10).first().asDict() == {"page": 2, "page_size": 10, "total_records": 35, "total_pages": 4}
+    assert reads.page_info(records, 2, 10).first().asDict() == {
+        "page": 2, "page_size": 10, "total_records": 35, "total_pages": 4, "filters_applied": None}
 
 
 def test_pages_cover_everything_once(records):
