@@ -60,14 +60,10 @@ CRYPTO_SYMBOLS = [
     ("tia", "celestia"),
 ]
 
-# A dictionary in memory up to this size is compiled into the plan as a literal; any other is joined, with
-# the same answers.
-LITERAL_ALIASES = 256
-
-
 @dataclass(frozen=True)
 class AliasBook:
-    """A small dictionary of entity names, kept in matching order."""
+    """A dictionary in memory, kept in matching order. It becomes a constant of the plan, so it should be small;
+    ``table`` gives the same dictionary as rows, which are joined."""
 
     symbols: dict[str, str] = field(default_factory=dict)
     aliases: dict[str, str] = field(default_factory=dict)
@@ -86,6 +82,58 @@ class AliasBook:
                 aliases[alias] = name
         return AliasBook(symbols, aliases)
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(kind, k, i, c) for kind, part in (("symbol", self.symbols), ("alias", self.aliases)) for i, (k, c) in enumerate(part.items())]
+        return spark.createDataFrame(rows, "kind string, key string, ord long, canonical string")
+
+    def symbol(self, key: Column) -> Column:
+        return _lookup(self.symbols, key)
+
+    def alias(self, key: Column) -> Column:
+        return _lookup(self.aliases, key)
+
+    def containing(self, key: Column) -> Column:
+        """Entity of the first alias, in order, that contains the key or is contained in it."""
+        if not self.aliases:
+            return S.null_text()
+        listed = [{"alias": a, "canonical": c} for a, c in self.aliases.items()]
+        entries = F.from_json(F.lit(json.dumps(listed)), "array<struct<alias:string,canonical:string>>")
+        hits = F.filter(entries, lambda e: F.contains(key, e["alias"]) | F.contains(e["alias"], key))
+        first = F.get(hits, F.lit(0))["canonical"]
+        if "" in self.aliases:
+            return first
+        # Most titles name nothing: one pattern and one search rule them out before the list is
+        # walked. A title with a line break may slip through the search and is then walked too.
+        possible = F.contains(F.lit("\n".join(self.aliases)), key) | key.rlike(_any_of(self.aliases))
+        return F.when(possible, first)
+
+
+class TableBook:
+    """A dictionary of rows, as strategies see it: what they ask is noted, and a join answers it.
+
+    The answer is a column of the row, like that of a dictionary in memory, so any strategy works with either. It is there
+    once all have been asked; a strategy cannot make an answer part of another question.
+    """
+
+    def __init__(self):
+        self.asked: list[tuple[str, Column]] = []
+
+    def _ask(self, kind: str, key: Column) -> Column:
+        self.asked.append((kind, key))
+        return F.try_element_at(F.col("_found"), F.lit(len(self.asked) - 1))
+
+    def symbol(self, key: Column) -> Column:
+        return self._ask("symbol", key)
+
+    def alias(self, key: Column) -> Column:
+        return self._ask("alias", key)
+
+    def containing(self, key: Column) -> Column:
+        return self._ask("within", key)
+
+    def __getattr__(self, name: str):
+        raise AttributeError(f"a dictionary of rows has no {name}: ask it by symbol(key), alias(key) or containing(key)")
+
 
 CRYPTO = AliasBook.of(CRYPTO_SYMBOLS)
 
@@ -115,7 +163,8 @@ class Clues:
     identity: Column
 
 
-Strategy = Callable[[Clues, AliasBook], Column]
+Book = AliasBook | TableBook
+Strategy = Callable[[Clues, Book], Column]
 
 
 def _lookup(entries: dict[str, str], key: Column) -> Column:
@@ -134,49 +183,29 @@ def _any_of(words: Iterable[str]) -> str:
     return "|".join(f"{re.escape(head)}(?:{'|'.join(rest)})" for head, rest in tails.items())
 
 
-def symbol_of_id(clues: Clues, book: AliasBook) -> Column:
+def symbol_of_id(clues: Clues, book: Book) -> Column:
     """CSV ids of the form symbol-name; an unknown symbol keeps the id as it is."""
     id = clues.identity["id"]
-    symbol = F.lower(F.substring_index(id, "-", 1))
-    return F.when(
-        (clues.source_type == "csv") & F.contains(id, F.lit("-")),
-        F.coalesce(_lookup(book.symbols, symbol), id),
-    )
+    fits = (clues.source_type == "csv") & F.contains(id, F.lit("-"))
+    return F.coalesce(book.symbol(F.when(fits, F.lower(F.substring_index(id, "-", 1)))), F.when(fits, id))
 
 
-def alias_of_field(clues: Clues, book: AliasBook) -> Column:
+def alias_of_field(clues: Clues, book: Book) -> Column:
     """The first naming field whose value is a known alias."""
-    keys = [S.strip(F.lower(clues.identity[f])) for f in ALIAS_FIELDS]
-    return F.coalesce(*[_lookup(book.aliases, k) for k in keys])
+    return F.coalesce(*[book.alias(S.strip(F.lower(clues.identity[f]))) for f in ALIAS_FIELDS])
 
 
-def alias_of_title(clues: Clues, book: AliasBook) -> Column:
-    return _lookup(book.aliases, clues.title_key)
+def alias_of_title(clues: Clues, book: Book) -> Column:
+    return book.alias(clues.title_key)
 
 
-def alias_in_parens(clues: Clues, book: AliasBook) -> Column:
-    return _lookup(book.aliases, F.lower(paren_symbol(clues.title)))
+def alias_in_parens(clues: Clues, book: Book) -> Column:
+    return book.alias(F.lower(paren_symbol(clues.title)))
 
 
-def alias_in_title(clues: Clues, book: AliasBook) -> Column:
+def alias_in_title(clues: Clues, book: Book) -> Column:
     """First alias, in dictionary order, that contains the title or is contained in it."""
-    if not book.aliases:
-        return S.null_text()
-    listed = [{"alias": a, "canonical": c} for a, c in book.aliases.items()]
-    entries = F.from_json(
-        F.lit(json.dumps(listed)), "array<struct<alias:string,canonical:string>>"
-    )
-    key = clues.title_key
-    hits = F.filter(
-        entries, lambda e: F.contains(key, e["alias"]) | F.contains(e["alias"], key)
-    )
-    # Most titles name nothing: one pattern and one search rule them out before the list is
-    # walked. A title with a line break may slip through the search and is then walked too.
-    possible = F.contains(F.lit("\n".join(book.aliases)), key)
-    if "" not in book.aliases:
-        possible = possible | key.rlike(_any_of(book.aliases))
-        return F.when(possible, F.get(hits, F.lit(0))["canonical"])
-    return F.get(hits, F.lit(0))["canonical"]
+    return book.containing(clues.title_key)
 
 
 @dataclass(frozen=True)
@@ -186,19 +215,16 @@ class UrlEntity:
     pattern: str = COIN_URL
     source_types: tuple[str, ...] = ("rss",)
 
-    def part(self, clues: Clues) -> Column:
-        return F.when(clues.source_type.isin(list(self.source_types)), url_slug(clues.identity["link"], self.pattern))
-
-    def __call__(self, clues: Clues, book: AliasBook) -> Column:
-        part = self.part(clues)
-        return F.coalesce(_lookup(book.aliases, part), part)
+    def __call__(self, clues: Clues, book: Book) -> Column:
+        part = F.when(clues.source_type.isin(list(self.source_types)), url_slug(clues.identity["link"], self.pattern))
+        return F.coalesce(book.alias(part), part)
 
 
 def url_entity(pattern: str = COIN_URL, source_types: Sequence[str] = ("rss",)) -> Strategy:
     return UrlEntity(pattern, tuple(source_types))
 
 
-def slug_of_title(clues: Clues, book: AliasBook) -> Column:
+def slug_of_title(clues: Clues, book: Book) -> Column:
     return slug(clues.title)
 
 
@@ -213,110 +239,97 @@ def resolve(
 ) -> DataFrame:
     """Add ``canonical_id``: the answer of the first strategy that has one.
 
-    ``book`` is a dictionary in memory or rows (ord, symbol, name) of any number. A small one in memory
-    makes a narrow projection, whatever the size of the feed; any other is joined. Own strategies are
-    functions from the clues to a column and can be put anywhere in the cascade; they see a dictionary in memory only.
+    ``book`` is a dictionary in memory, which makes a narrow projection whatever the size of the feed, or rows of any
+    number: (ord, symbol, name), or (kind, key, ord, canonical) as ``AliasBook.table`` gives. Own strategies are functions from
+    the clues and the book to a column and can be put anywhere in the cascade; they ask either kind of book alike.
     """
     keyed = parsed.withColumn("_title_key", S.strip(F.lower("title")))
     clues = Clues(F.col("source_type"), F.col("title"), F.col("_title_key"), F.col("identity"))
-    in_memory = book if isinstance(book, AliasBook) else AliasBook()
-    if isinstance(book, AliasBook) and len(book.aliases) <= LITERAL_ALIASES:
+    if isinstance(book, AliasBook):
         answers = [strategy(clues, book) for strategy in cascade]
-        return keyed.withColumn("canonical_id", F.coalesce(*answers)).drop("_title_key")
-    aliases, symbols = _dictionary(parsed.sparkSession, book)
-    answers = []
-    for i, strategy in enumerate(cascade):
-        if strategy in _KEYS or isinstance(strategy, UrlEntity):
-            keys = [strategy.part(clues)] if isinstance(strategy, UrlEntity) else _KEYS[strategy](clues)
-            found = []
-            for j, key in enumerate(keys):
-                name = f"_answer_{i}_{j}"
-                keyed = _looked_up(keyed, key, symbols if strategy is symbol_of_id else aliases, name)
-                found.append(F.col(name))
-            if strategy is symbol_of_id:
-                found.append(F.when(keys[0].isNotNull(), clues.identity["id"]))
-            answers.append(F.coalesce(*found, *(keys if isinstance(strategy, UrlEntity) else [])))
-        elif strategy is alias_in_title:
-            name = f"_answer_{i}"
-            held = _contained(keyed.select("_title_key").distinct(), aliases)
-            keyed = keyed.join(held.withColumnRenamed("canonical", name), "_title_key", "left")
-            answers.append(F.col(name))
-        else:
-            answers.append(strategy(clues, in_memory))
+    else:
+        asking = TableBook()
+        answers = [strategy(clues, asking) for strategy in cascade]
+        keyed = _answered(keyed, asking.asked, _dictionary(book)) if asking.asked else keyed
     return keyed.withColumn("canonical_id", F.coalesce(*answers)).select(
         *[c for c in parsed.columns if c != "canonical_id"], "canonical_id")
 
 
-# What the default strategies look up.
-_KEYS: dict[Strategy, Callable[[Clues], list[Column]]] = {
-    symbol_of_id: lambda c: [F.when(
-        (c.source_type == "csv") & F.contains(c.identity["id"], F.lit("-")),
-        F.lower(F.substring_index(c.identity["id"], "-", 1)))],
-    alias_of_field: lambda c: [S.strip(F.lower(c.identity[f])) for f in ALIAS_FIELDS],
-    alias_of_title: lambda c: [c.title_key],
-    alias_in_parens: lambda c: [F.lower(paren_symbol(c.title))],
-}
-
-
-def _dictionary(spark: SparkSession, book: AliasBook | DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, ord, canonical) of the aliases and of the symbols."""
-    if isinstance(book, AliasBook):
-        aliases = [(a, i, c) for i, (a, c) in enumerate(book.aliases.items())]
-        symbols = [(s, i, c) for i, (s, c) in enumerate(book.symbols.items())]
-        shape = "key string, ord int, canonical string"
-        return spark.createDataFrame(aliases, shape), spark.createDataFrame(symbols, shape)
+def _dictionary(book: DataFrame) -> DataFrame:
+    """``kind, key, ord, canonical``: each alias and each symbol once."""
+    if "kind" in book.columns:
+        return book.select("kind", "key", "ord", "canonical")
     symbols = book.groupBy(F.col("symbol").alias("key")).agg(
         F.max("ord").alias("ord"), F.max_by("name", "ord").alias("canonical"))
-    return alias_rows(book).select(F.col("alias").alias("key"), "ord", "canonical"), symbols
-
-
-def _looked_up(rows: DataFrame, key: Column, table: DataFrame, name: str) -> DataFrame:
-    found = table.select(F.col("key").alias("_key"), F.col("canonical").alias(name))
-    return rows.withColumn("_key", key).join(found, "_key", "left").drop("_key")
-
-
-def _title_parts(title_key: Column, lengths: Column) -> Column:
-    """Every piece of the title that is as long as some alias."""
-    size = F.length(title_key)
-    fitting = F.filter(lengths, lambda n: n <= size)
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                fitting,
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), size - n + 1), lambda p: F.substring(title_key, p, n)
-                ),
-            )
-        )
-    )
-
+    aliases = alias_rows(book).select(F.col("alias").alias("key"), "ord", "canonical")
+    return symbols.withColumn("kind", F.lit("symbol")).unionByName(aliases.withColumn("kind", F.lit("alias")))
 
-def _alias_parts(alias: Column, lengths: Column) -> Column:
-    """Every piece of an alias that is as long as some title."""
-    size = F.length(alias)
-    fitting = F.filter(lengths, lambda n: n <= size)
-    pieces = F.transform(fitting, lambda n: F.transform(
-        F.sequence(F.lit(1), size - n + 1), lambda p: F.substring(alias, p, n)))
-    return F.array_distinct(F.flatten(pieces))
 
+def _answered(rows: DataFrame, asked: list[tuple[str, Column]], dictionary: DataFrame) -> DataFrame:
+    """``rows`` with ``_found``: the answers to what was asked, by the place of the question.
 
-def _contained(titles: DataFrame, aliases: DataFrame) -> DataFrame:
-    """``_title_key, canonical`` of titles that hold an alias or lie in one: the first alias in order.
-
-    Containment becomes equality: distinct titles are cut into pieces as long as the aliases, aliases into
-    pieces as long as the titles, and both meet in equi-joins. No step pairs every title with every alias.
+    The keys a row asks for are one value. Each such value that occurs is taken apart once, its keys (none of them null) meet
+    the dictionary in one join, and the answers go back to the rows in another. Rows without any key go past both.
+    """
+    keys = F.array(*[key.cast("string") for _, key in asked])
+    # Something of its own for each row that asks nothing, so that they do not meet in one task.
+    given = [F.col(c) for c in ("source_type", "title", "identity", "source_id") if c in rows.columns]
+    alone = F.array(F.lit(None).cast("string"), *[F.xxhash64(*given).cast("string")] * len(asked))
+    rows = rows.withColumn("_keys", F.when(F.exists(keys, lambda k: k.isNotNull()), keys).otherwise(alone))
+    kinds = F.array(*[F.lit(kind) for kind, _ in asked])
+    sets = rows.select("_keys").filter(F.size("_keys") == len(asked)).distinct()
+    questions = sets.select("_keys", F.posexplode("_keys").alias("place", "key")).filter("key IS NOT NULL").select(
+        "_keys", "place", F.get(kinds, F.col("place")).alias("kind"), "key")
+    answers = dictionary.select("kind", "key", "canonical")
+    if any(kind == "within" for kind, _ in asked):
+        titles = questions.filter("kind = 'within'").select("key").distinct()
+        within = contained(titles, dictionary.filter("kind = 'alias'").select("key", "ord", "canonical"))
+        answers = answers.unionByName(within.select(F.lit("within").alias("kind"), "key", "canonical"))
+    found = questions.join(answers, ["kind", "key"]).groupBy("_keys").agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "canonical"))).alias("_found"))
+    return rows.join(found, "_keys", "left")
+
+
+GRAM = 3
+
+
+def _grams(text: Column, sizes: Column) -> Column:
+    """Distinct pieces of a text that are as long as one of a few sizes."""
+    return F.array_distinct(F.flatten(F.transform(F.filter(sizes, lambda n: n <= F.length(text)), lambda n: F.transform(
+        F.sequence(F.lit(1), F.length(text) - n + 1), lambda p: F.substring(text, p, n)))))
+
+
+def _inside(needles: DataFrame, hays: DataFrame) -> DataFrame:
+    """``needle, hay`` for every needle (not empty) in every text that holds it.
+
+    A needle stands in an index under that of its pieces of ``GRAM`` characters which the fewest texts have (a shorter one under
+    itself); one with a piece that no text has is in none. Texts look up the pieces they have, and what they find is verified.
     """
-    titles = titles.filter("_title_key IS NOT NULL")
-    of_aliases = aliases.agg(F.array_sort(F.collect_set(F.length("key"))).alias("lengths"))
-    of_titles = titles.agg(F.array_sort(F.collect_set(F.length("_title_key"))).alias("lengths"))
-    cut = titles.withColumn("lengths", of_aliases.scalar())
-    pieces = cut.select("_title_key", F.explode(_title_parts(F.col("_title_key"), F.col("lengths"))).alias("key"))
-    inside = pieces.join(aliases, "key").select("_title_key", "ord", "canonical")
-    parts = aliases.withColumn("lengths", of_titles.scalar()).select(
-        F.explode(_alias_parts(F.col("key"), F.col("lengths"))).alias("_title_key"), "ord", "canonical")
-    parts = parts.groupBy("_title_key").agg(F.min("ord").alias("ord"), F.min_by("canonical", "ord").alias("canonical"))
-    around = titles.join(parts, "_title_key").select("_title_key", "ord", "canonical")
-    return inside.unionByName(around).groupBy("_title_key").agg(F.min_by("canonical", "ord").alias("canonical"))
+    size = F.least(F.length("needle"), F.lit(GRAM))
+    needles = needles.filter("needle <> ''").withColumn("size", size)
+    wanted = needles.agg(F.array_sort(F.collect_set("size")).alias("sizes"))
+    probes = hays.withColumn("sizes", wanted.scalar()).select("hay", F.explode(_grams(F.col("hay"), F.col("sizes"))).alias("gram"))
+    spread = probes.groupBy("gram").agg(F.count("*").alias("n"))
+    pieces = needles.withColumn("grams", _grams(F.col("needle"), F.array("size")))
+    index = (pieces.select("needle", F.size("grams").alias("all"), F.explode("grams").alias("gram")).join(spread, "gram")
+             .groupBy("needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count("*").alias("met"), F.max("all").alias("all"))
+             .filter("met = all").select("gram", "needle"))
+    return index.join(probes, "gram").filter(F.contains("hay", "needle")).select("needle", "hay")
+
+
+def contained(titles: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``key, canonical`` of the titles (``key``, each once) that hold an alias or lie in one: the first alias in order."""
+    named = titles.select(F.col("key").alias("title"))
+    known = aliases.select(F.col("key").alias("alias"), "ord", "canonical")
+    holds = _inside(aliases.select(F.col("key").alias("needle")), titles.select(F.col("key").alias("hay"))).toDF("alias", "title")
+    lies = _inside(titles.select(F.col("key").alias("needle")), aliases.select(F.col("key").alias("hay"))).toDF("title", "alias")
+    met = holds.select("title", "alias").unionByName(lies).join(known, "alias").select("title", "ord", "canonical")
+    # An empty title lies in every alias, and an empty alias in every title.
+    first = F.min(F.struct("ord", "canonical")).alias("first")
+    empty_alias, any_alias = known.filter("alias = ''").agg(first), known.agg(first)
+    always = F.when(F.col("title") == "", any_alias.scalar()).otherwise(empty_alias.scalar())
+    rest = named.select("title", always.alias("first")).filter("first IS NOT NULL").select("title", "first.ord", "first.canonical")
+    return met.unionByName(rest).groupBy(F.col("title").alias("key")).agg(F.min_by("canonical", "ord").alias("canonical"))
 
 
 def as_parsed(records: DataFrame) -> DataFrame:

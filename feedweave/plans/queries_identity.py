@@ -119,29 +119,30 @@ def _named_parts_with_key(spark, folder):
     )
 
 
-@query(f"""WITH {_GOODS}, {sql.FEEDS},
+@query(f"""WITH {sql.FEEDS},
+names AS (SELECT DISTINCT replace(p_name, ' ', '-') AS name, split_part(p_name, ' ', 1) || '.' || split_part(p_name, ' ', -1) AS symbol FROM part
+          UNION SELECT DISTINCT split_part(p_name, ' ', -1), split_part(p_name, ' ', -1) FROM part),
+placed AS (SELECT *, ('0x' || substr(md5(name), 1, 8))::BIGINT AS ord FROM names),
+spoken AS (SELECT name, ord * 4 AS place, symbol AS alias FROM placed UNION ALL SELECT name, ord * 4 + 1, name FROM placed
+           UNION ALL SELECT name, ord * 4 + 2, replace(name, '-', ' ') FROM placed UNION ALL SELECT name, ord * 4 + 3, replace(name, '-', '') FROM placed),
+aliases AS (SELECT alias, min(place) AS ord, arg_max(name, place) AS canonical FROM spoken GROUP BY alias),
 titles AS (SELECT source_type, source_id, title, link, {sql.key_of('title')} AS k
-           FROM (SELECT * FROM api2_feed UNION ALL SELECT * FROM rss_feed))
+           FROM (SELECT * FROM api2_feed UNION ALL SELECT * FROM rss_feed)),
+keys AS (SELECT k, coalesce({sql.lookup('k')}, {sql.containment('k')}) AS named FROM (SELECT DISTINCT k FROM titles))
 SELECT source_type, source_id,
-       coalesce({sql.containment('k')},
-                CASE WHEN source_type = 'rss'
-                     THEN nullif(regexp_extract(lower(link), '{sql.COIN_URL}', 1), '') END,
+       coalesce(named, CASE WHEN source_type = 'rss' THEN nullif(regexp_extract(lower(link), '{sql.COIN_URL}', 1), '') END,
                 {sql.slug('title')}) AS canonical_id
-FROM titles""")
+FROM titles LEFT JOIN keys USING (k)""")
 def joined_dictionary_ids(spark, folder):
-    """The cascade against a dictionary that is a table: one entry per kind of goods."""
+    """The cascade against a dictionary that is a table: all names of goods and all their nouns."""
     noun = F.substring_index("p_name", " ", -1)
-    known = F.create_map(*[F.lit(x) for p in GOODS.symbols.items() for x in p])
-    place = F.create_map(*[F.lit(x) for i, s in enumerate(GOODS.symbols) for x in (s, i)])
-    symbols = (
-        t.table(spark, folder, "part").select(noun.alias("symbol")).distinct()
-        .select(F.try_element_at(place, F.col("symbol")).cast("long").alias("ord"), "symbol",
-                F.try_element_at(known, F.col("symbol")).alias("name"))
-        .filter(F.col("name").isNotNull())
-    )
+    part = t.table(spark, folder, "part")
+    named = part.select(F.replace("p_name", F.lit(" "), F.lit("-")).alias("name"),
+                        F.concat(F.substring_index("p_name", " ", 1), F.lit("."), noun).alias("symbol"))
+    names = named.unionByName(part.select(noun.alias("name"), noun.alias("symbol"))).distinct()
+    book = names.select(F.conv(F.substring(F.md5("name"), 1, 8), 16, 10).cast("long").alias("ord"), "symbol", "name")
     feeds = unify([t.parts(spark, folder), t.pages(spark, folder)])
-    resolved = R.resolve(feeds, symbols)
-    return resolved.select("source_type", "source_id", "canonical_id")
+    return R.resolve(feeds, book).select("source_type", "source_id", "canonical_id")
 
 
 @query(f"""WITH {_TEXTS}

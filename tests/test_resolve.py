@@ -78,16 +78,65 @@ def test_joined_and_literal_dictionary_agree_on_page_titles(spark, symbol_rows):
     assert answers(R.resolve(df)) == answers(R.resolve(df, symbol_rows))
 
 
-def test_a_large_book_in_memory_gives_the_same_answers(spark, monkeypatch):
+def test_a_book_in_memory_and_as_rows_give_the_same_answers(spark):
     titles = ["Bitcoin", "buy (eth) now", "the-graph", "", None, "bit", "x name-7 y", "s12", "name 299"]
     rows = [("csv", t, {"id": f"s{i}-x"}) for i, t in enumerate(titles)] + [("rss", t, {"link": "https://x/coin/s5"}) for t in titles]
-    rows += [("api1", "Q", {"symbol": " S9 "}), ("api1", "Q", {"currency": "name-4"})]
+    rows += [("api1", "Q", {"symbol": " S9 "}), ("api1", "Q", {"currency": "name-4"}), ("api1", None, {})]
     book = R.AliasBook.of([*R.CRYPTO_SYMBOLS, *((f"s{i}", f"name-{i}") for i in range(300))])
     loud = lambda clues, _: F.when(clues.title == "Q", F.lit("own"))
     cascade = (*R.CASCADE[:2], loud, *R.CASCADE[2:5], R.url_entity("/coin/([a-z0-9]+)"), R.slug_of_title)
-    joined = answers(R.resolve(parsed(spark, rows), book, cascade))
-    monkeypatch.setattr(R, "LITERAL_ALIASES", 10_000)
-    assert joined == answers(R.resolve(parsed(spark, rows), book, cascade))
+    assert answers(R.resolve(parsed(spark, rows), book.table(spark), cascade)) == answers(R.resolve(parsed(spark, rows), book, cascade))
+
+
+def test_own_strategies_ask_either_kind_of_book(spark, symbol_rows):
+    """The first word of the title as an alias: the same answers from memory and from rows."""
+    def first_word(clues, book):
+        return book.alias(F.substring_index(clues.title_key, " ", 1))
+
+    df = parsed(spark, [("rss", "Bitcoin rises", {}), ("rss", "Rises bitcoin", {}), ("rss", "ETH!", {}), ("rss", None, {})])
+    cascade = (first_word, R.slug_of_title)
+    want = ["bitcoin", "rises-bitcoin", "eth", None]
+    assert answers(R.resolve(df, R.CRYPTO, cascade)) == want
+    assert answers(R.resolve(df, symbol_rows, cascade)) == want
+
+    def looks_inside(clues, book):
+        return F.lit(book.aliases["btc"])
+
+    with pytest.raises(AttributeError, match="alias"):
+        R.resolve(df, symbol_rows, (looks_inside,))
+
+
+def test_one_join_with_the_dictionary(spark, symbol_rows):
+    """All look-ups of the cascade meet the dictionary in one join and come back in another; null keys meet nothing."""
+    df = parsed(spark, GOLDENS)
+    plain = [s for s in R.CASCADE if s is not R.alias_in_title]
+    plan = R.resolve(df, symbol_rows, plain)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 and "isnotnull(key" in plan
+
+
+@pytest.mark.parametrize("aliases", [["a", "bc", "abc", "cab", "aab b", "caa", "zz"], ["", "ab"], ["", ""], []])
+def test_containment_is_complete(spark, aliases):
+    import itertools
+
+    titles = ["".join(x) for n in range(5) for x in itertools.product("abc", repeat=n)]
+    rows = spark.createDataFrame([(a, i, f"c{i}") for i, a in enumerate(dict.fromkeys(aliases))], "key string, ord long, canonical string")
+    got = {r["key"]: r["canonical"] for r in R.contained(spark.createDataFrame([(t,) for t in titles], "key string"), rows).collect()}
+    want = {}
+    for t in titles:
+        hits = [f"c{i}" for i, a in enumerate(dict.fromkeys(aliases)) if a in t or t in a]
+        if hits:
+            want[t] = hits[0]
+    assert got == want
+
+
+def test_containment_expands_no_more_than_the_grams_of_titles(spark):
+    """Neither side is cut into all its pieces: one long alias and one long title cost their grams."""
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(400))
+    df = spark.createDataFrame([(text + "x",)], "key string")
+    book = spark.createDataFrame([(text[:300], 0, "long"), ("qqq", 1, "short")], "key string, ord long, canonical string")
+    assert R.contained(df, book).collect()[0]["canonical"] == "long"
+    grams = df.select(F.size(R._grams(F.col("key"), F.array(F.lit(R.GRAM)))).alias("n")).first()["n"]
+    assert grams <= 399
 
 
 def test_own_strategy_goes_first(spark):
