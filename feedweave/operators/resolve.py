@@ -275,7 +275,9 @@ def _answered(rows: DataFrame, asked: list[tuple[str, Column]], dictionary: Data
     # Something of its own for each row that asks nothing, so that they do not meet in one task.
     given = [F.col(c) for c in ("source_type", "title", "identity", "source_id") if c in rows.columns]
     alone = F.array(F.lit(None).cast("string"), *[F.xxhash64(*given).cast("string")] * len(asked))
-    rows = rows.withColumn("_keys", F.when(F.exists(keys, lambda k: k.isNotNull()), keys).otherwise(alone))
+    # The one-element explode keeps what looks at the keys above the work of making them.
+    rows = rows.withColumns({"_keys": F.explode(F.array(keys)), "_alone": alone})
+    rows = rows.withColumn("_keys", F.when(F.exists("_keys", lambda k: k.isNotNull()), F.col("_keys")).otherwise(F.col("_alone"))).drop("_alone")
     kinds = F.array(*[F.lit(kind) for kind, _ in asked])
     sets = rows.select("_keys").filter(F.size("_keys") == len(asked)).distinct()
     questions = sets.select("_keys", F.posexplode("_keys").alias("place", "key")).filter("key IS NOT NULL").select(
