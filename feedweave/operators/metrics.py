@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedweave.session import stage
+
 # Upper bounds of the run-duration histogram, in seconds.
 DURATION_BOUNDS = [
     0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0,
@@ -180,51 +182,35 @@ def event_log(runs: DataFrame, drift_log: DataFrame) -> DataFrame:
     return started.unionByName(completed).unionByName(failed).unionByName(drifted)
 
 
-def trailing_calls(
-    calls: DataFrame,
-    source: str,
-    ts: str,
-    period_seconds: int = 60,
-    chunk_seconds: int = 3600,
-) -> DataFrame:
+def trailing_calls(calls: DataFrame, source: str, ts: str, period_seconds: int = 60) -> DataFrame:
     """Calls of each source in the period that ends with each call, itself included.
 
-    A call exactly one period old has expired. Simultaneous calls are counted first, then
-    each source is cut into time chunks that carry one period of the calls before them, so a
-    busy source is spread over many tasks. The count is a running sum, so it stays linear
-    however many calls a period holds. One row per (source, moment) with ``calls`` at that
-    moment and ``in_window``.
+    A call exactly one period old has expired. Calls come in at their moment and leave one period later, so the count is a
+    prefix sum over both, and it is taken in a distributed way: what comes and leaves is dealt into ranges of (source, time)
+    of equal numbers of rows, each range adds up for itself, and gets what all ranges before it of the same source add up to.
+    So a source spreads over as many tasks as its rows fill, be they all of one hour. One row per (source, moment) with
+    ``calls`` at that moment and ``in_window``.
     """
-    period, chunk = period_seconds * 1_000_000, max(chunk_seconds, period_seconds) * 1_000_000
+    period = period_seconds * 1_000_000
     moments = (
         calls.groupBy(F.col(source).alias("source"), F.col(ts).alias("ts"))
         .agg(F.count("*").alias("calls"))
         .withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     )
-
-    def chunk_of(us: Column) -> Column:
-        return us - F.pmod(us, F.lit(chunk))
-
-    own = chunk_of(F.col("us"))
-    lends = chunk_of(F.col("us") + period - 1)
-    placed = moments.withColumn("own_chunk", own).withColumn(
-        "chunk", F.explode(F.array_distinct(F.array(own, lends)))
-    )
-    # Calls come in at their moment and leave one period later, leavers first.
     comes = F.struct(F.col("us").alias("at"), F.col("calls").alias("change"))
     leaves = F.struct((F.col("us") + period).alias("at"), (-F.col("calls")).alias("change"))
-    changes = placed.withColumn("event", F.explode(F.array(comes, leaves))).select(
-        "source", "ts", "chunk", "own_chunk", "event.at", "event.change"
-    )
-    running = (
-        Window.partitionBy("source", "chunk").orderBy("at", "change")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        changes.withColumn("in_window", F.sum("change").over(running))
-        .filter("change > 0 and chunk = own_chunk")
-        .select("source", "ts", F.col("change").alias("calls"), "in_window")
-    )
+    changes = moments.withColumn("event", F.explode(F.array(comes, leaves))).select("source", "ts", "event.at", "event.change")
+    # Leavers first among what happens at one moment. The ranges are written, so that they stay what they are.
+    ranged = changes.repartitionByRange("source", "at", "change").withColumn("range", F.spark_partition_id())
+    ranged = stage(ranged, "ranges")
+    order = Window.partitionBy("range", "source").orderBy("at", "change").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each source in each range.
+    offsets = ranged.groupBy("source", "range").agg(F.sum("change").alias("total"))
+    offsets = offsets.select("source", "range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
+    local = ranged.withColumn("here", F.sum("change").over(order)).filter("change > 0")
+    joined = local.alias("l").join(offsets.alias("o"), (F.col("l.range") == F.col("o.range")) & F.col("l.source").eqNullSafe(F.col("o.source")))
+    return joined.select("l.source", "l.ts", F.col("l.change").alias("calls"), (F.col("l.here") + F.col("o.before")).alias("in_window"))
 
 
 def rate_report(

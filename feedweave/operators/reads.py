@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import json
-
 import datetime as dt
+import json
+import os
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedweave.operators.normalize import public
-from feedweave.session import stage
 
 MAX_PAGE_SIZE = 1000
 MAX_RECENT_RUNS = 100
-# Up to this many rows a page is taken from the top; deeper pages are located by counting.
+# So many rows can be sorted for a page; a page that lies deeper is located by histograms of so many ranges first.
 TOP_ROWS = 100_000
+RANGES = 1000
 
 
 def matching(
@@ -64,35 +64,54 @@ def page_of(records: DataFrame, page: int = 1, page_size: int = 50) -> DataFrame
 
 
 def deep_page(records: DataFrame, offset: int, page_size: int) -> DataFrame:
-    """A page far down: range-partition once, count the ranges, read only those that matter."""
-    ranged = records.repartitionByRange(*_newest_first()).withColumn(
-        "_range", F.spark_partition_id()
-    )
-    kept = stage(ranged, "page")
-    sizes = kept.groupBy("_range").count().orderBy("_range").collect()
-    before: dict[int, int] = {}
-    seen = 0
-    for row in sizes:
-        before[row["_range"]] = seen
-        seen += row["count"]
-    wanted = [
-        row["_range"]
-        for row in sizes
-        if before[row["_range"]] < offset + page_size
-        and before[row["_range"]] + row["count"] > offset
-    ]
-    if not wanted:
+    """A page far down: found by histograms of the sort keys, then read by a filter on them.
+
+    Each histogram counts the rows of what is left in a thousand equal ranges of a key, first of created_at, then of the next
+    bytes of source_id, and leaves the ranges the page lies in, until ``TOP_ROWS`` rows are left or all keys in them are equal.
+    Only counts come to the driver, only keys are read for them, and nothing is written.
+    """
+    within, before = _seek(records, offset, page_size)
+    if within is None:
         return records.limit(0)
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*_newest_first()))
-    starts = F.create_map(*[F.lit(x) for r in wanted for x in (r, before[r])])
-    overall = F.col("_place") + F.try_element_at(starts, F.col("_range"))
-    return (
-        kept.filter(F.col("_range").isin(wanted))
-        .withColumn("_place", place)
-        .filter((overall > offset) & (overall <= offset + page_size))
-        .select(*records.columns)
-        .orderBy(*_newest_first())
-    )
+    return records.filter(within).orderBy(*_newest_first()).offset(offset - before).limit(page_size)
+
+
+def _seek(records: DataFrame, offset: int, page_size: int) -> tuple[Column | None, int]:
+    """A condition on the sort keys that holds for the rows of a page and few others, and how many rows come before those."""
+    # Newest first, nulls last: ascending in this number.
+    age = F.coalesce(-F.unix_micros("created_at"), F.lit((1 << 63) - 1))
+    within, before, skipped = F.lit(True), 0, None
+    while True:
+        if skipped is None:
+            key = age
+        else:
+            # Seven bytes of the id after what all ids have in common, as a number.
+            key = F.expr(f"cast(conv(hex(rpad(substring(cast(source_id AS binary), {skipped + 1}, 7), 7, X'00')), 16, 10) AS bigint)")
+        left = records.filter(within)
+        low, high, first, last, n = left.agg(F.min(key), F.max(key), F.min("source_id"), F.max("source_id"), F.count("*")).first()
+        if before + n <= offset:
+            return None, before
+        if n <= TOP_ROWS:
+            return within, before
+        if low == high:
+            if skipped is not None and (first is None or first == last):
+                return within, before
+            skipped = len(os.path.commonprefix([(first or "").encode(), (last or "").encode()]))
+            continue
+        width = (high - low) // RANGES + 1
+        # Differences of decimals: the keys may span more than a 64-bit number.
+        whole = "decimal(20,0)"
+        place = F.call_function("div", key.cast(whole) - F.lit(low).cast(whole), F.lit(width).cast(whole)).cast("int")
+        sizes = sorted(left.groupBy(place.alias("place")).agg(F.count("*").alias("n")).collect())
+        edges, seen = [], before
+        for at, size in sizes:
+            if seen < offset + page_size and seen + size > offset:
+                edges.append((at, seen))
+            seen += size
+        start, end = low + edges[0][0] * width, min(low + (edges[-1][0] + 1) * width - 1, high)
+        before, within = edges[0][1], within & key.between(start, end)
+        if len(edges) > 1:
+            return within, before
 
 
 def page_info(

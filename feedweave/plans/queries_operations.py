@@ -174,7 +174,7 @@ _WINDOW = """counted AS (SELECT event_type AS source, ts, count(*) OVER (PARTITI
 @query(f"""WITH {_WINDOW} SELECT source, {sql.stamp('ts')} AS ts, count(*) AS calls, max(in_window) AS in_window
 FROM counted GROUP BY source, counted.ts""")
 def rate_window(spark, folder):
-    counted = X.trailing_calls(_calls(spark, folder), "event_type", "ts", period_seconds=3600, chunk_seconds=86400)
+    counted = X.trailing_calls(_calls(spark, folder), "event_type", "ts", period_seconds=3600)
     return counted.withColumn("ts", t.text_of("ts"))
 
 

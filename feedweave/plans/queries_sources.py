@@ -195,9 +195,5 @@ def stream_dedup(spark, folder):
     keyed.repartition(4).write.parquet(landing)
     out = fresh_dir(spark, "dedup")
     stream = incremental.stream_files(spark, landing, keyed.schema, maxFilesPerTrigger="2")
-    query = (
-        incremental.deduplicated(stream).writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", fresh_dir(spark, "progress")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    incremental.distinct_into(stream, out, fresh_dir(spark, "progress")).awaitTermination()
     return spark.read.schema(keyed.schema).parquet(out).groupBy("title").agg(F.count("*").alias("rows"))

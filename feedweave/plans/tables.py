@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from feedweave.functions import scalars as S
 from feedweave.functions.text import url_slug
 from feedweave.operators import bookkeeping, drift
-from feedweave.operators.normalize import identity, parse_api, parse_csv, parse_rss, to_records
+from feedweave.operators.normalize import identity, parse_api, parse_csv, parse_rss
+from feedweave.schemas import RECORDS
 from feedweave.sources.files import as_records
 
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title>"
@@ -120,15 +121,27 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _typed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Rows of the unified table whose columns come straight from typed ones, so that filters on them reach the scan."""
+    return rows.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORDS.fields])
+
+
 def event_records(spark: SparkSession, folder: str) -> DataFrame:
     """Events in the unified table, created when they happened; entity = event type."""
-    parsed = events(spark, folder).withColumn("canonical_id", F.col("category"))
-    return to_records(parsed, F.col("source_timestamp"))
+    id, kind = F.col("event_id").cast("string"), F.col("event_type")
+    return _typed(
+        table(spark, folder, "events"), source_type=F.lit("api1"), source_id=F.concat(F.lit("api_api1_"), id), canonical_id=kind,
+        title=kind, value=F.col("value"), category=kind, tags=F.array(), source_timestamp=F.col("ts"), created_at=F.col("ts"),
+        extra_metadata=F.create_map(F.lit("original_id"), id, F.lit("source_name"), F.lit("api1")))
 
 
 def order_records(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = orders(spark, folder).withColumn("canonical_id", F.lower("category"))
-    return to_records(parsed, F.col("source_timestamp"))
+    """Orders in the unified table, created when they were made; entity = status in small letters."""
+    id, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    return _typed(
+        table(spark, folder, "orders"), source_type=F.lit("csv"), source_id=F.concat(F.lit("csv_"), id), canonical_id=F.lower(status),
+        title=F.col("o_orderpriority"), value=F.col("o_totalprice"), category=status, source_timestamp=F.col("o_orderdate"),
+        created_at=F.col("o_orderdate"), extra_metadata=F.create_map(F.lit("original_id"), id))
 
 
 def run_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,6 +44,33 @@ def test_deep_pages_equal_plain_pages(records):
         assert ids(reads.deep_page(records, offset, 6)) == want
 
 
+@pytest.mark.parametrize("ranges", [3, 1000])
+def test_deep_pages_over_ties_nulls_and_long_common_ids(spark, records, monkeypatch, ranges):
+    """Seeking goes on from the time to the id when very many rows share a time, and through what ids have in common."""
+    monkeypatch.setattr(reads, "TOP_ROWS", 5)
+    monkeypatch.setattr(reads, "RANGES", ranges)
+    day = dt.datetime(2024, 3, 1)
+    times = [None] * 40 + [day] * 90 + [dt.datetime(1960, 1, 1), dt.datetime(2300, 1, 1), day + dt.timedelta(microseconds=1)]
+    rows = [("csv", f"a long common start é{i * 7919 % 1000:04d}{'tail' * (i % 3)}", *[None] * 7, at, None, None) for i, at in enumerate(times)]
+    rows += [("csv", "twin", *[None] * 7, day, None, None)] * 12
+    many = spark.createDataFrame(rows, schemas.RECORDS).repartition(5).cache()
+    want = ids(many.orderBy(F.desc_nulls_last("created_at"), "source_id"))
+    for offset in (0, 1, 2, 44, 93, 100, 106, 130, 143):
+        assert ids(reads.deep_page(many, offset, 4)) == want[offset : offset + 4]
+    assert reads.deep_page(many, len(want), 4).count() == 0 and reads.deep_page(many.limit(0), 0, 4).count() == 0
+
+
+def test_registered_reads_push_their_filters_into_the_scan(spark):
+    from feedweave.plans import catalog
+
+    catalog.load()
+    for name, pushed in (("data_page", "EqualTo(event_type,purchase)"), ("entity_history", "EqualTo(event_type,signup)"),
+                         ("recent_by_source", "GreaterThanOrEqual(ts,"), ("data_page_meta", "EqualTo(event_type,view)")):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        scan = plan[plan.index("PushedFilters: ["):]
+        assert pushed in scan[: scan.index("ReadSchema")]
+
+
 def test_filters(records):
     assert reads.matching(records, source_type="", category="", search="").count() == 35
     assert reads.matching(records, source_type="csv", category="odd", canonical_id="c").count() == 5
@@ -91,10 +118,30 @@ def test_trailing_calls_match_brute_force(spark):
     moments = [0, 0, 30 * second, 59 * second, 60 * second - 1, 60 * second, 119 * second, 120 * second, 3599 * second, 3600 * second, 3600 * second, 3659 * second + 999_999]
     calls = [("s", m) for m in moments] + [("r", 5), ("r", 60 * second + 4), ("r", 60 * second + 5)]
     df = spark.createDataFrame(calls, "s string, us long").select("s", F.timestamp_micros("us").alias("ts"), "us")
-    for chunk in (60, 100, 3600):
-        got = {(r["source"], r["us"]): r["in_window"] for r in X.trailing_calls(df, "s", "ts", 60, chunk).withColumn("us", F.unix_micros("ts")).collect()}
-        want = {(s, m): sum(1 for s2, o in calls if s2 == s and 0 <= m - o < 60 * second) for s, m in calls}
-        assert got == want
+    got = {(r["source"], r["us"]): r["in_window"] for r in X.trailing_calls(df, "s", "ts", 60).withColumn("us", F.unix_micros("ts")).collect()}
+    want = {(s, m): sum(1 for s2, o in calls if s2 == s and 0 <= m - o < 60 * second) for s, m in calls}
+    assert got == want
     report = {r["source"]: r for r in X.rate_report(df, "s", "ts", limit=3, period_seconds=60).collect()}
     assert report["s"]["calls"] == 12 and report["s"]["peak_calls"] == max(v for k, v in want.items() if k[0] == "s")
     assert report["s"]["violations"] == sum(1 for s, m in calls if s == "s" and want[(s, m)] > 3)
+
+
+def test_a_busy_hour_spreads_over_tasks(spark, monkeypatch):
+    """One source with all its calls in one hour fills several ranges, and sums go on across them."""
+    calls = [("busy", i * 1_000_003 % 3_000_000_000) for i in range(3000)] + [(None, 7), (None, 8)]
+    df = spark.createDataFrame(calls, "s string, us long").select("s", F.timestamp_micros("us").alias("ts"))
+    staged = []
+    keep = X.stage
+    monkeypatch.setattr(X, "stage", lambda rows, label: staged.append(keep(rows, label)) or staged[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = X.trailing_calls(df, "s", "ts", 300).withColumn("us", F.unix_micros("ts")).collect()
+        sizes = [r["count"] for r in staged[0].filter("s = 'busy'" if "s" in staged[0].columns else "source = 'busy'").groupBy("range").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 4 and max(sizes) < 2000
+    moments = sorted(m for s, m in calls if s)
+    for r in got[:200] + got[-200:]:
+        if r["source"]:
+            assert r["in_window"] == sum(0 <= r["us"] - m < 300_000_000 for m in moments)
+    assert sorted(r["in_window"] for r in got if r["source"] is None) == [1, 2]

@@ -186,3 +186,25 @@ def test_backfill_resolves_only_what_lacks_an_id(spark, lake):
     lake.backfill()
     assert spark.read.parquet(lake.records.home(lake.records.runs()[0])).count() == 0
     assert lake.records.schema == schemas.RECORDS and lake.records.read().schema.fieldNames() == schemas.RECORDS.fieldNames()
+
+
+def test_a_look_up_skips_row_groups(spark, lake):
+    """An id that lies between those stored, but is none of them, opens no row group: its Bloom filter says so."""
+    rows_ = spark.range(20_000).select(
+        F.lit("csv").alias("source_type"), F.concat(F.lit("k"), F.col("id") * 2).alias("source_id"),
+        F.concat(F.lit("e"), F.col("id") * 2).alias("canonical_id"))
+    for f in schemas.RECORDS.fields[3:]:
+        rows_ = rows_.withColumn(f.name, F.lit(None).cast(f.dataType))
+    lake.change(rows_)
+
+    def read(condition):
+        found = lake.records.read().filter(condition)
+        plan = found._jdf.queryExecution().executedPlan()
+        n = len(found.collect())
+        scan = plan.executedPlan().collectLeaves().head() if "AdaptiveSparkPlan" in plan.nodeName() else plan.collectLeaves().head()
+        return n, scan.metrics().apply("numOutputRows").value(), plan.toString()
+
+    n, scanned, plan = read("canonical_id = 'e777'")
+    assert (n, scanned) == (0, 0) and "EqualTo(canonical_id,e777)" in plan
+    assert read("source_id = 'k779'")[:2] == (0, 0)
+    assert read("canonical_id = 'e778'")[0] == 1

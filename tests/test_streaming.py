@@ -112,3 +112,17 @@ def test_duplicates_within_the_watermark(spark, tmp_path):
         "dedup_out").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r["source_id"] for r in spark.table("dedup_out").collect()) == ["a", "b"]
+
+
+def test_each_key_once_without_state(spark, tmp_path):
+    """Repeats within a batch, across batches and of a batch delivered again; the state store holds no row."""
+    landing, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "source_id string, n int"
+    for rows in ([("a", 1), ("a", 1), ("b", 1)], [("b", 2), ("c", 2), (None, 2)], [("a", 3), ("c", 3), ("d", 3)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        stream = incremental.stream_files(spark, landing, spark.createDataFrame([], schema).schema)
+        query = incremental.distinct_into(stream, out, progress)
+        query.awaitTermination()
+        assert query.lastProgress is None or query.lastProgress["stateOperators"] == []
+    got = sorted((r["source_id"] or "", r["n"]) for r in spark.read.parquet(out).select("source_id", "n").collect())
+    assert got == [("", 2), ("a", 1), ("b", 1), ("c", 2), ("d", 3)]
