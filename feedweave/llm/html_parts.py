@@ -30,6 +30,7 @@ class Block:
     path: tuple[int, ...]  # numbers of the open elements, outermost first
     names: tuple[str, ...]  # their names, in the same order
     marks: tuple[str, ...]  # their class, id and role, in the same order
+    numbers: tuple[int, ...]  # their numbers, in the same order
     linked: int  # characters inside links
     hidden: bool
 
@@ -49,7 +50,8 @@ def blocks(html: str) -> list[Block]:
                 tag = next((s[0] for s in reversed(stack) if s[0] not in INLINE), "body")
                 linked = len(" ".join(unescape("".join(links)).split()))
                 found.append(Block(text, tag, tuple(s[1] for s in stack if s[0] not in INLINE),
-                                   tuple(s[0] for s in stack), tuple(s[2] for s in stack), linked,
+                                   tuple(s[0] for s in stack), tuple(s[2] for s in stack),
+                                   tuple(s[1] for s in stack), linked,
                                    any(s[3] for s in stack)))
             pieces.clear()
             links.clear()
@@ -104,6 +106,12 @@ def blocks(html: str) -> list[Block]:
             elif tag == "img":
                 words(" ")
             continue
+        if tag == "button":
+            # A control, its caption is no text; one that is never closed is passed over as a tag.
+            end = re.compile(r"</button\s*[^>]*(?:>|\Z)", re.I).search(html, at)
+            at = end.end() if end else at
+            words(" ")
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(html, at)
             at = end.end() if end else n

@@ -37,11 +37,33 @@ PROSE_TAG, HEADING_TAG, WORDS, SENTENCE, LINKS = 1.0, 0.3, 0.35, 0.5, -3.5
 NEXT, SAME_PARENT, NEAR = 0.25, 0.5, 0.15
 
 
-def log_odds(block: Block) -> float:
-    """How much likelier a block is content than boilerplate, by what it is and stands in."""
+#: An element with this share of a page's text, or with the second one and the page's article or first heading in it, is no
+#: part of the page but its frame: what it is and is named then says nothing against the text in it.
+FRAME, FRAME_OF_ARTICLE = 0.8, 0.5
+
+
+def frames(found: list[Block]) -> set[int]:
+    """Numbers of the elements that hold a page rather than a part of it."""
+    chars: dict[int, int] = {}
+    holders: set[int] = set()
+    headed = False
+    for block in found:
+        for k, number in enumerate(block.numbers):
+            chars[number] = chars.get(number, 0) + len(block.text)
+            if block.names[k] in CONTENT_TAGS or block.names[k] == "h1" and not headed:
+                holders.update(block.numbers[:k])
+        headed |= "h1" in block.names
+    every = sum(len(b.text) for b in found)
+    return {n for n, c in chars.items() if c >= FRAME * every or n in holders and c >= FRAME_OF_ARTICLE * every}
+
+
+def log_odds(block: Block, around: set[int] = frozenset()) -> float:
+    """How much likelier a block is content than boilerplate, by what it is and stands in; ``around`` are frames."""
     out = START
     inside = False
-    for name, marks in zip(block.names, block.marks):
+    for name, marks, number in zip(block.names, block.marks, block.numbers):
+        if number in around and name not in CONTENT_TAGS:
+            continue
         content = name in CONTENT_TAGS
         if content:
             inside, out = True, out + IN_CONTENT
@@ -155,7 +177,8 @@ def main_text(html: str | None) -> str:
     found = blocks(html) if html else []
     if not found:
         return ""
-    keep = minimum_cut([log_odds(b) for b in found], edges(found))
+    around = frames(found)
+    keep = minimum_cut([log_odds(b, around) for b in found], edges(found))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 

@@ -28,6 +28,25 @@ def test_broken_and_empty_pages(html):
     assert isinstance(mincut.main_text(html), str)
 
 
+@pytest.mark.parametrize("frame", ['<div class="layout has-sidebar">{}</div>', '<form action="/" id="aspnetForm">{}</form>',
+                                   '<div class="page-content with-comments"><div id="main-nav-layout">{}</div></div>'])
+def test_what_frames_a_page_does_not_empty_it(frame):
+    """A wrapper named after one of its parts, or a form around the whole page, takes nothing from the article in it."""
+    head, body = PAGE.split('<body class="main">')
+    framed = f'{head}<body class="main">{frame.format(body.removesuffix("</body></html>"))}</body></html>'
+    assert mincut.main_text(framed) == "\n\n".join(TEXT)
+
+
+def test_controls_in_a_paragraph_are_no_text():
+    html = "<article><p>One two <button type='button'>Copy</button>three.</p><p>Four <BUTTON>x</BUTTON>five.</p><p>Six <button>seven.</article>"
+    assert mincut.main_text(html) == "One two three.\n\nFour five.\n\nSix seven."
+
+
+def test_a_frame_of_comments_alone_stays_out():
+    html = PAGE.replace("<p>Nice article, I liked it very much indeed.</p>", "<p>Nice article, I liked it very much indeed.</p>" * 3)
+    assert mincut.main_text(html) == "\n\n".join(TEXT)
+
+
 def test_page_without_article_keeps_prose():
     html = ("<body><div class='menu'><a>One</a> <a>Two</a></div><div id='content'><p>" + "Some words of prose. " * 10 +
             "</p><p>More prose that follows here.</p></div><div class='footer'>All rights reserved.</div></body>")
