@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from feedweave.session import fresh_dir, stage
+from feedweave.session import drop_folder, fresh_dir, stage
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -28,24 +28,35 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, rounds: int | None = None) -> DataFrame:
     """``id, component`` of every node of ``edges`` (a, b): the smallest node that links reach.
 
     Edges with a null end and loops are left out; repeated edges count once. Nodes without an edge
-    are not returned: each is its own component. Every round is written to the shared folder.
+    are not returned: each is its own component. Every round is written to the shared folder, and what it gives is
+    told apart from the round before by sums that the writing itself takes. After ``rounds`` rounds, if given, components
+    may still be parts of the final ones, each under one of its nodes.
     """
-    folder = fresh_dir(edges.sparkSession, "components")
-    state, before = stage(edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-                          .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                          "0", folder), None
-    for turn in range(1, most_rounds):
-        state = stage(_small_star(_large_star(state)), str(turn), folder)
+    spark = edges.sparkSession
+    folder = fresh_dir(spark, "components")
+    state = stage(edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "0", folder)
+    before = None
+    for turn in range(1, (most_rounds if rounds is None else rounds) + 1):
         # The same edges twice in a row: every node points at the smallest of its component.
-        now = state.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+        seen = Observation(f"round-{turn}")
+        after = _small_star(_large_star(state)).observe(seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"))
+        state = stage(after, str(turn), folder)
+        drop_folder(spark, f"{folder}/{turn - 1}")
+        now = seen.get
         if now == before:
             break
         before = now
     else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+        if rounds is None:
+            raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+        # A node may point at several still: it goes with the smallest.
+        state = state.groupBy("a").agg(F.min("b").alias("b"))
     roots = state.select("b").distinct().select(F.col("b").alias("id"), F.col("b").alias("component"))
+    if rounds is not None:
+        roots = roots.join(state.select(F.col("a").alias("id")), "id", "left_anti")
     return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

@@ -172,6 +172,45 @@ def _compare(percent: int):
     return compare
 
 
+def _prepare(content: bytes):
+    """Size, sketch and sorted elements of a set."""
+    elements = np.sort(np.frombuffer(content, np.uint64))
+    return len(elements), np.frombuffer(sketch(elements), np.uint8), elements
+
+
+def _links_of(percent: int):
+    def links_of(own, held, wanted):
+        n, bits, elements = own
+        by_length: dict[int, list[int]] = {}
+        for i, other in enumerate(held):
+            by_length.setdefault(len(other[1]), []).append(i)
+        for length, at in by_length.items():
+            sizes = np.array([held[i][0] for i in at])
+            mine = bits if length >= len(bits) else folded(bits[None], length)[0]
+            likely = may_link(n, mine, sizes, np.stack([held[i][1] for i in at]), percent)
+            for i in np.asarray(at)[likely].tolist():
+                if wanted(i):
+                    other = held[i][2]
+                    place = np.searchsorted(other, elements)
+                    both = int((other[np.minimum(place, len(other) - 1)] == elements).sum())
+                    if 100 * both >= percent * (n + len(other) - both):
+                        yield i
+
+    return links_of
+
+
+def _elements(texts: DataFrame) -> DataFrame:
+    """``id, content`` of (id, text): the elements of each set."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, sets, before in sets_of(batch.column(1)):
+                content = [sets[before[i] : before[i + 1]].tobytes() for i in range(b - a)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(content, pa.binary())], names=["id", "content"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, content binary")
+
+
 def _signature_rows(docs: DataFrame, percent: int) -> DataFrame:
     """A note with the size, hash and sketch of every set, and its signatures; one of equal sets of a few rows stands for all."""
 
@@ -259,7 +298,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return stage(maybe_in(docs, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), name, folder)
 
     classes = stars.linked_classes(
-        met, raw, pairs, texts_of, _decide(percent), contents, _compare(percent),
+        met, raw, pairs, texts_of, _decide(percent), lambda ids: _elements(texts_of(ids, "open-texts")), _prepare, _links_of(percent),
         lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"))
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(

@@ -195,12 +195,22 @@ def _decide(distance: int):
     return make
 
 
-def _compare(distance: int):
-    def compare(content: bytes, held: list[bytes]) -> list[int]:
-        own = content.decode()
-        return [i for i, other in enumerate(held) if within(own, other.decode(), distance)]
+def _prepare(content: bytes) -> tuple[str, np.ndarray]:
+    """A line and how often it has each of 64 kinds of characters."""
+    line = content.decode()
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return line, np.bincount(points & 63, minlength=64).astype(np.int32)
 
-    return compare
+
+def _links_of(distance: int):
+    def links_of(own, held, wanted):
+        # An edit changes two counts by one at most.
+        change = np.abs(np.stack([x[1] for x in held]) - own[1]).sum(axis=1)
+        for i in np.flatnonzero(change <= 2 * distance).tolist():
+            if wanted(i) and within(own[0], held[i][0], distance):
+                yield i
+
+    return links_of
 
 
 def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least: int = LEAST_CHARS,
@@ -226,8 +236,8 @@ def repeated_lines(docs: DataFrame, folder: str, distance: int = DISTANCE, least
                      F.regexp_replace(F.element_at("lines", F.col("p.place") + 1), "^[ \t-\r]+|[ \t-\r]+$", "").alias("text")))
     texts = stage(texts, "texts", folder)
     contents = texts.select("id", F.col("text").cast("binary").alias("content"))
-    classes = stars.linked_classes(met, pairs, pairs, lambda ids, name: texts.join(ids, "id", "left_semi"), _decide(distance), contents,
-                                   _compare(distance), lambda rows: rows, folder)
+    classes = stars.linked_classes(met, pairs, pairs, lambda ids, name: texts.join(ids, "id", "left_semi"), _decide(distance),
+                                   lambda ids: contents.join(ids, "id", "left_semi"), _prepare, _links_of(distance), lambda rows: rows, folder)
     classes = stage(classes.select(F.col("id").alias("line"), "component"), "classes", folder)
 
     # The first line of each class; only lines that have another in their class come further.

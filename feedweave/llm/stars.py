@@ -2,8 +2,8 @@
 
 Rows (key, id) that share a key are candidates. Each is paired with the first of its key only; pairs are verified
 exactly and linked ones merged into classes. Keys whose rows are not all in one class then are opened: their rows
-are compared where they meet, in blocks, by a test that never rules out a link. So every candidate pair is either
-compared or already in one class, and pairs that are not linked stay few.
+are compared exactly where they meet, in blocks, and a block tells only links between rows it has not yet found in one
+class. So every candidate pair is either compared or already in one class, and no pair that is not linked leaves a block.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ NOTE, SHARE = 0, 1
 ROWS = "key long, id long, n int, other long, via long, content binary, kind byte"
 PARTNERS = 200
 #: Rows of a key that are held at a time.
-IN_BLOCK = 1000
+IN_BLOCK = 500
 
 
 def rows_of(key, own, n, other, kind: int, via=None, content=None) -> pa.RecordBatch:
@@ -131,25 +131,25 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
 
 
-def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents: DataFrame,
-                   compare: Callable, possible: Callable, folder: str, leads: DataFrame | None = None) -> DataFrame:
+def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents_of: Callable,
+                   prepare: Callable, links_of: Callable, possible: Callable, folder: str, leads: DataFrame | None = None) -> DataFrame:
     """``id, component`` of all items with a link.
 
     ``met``: staged (a, b, key); ``raw``: its staged pairs (a, b); ``pairs``: staged candidates (a > b, times); ``possible`` leaves out of such pairs those
-    that cannot be linked. ``texts_of`` gives (id, text) of a column of ids, ``contents`` (id, content) what ``compare``
-    tells possible links by (see ``opened``). With ``leads`` (id, lead), items are equal to their lead, and pairs are of leads.
+    that cannot be linked. ``texts_of`` gives (id, text) of a column of ids, ``contents_of`` (id, content) what ``prepare`` and
+    ``links_of`` compare (see ``opened``). With ``leads`` (id, lead), items are equal to their lead, and pairs are of leads.
     """
     likely = stage(possible(pairs), "possible", folder)
     texts = texts_of(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "texts")
-    # First each item with the one it shares most signatures with, then the pairs still apart.
+    # First each item with the one it shares most signatures with, then the pairs still apart. Classes in between only spare
+    # comparisons, so they need not be whole yet.
     best = Window.partitionBy("a").orderBy(F.col("times").desc(), "b")
     first = likely.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b")
     done = stage(verified(first, texts, decide), "verified-1", folder)
     links = done.filter("linked").select("a", "b")
-    rest = apart(likely.join(done.select("a", "b"), ["a", "b"], "left_anti"), components(links))
+    rest = apart(likely.join(done.select("a", "b"), ["a", "b"], "left_anti"), components(links, rounds=2))
     second = stage(verified(rest.select("a", "b"), texts, decide), "verified-2", folder)
-    done = done.unionByName(second)
-    links = done.filter("linked").select("a", "b")
+    links = links.unionByName(second.filter("linked").select("a", "b"))
     classes = components(links)
 
     # Keys whose rows are in several classes: those of pairs that are still apart.
@@ -166,12 +166,10 @@ def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: C
     members = members.distinct().join(classes.select("id", "component"), "id", "left")
     members = stage(members.select("key", "id", F.coalesce("component", "id").alias("c")), "members", folder)
     sizes = members.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"))
-    sizes = sizes.filter("x <> y AND n > 2").select("key", "n")
-    more = opened(members.join(sizes, "key"), contents, compare).distinct()
-    more = stage(more.join(done.select("a", "b"), ["a", "b"], "left_anti"), "opened", folder)
-    texts = texts_of(more.select(F.col("a").alias("id")).union(more.select("b")).distinct(), "more-texts")
-    third = stage(verified(more, texts, decide), "verified-3", folder)
-    return components(links.unionByName(third.filter("linked").select("a", "b")))
+    members = stage(members.join(sizes.filter("x <> y AND n > 2").select("key", "n"), "key"), "open", folder)
+    more = stage(opened(members, contents_of(members.select("id").distinct()), prepare, links_of), "opened", folder)
+    # A class and the classes it was found linked with: few, against the links that made them.
+    return components(links.unionByName(more))
 
 
 def _either(met: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -180,11 +178,13 @@ def _either(met: DataFrame, pairs: DataFrame) -> DataFrame:
     return ordered.join(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_semi")
 
 
-def opened(shares: DataFrame, contents: DataFrame, compare: Callable) -> DataFrame:
-    """Possible links (a > b) between rows of a key in different classes; ``shares`` are (key, id, c, n), ``n`` rows in all.
+def opened(shares: DataFrame, contents: DataFrame, prepare: Callable, links_of: Callable) -> DataFrame:
+    """Links (a > b) between rows of a key in different classes; ``shares`` are (key, id, c, n), ``n`` rows in all.
 
-    A key's rows are cut into blocks of bounded size. A block is held while the rows of earlier blocks come past; only
-    what passes ``compare`` leaves it. ``compare(content, held)`` gives the numbers of held contents that may be linked.
+    A key's rows are cut into blocks of bounded size. A block is held while the rows of earlier blocks come past; each is
+    compared with those held that are not in its class, and a link found makes two classes one, so that a block gives fewer
+    links than it has classes. ``prepare`` makes an item of a content; ``links_of(item, held, wanted)`` gives, one by one, the
+    numbers of held items it is linked to, passing over those for which ``wanted(number)`` says no by then.
     """
     rows = shares.withColumn("blocks", F.ceil(F.col("n") / IN_BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -195,20 +195,30 @@ def opened(shares: DataFrame, contents: DataFrame, compare: Callable) -> DataFra
 
     def run(batches):
         current, ids, classes, held = None, [], [], []
+        above: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while above.get(c, c) != c:
+                above[c] = c = above.get(above[c], above[c])
+            return c
+
         for batch in batches:
             out = []
             for key, block, role, own, c, content in zip(*(x.to_pylist() for x in batch.columns)):
                 if current != (key, block):
                     current, ids, classes, held = (key, block), [], [], []
-                others = [j for j in range(len(ids)) if classes[j] != c]
+                    above.clear()
+                mine, item = root(c), prepare(content)
+                others = [j for j in range(len(ids)) if root(classes[j]) != mine]
                 if others:
-                    for j in compare(content, [held[j] for j in others]):
-                        other = ids[others[j]]
-                        out.append((max(own, other), min(own, other)))
+                    for i in links_of(item, [held[j] for j in others], lambda i: root(classes[others[i]]) != root(c)):
+                        j = others[i]
+                        out.append((max(own, ids[j]), min(own, ids[j])))
+                        above[root(classes[j])] = root(c)
                 if role == 0:
                     ids.append(own)
                     classes.append(c)
-                    held.append(content)
+                    held.append(item)
             columns = list(zip(*out)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b"])
 
