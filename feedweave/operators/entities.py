@@ -28,6 +28,21 @@ def count_ids(records: DataFrame, approximate: bool = False) -> DataFrame:
     return records.agg(F.count_distinct("canonical_id").alias("entities"))
 
 
+#: 2^12 registers: a relative standard error of about 1.6 % (1.8 % after unions), some kilobytes for a sketch of any number of ids.
+SKETCH_BITS = 12
+
+
+def sketches(records: DataFrame, *by: str) -> DataFrame:
+    """``source_type, *by, sketch``: a mergeable sketch of the entities of each group; records without one add nothing."""
+    return records.groupBy("source_type", *by).agg(F.hll_sketch_agg("canonical_id", SKETCH_BITS).alias("sketch"))
+
+
+def estimated_ids(kept: DataFrame) -> DataFrame:
+    """``source_type, entities``: about how many different entities the sketches of each source have met, and all of them
+    together (null source). Sketches of any runs or days are united; no record is read."""
+    return kept.rollup("source_type").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("entities"))
+
+
 def per_source(records: DataFrame) -> DataFrame:
     return known(records).groupBy("canonical_id", "source_type").agg(F.count("*").alias("n"))
 

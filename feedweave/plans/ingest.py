@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweave import schemas
-from feedweave.operators import bookkeeping, drift, merge, metrics, resolve, validate
+from feedweave.operators import bookkeeping, drift, entities, merge, metrics, resolve, validate
 from feedweave.operators.normalize import ApiMapping, parse_api, parse_csv, parse_rss, to_records
 from feedweave.session import drop_folder, entries, scratch, stage
 from feedweave.sources import files
@@ -138,11 +138,12 @@ class Lake:
         self.raw = table("raw_records", schemas.RAW_RECORDS, merge=merge.current_raw, sort_by=["source_id"])
         self.drift_log = table("drift_log", schemas.DRIFT_LOG)
         self.quarantine = table("quarantine", QUARANTINE)
+        self.sketches = table("entity_sketches", schemas.ENTITY_SKETCHES)
         self.checkpoints = SimpleNamespace(read=lambda: bookkeeping.checkpoints_from_events(self.run_events()))
 
     @property
     def tables(self) -> list[RunTable]:
-        return [self.records, self.raw, self.drift_log, self.quarantine]
+        return [self.records, self.raw, self.drift_log, self.quarantine, self.sketches]
 
     # The log of events: a folder for each run, into which its events are appended.
 
@@ -185,6 +186,13 @@ class Lake:
         event.coalesce(1).write.mode("append").parquet(f"{self._log}/run_id={run_id}")
         return seq
 
+    def distinct_entities(self) -> DataFrame:
+        """About how many entities runs have brought, by source and in all (``entities.estimated_ids``), from their sketches.
+
+        An entity counts once it has been brought, also if its records have others now.
+        """
+        return entities.estimated_ids(self.sketches.read())
+
     def metrics(self) -> DataFrame:
         """All metrics of the lake as one JSON document."""
         at = F.lit(self.clock()).cast("timestamp")
@@ -274,6 +282,7 @@ class Lake:
             self.raw.write(run_id, taken.select(
                 "source_type", "source_id", F.lit(feed.name).alias("source_name"), "raw_data", at.alias("ingested_at"), "seq", "stamp"))
             self.records.write(run_id, _stored(taken, at))
+            self.sketches.write(run_id, entities.sketches(taken))
         newest = max([t for t in (counts["ts"], mark) if t is not None], default=None)
         result = RunResult(run_id, feed.name, "success", counts["processed"], inserted, counts["processed"] - inserted,
                            counts["failed"], counts["skipped"])
@@ -288,6 +297,7 @@ class Lake:
         run_id = f"{what}_{seq:08d}"
         stamp = F.col("stamp") if "stamp" in rows.columns else F.col("updated_at")
         self.records.write(run_id, rows.withColumns({"seq": F.lit(seq).cast("long"), "stamp": stamp}))
+        self.sketches.write(run_id, entities.sketches(self.records.rows([run_id])))
         self._note(run_id, "", "change", self.clock())
 
     def renormalize(self, parsed: DataFrame) -> None:

@@ -296,3 +296,15 @@ def identity_override(spark, folder):
                 F.lit("returned").alias("canonical_id"))
     )
     return R.override(named.select("source_id", "canonical_id"), fixes)
+
+
+@query("""SELECT coalesce(o_orderpriority, 'all') AS source_type, count(DISTINCT o_custkey) AS entities, TRUE AS close
+FROM orders GROUP BY ROLLUP (o_orderpriority)""")
+def entity_sketches(spark, folder):
+    """Different entities of each source and of all from sketches by year, beside the exact numbers: within 6 % of them."""
+    orders = t.table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("source_type"), F.col("o_custkey").cast("string").alias("canonical_id"), F.year("o_orderdate").alias("year"))
+    about = E.estimated_ids(E.sketches(orders, "year")).select(F.coalesce("source_type", F.lit("all")).alias("source_type"), F.col("entities").alias("about"))
+    exact = orders.rollup("source_type").agg(F.count_distinct("canonical_id").alias("entities"))
+    exact = exact.select(F.coalesce("source_type", F.lit("all")).alias("source_type"), "entities")
+    return exact.join(about, "source_type").select("source_type", "entities", (F.abs(F.col("about") - F.col("entities")) <= F.col("entities") * 0.06).alias("close"))

@@ -59,6 +59,8 @@ DRIFT_LOG = _table(
     fuzzy_suggestions=T.ArrayType(SUGGESTION), detected_at=_TS,
 )
 
+ENTITY_SKETCHES = _table(source_type=_S, sketch=T.BinaryType())
+
 # Columns a reader of the unified table sees.
 PUBLIC_COLUMNS = [
     "source_type", "source_id", "canonical_id", "title", "description", "value",

@@ -208,3 +208,23 @@ def test_a_look_up_skips_row_groups(spark, lake):
     assert (n, scanned) == (0, 0) and "EqualTo(canonical_id,e777)" in plan
     assert read("source_id = 'k779'")[:2] == (0, 0)
     assert read("canonical_id = 'e778'")[0] == 1
+
+
+def test_distinct_entities_over_runs_without_their_rows(spark, lake):
+    """Overlapping runs and a compaction: within three standard errors (5.4 %), and the records need not be there any more."""
+    def rows_of(low, high):
+        found = spark.range(low, high).select(F.lit("csv").alias("source_type"), F.concat(F.lit("k"), "id").alias("source_id"),
+                                              F.concat(F.lit("e"), F.col("id") % 20_000).alias("canonical_id"))
+        for f in schemas.RECORDS.fields[3:]:
+            found = found.withColumn(f.name, F.lit(None).cast(f.dataType))
+        return found
+
+    for low, high in ((0, 9_000), (5_000, 14_000), (12_000, 45_000)):
+        lake.change(rows_of(low, high))
+    want = {None: 20_000, "csv": 20_000}
+    for _ in range(2):
+        got = {r["source_type"]: r["entities"] for r in lake.distinct_entities().collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - n) <= 0.054 * n for k, n in want.items())
+        lake.compact()
+    lake.records.path = lake.records.path + "-gone"
+    assert abs(lake.distinct_entities().first()["entities"] - 20_000) <= 0.054 * 20_000
