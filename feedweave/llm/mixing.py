@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedweave.session import stage
+
 STEP = 4.0
 # The distribution of a part's count ends here; beyond it lies less than 1e-17.
 LONGEST = 40
@@ -72,7 +74,9 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, expone
     """
     rates = source_rates(docs, weights, exponent, size, source_col)
     kept = [F.col(f"d.`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_key")]
-    # A row for each source: few, but nothing bounds them, so the engine chooses how to join.
+    # A row for each source, written first: the engine then knows its size before it plans the join, so it deals the documents
+    # out by source only if there are more sources than it would broadcast.
+    rates = stage(rates, "rates")
     joined = docs.alias("d").join(rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate")).alias("r"),
                                   F.col(f"d.`{source_col}`").eqNullSafe(F.col("r._source")))
     count = poisson_count(F.col("r._rate"), F.col(f"d.`{id_col}`"), F.lit(seed))
