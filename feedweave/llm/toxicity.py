@@ -16,6 +16,7 @@ labelled text. Only the rows that the curve is fitted on are bounded (``most_cal
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from feedweave.llm.prefilter import maybe_in
 from feedweave.llm.text import PUNCTUATION, chunks, mix, utf8, word_hashes
-from feedweave.session import fresh_dir, stage
+from feedweave.session import drop_folder, fresh_dir, stage
 
 LEAST_COUNT = 4
 LEAST_CONTEXTS = 4
@@ -35,6 +36,8 @@ LEAST_CONTEXTS = 4
 DISCOUNTS = np.array([0, 1, 2, 3])
 #: Ratios up to the first weigh nothing; no word weighs more than the second.
 DEAD_BAND, MOST_RATIO = 1.5, 6.0
+#: Log-odds of a text that nothing is known of: with no labels one toxic text is expected for three others.
+UNINFORMED = float(np.log(0.5 / 1.5))
 #: Marks the hash of a word before that is not a known one; a known one has its number.
 UNKNOWN = np.uint64(1 << 31)
 
@@ -216,18 +219,23 @@ def train(labelled: DataFrame, most_calibration: int = 20_000, window: int = 48)
     """Learn from rows of ``text`` and ``toxic`` (0/1; rows where either is null are left out).
 
     Rows are parted by a hash of their text: four of five are counted, the fifth calibrates. Without both
-    labels in the fifth the ratio itself, with the share of toxic labels if it is below a half, gives the score.
+    labels in the fifth the ratio itself gives the score, with the share of toxic labels if that is low: where nothing
+    is known a score lies below a half. Rows that repeat a text and rows that share an id count each for itself.
     """
     spark = labelled.sparkSession
     folder = fresh_dir(spark, "toxicity")
     rows = labelled.filter("text IS NOT NULL AND toxic IS NOT NULL").select("text", F.col("toxic").cast("int").alias("toxic"))
     rows = stage(rows, "labelled", folder)
     part = F.pmod(F.xxhash64("text"), F.lit(5))
+    sample = stage(rows.filter(part == 0).orderBy(F.xxhash64("text", F.lit(1))).limit(most_calibration), "sample", folder)
+    bad, every = rows.agg(F.count_if(F.col("toxic") > 0), F.count("*")).first()
     counted = rows.filter(part != 0)
     kept = _word_counts(counted).filter(
         (F.col("t") + F.col("o") >= LEAST_COUNT) & (F.col("contexts") >= LEAST_CONTEXTS))
     words = np.sort(kept.select("word").toArrow().column("word").to_numpy().view(np.uint64))
-    pair_counts = stage(_pair_counts(counted, spark.sparkContext.broadcast(words)), "pairs", folder)
+    with _held_by_workers(spark, words) as shared:
+        pair_counts = stage(_pair_counts(counted, shared), "pairs", folder)
+    drop_folder(spark, f"{folder}/labelled")
 
     # Words of each class: in how many contexts each was met, discounted, and backed off to what both classes
     # share of them. Copies of a text add no contexts.
@@ -238,26 +246,37 @@ def train(labelled: DataFrame, most_calibration: int = 20_000, window: int = 48)
     following = pair_counts.filter(F.col("h") < int(UNKNOWN))
     totals, backoff = _contexts(following, len(words))
     if totals.sum(axis=1).min() > 0:
-        found = _pair_weights(following, spark.sparkContext.broadcast((word_p, totals, backoff))).toArrow()
+        with _held_by_workers(spark, (word_p, totals, backoff)) as shared:
+            found = _pair_weights(following, shared).toArrow()
     else:
         found = pa.table({"pair": pa.array([], pa.int64()), "weight": pa.array([], pa.float32())})
+    drop_folder(spark, f"{folder}/pairs")
     pairs = found.column("pair").to_numpy().view(np.uint64)
     order = np.argsort(pairs)
     word_ratio = np.log(word_p[0] / word_p[1]).astype(np.float32)
     model = Model(words, word_ratio, pairs[order], found.column("weight").to_numpy()[order], window)
 
-    shared = spark.sparkContext.broadcast(model)
-    sample = rows.filter(part == 0).orderBy(F.xxhash64("text", F.lit(1))).limit(most_calibration)
-    found = _evidence(sample, shared, ["toxic int"]).toArrow()
+    with _held_by_workers(spark, model) as shared:
+        found = _evidence(sample, shared, ["toxic int"]).toArrow()
+    drop_folder(spark, folder)
     evidence, toxic = (found.column(c).to_numpy() for c in ("evidence", "toxic"))
     if len(toxic) and toxic.min() < toxic.max():
         model.slope, model.offset = _logistic(evidence, toxic)
     else:
-        bad, every = rows.agg(F.count_if(F.col("toxic") > 0), F.count("*")).first()
-        model.offset = min(float(np.log((bad + 0.5) / (every - bad + 0.5))), 0.0)
+        model.offset = min(float(np.log((bad + 0.5) / (every - bad + 1.5))), UNINFORMED)
     return model
 
 
+@contextmanager
+def _held_by_workers(spark, value):
+    """A broadcast of ``value`` that is given up again when what reads it has been done."""
+    shared = spark.sparkContext.broadcast(value)
+    try:
+        yield shared
+    finally:
+        shared.destroy()
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
     """Slope and offset by Newton's method with a small ridge; rising."""
     centre, scale = x.mean(), x.std() or 1.0
@@ -287,7 +306,10 @@ def _evidence(rows: DataFrame, model, keep: list[str]) -> DataFrame:
 
 
 def score_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1); a null text is scored as an empty one, a column of that name is replaced."""
+    """``docs`` with ``score`` (0 to 1); a null text is scored as an empty one, a column of that name is replaced.
+
+    Each row is scored by its text alone: equal texts have equal scores, whatever their ids.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != "score"]
 
