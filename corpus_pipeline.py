@@ -14,12 +14,12 @@ from feedweave.session import fresh_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not scored above 0.5, at which nothing is known; learnt from the labelled ones among ``docs``.
+    """Documents scored below 0.5, as what nothing is known of is; learnt from the labelled ones among ``docs``.
 
     Null and empty texts stay.
     """
     model = toxicity.train_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    toxic = (F.col("score") > 0.5) & (F.coalesce(F.char_length("text"), F.lit(0)) > 0)
+    toxic = (F.col("score") >= 0.5) & (F.coalesce(F.char_length("text"), F.lit(0)) > 0)
     return toxicity.score_rows(docs, model).filter(~toxic).select(*docs.columns)
 
 
