@@ -126,12 +126,12 @@ def sets_of(column: pa.Array):
         yield a, b, *shingles(words, before, SHINGLE)
 
 
-def sketch(elements: np.ndarray) -> bytes:
-    """Parity of the number of elements in each of a power of two of cells, one an element or more.
+def sketch(elements: np.ndarray, spread: int = 1) -> bytes:
+    """Parity of the number of elements in each of a power of two of cells, ``spread`` an element or more.
 
     Two sketches differ in at most as many bits as their sets differ in elements.
     """
-    cells = max(64, 1 << max(len(elements) - 1, 0).bit_length())
+    cells = spread * max(64, 1 << max(len(elements) - 1, 0).bit_length())
     place = (mix(elements ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -151,8 +151,8 @@ def may_link(n: int, own: np.ndarray, sizes: np.ndarray, others: np.ndarray, per
     return fits & (apart <= differences(n, sizes, percent))
 
 
-def _content(n: int, elements: np.ndarray) -> bytes:
-    return n.to_bytes(4, "little") + sketch(elements)
+def _content(n: int, elements: np.ndarray, spread: int = 1) -> bytes:
+    return int(n).to_bytes(4, "little") + sketch(elements, spread)
 
 
 def _compare(percent: int):
@@ -172,40 +172,36 @@ def _compare(percent: int):
     return compare
 
 
+#: Cells an element of the sketches by which rows of opened keys are compared: four times as many leave few pairs in doubt.
+FINE = 4
+
+
 def _prepare(content: bytes):
-    """Size, sketch and sorted elements of a set."""
-    elements = np.sort(np.frombuffer(content, np.uint64))
-    return len(elements), np.frombuffer(sketch(elements), np.uint8), elements
+    """Size and sketch of a set."""
+    return int.from_bytes(content[:4], "little"), np.frombuffer(content, np.uint8)[4:]
 
 
-def _links_of(percent: int):
-    def links_of(own, held, wanted):
-        n, bits, elements = own
+def _may_link_of(percent: int):
+    def may_link_of(own, held, wanted):
+        n, bits = own
         by_length: dict[int, list[int]] = {}
         for i, other in enumerate(held):
             by_length.setdefault(len(other[1]), []).append(i)
         for length, at in by_length.items():
-            sizes = np.array([held[i][0] for i in at])
             mine = bits if length >= len(bits) else folded(bits[None], length)[0]
-            likely = may_link(n, mine, sizes, np.stack([held[i][1] for i in at]), percent)
-            for i in np.asarray(at)[likely].tolist():
-                if wanted(i):
-                    other = held[i][2]
-                    place = np.searchsorted(other, elements)
-                    both = int((other[np.minimum(place, len(other) - 1)] == elements).sum())
-                    if 100 * both >= percent * (n + len(other) - both):
-                        yield i
+            likely = may_link(n, mine, np.array([held[i][0] for i in at]), np.stack([held[i][1] for i in at]), percent)
+            yield from np.asarray(at)[likely].tolist()
 
-    return links_of
+    return may_link_of
 
 
-def _elements(texts: DataFrame) -> DataFrame:
-    """``id, content`` of (id, text): the elements of each set."""
+def _fine_sketches(texts: DataFrame) -> DataFrame:
+    """``id, content`` of (id, text): size and fine sketch of each set."""
 
     def run(batches):
         for batch in batches:
             for a, b, sets, before in sets_of(batch.column(1)):
-                content = [sets[before[i] : before[i + 1]].tobytes() for i in range(b - a)]
+                content = [_content(before[i + 1] - before[i], sets[before[i] : before[i + 1]], FINE) for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(content, pa.binary())], names=["id", "content"])
 
     return texts.select("id", "text").mapInArrow(run, "id long, content binary")
@@ -298,8 +294,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return stage(maybe_in(docs, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), name, folder)
 
     classes = stars.linked_classes(
-        met, raw, pairs, texts_of, _decide(percent), lambda ids: _elements(texts_of(ids, "open-texts")), _prepare, _links_of(percent),
-        lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"))
+        met, raw, pairs, texts_of, _decide(percent), lambda ids: _fine_sketches(texts_of(ids, "open-texts")), _prepare,
+        _may_link_of(percent), lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"), exact=False)
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "lead").alias("component_id"))

@@ -2,8 +2,9 @@
 
 Rows (key, id) that share a key are candidates. Each is paired with the first of its key only; pairs are verified
 exactly and linked ones merged into classes. Keys whose rows are not all in one class then are opened: their rows
-are compared exactly where they meet, in blocks, and a block tells only links between rows it has not yet found in one
-class. So every candidate pair is either compared or already in one class, and no pair that is not linked leaves a block.
+are compared where they meet, in blocks. A block that compares exactly tells only links between rows it has not yet found
+in one class; one that compares by less tells each pair that may be linked once, in the first key the two share. So every
+candidate pair is either compared or already in one class, and pairs that are not linked stay few.
 """
 
 from __future__ import annotations
@@ -132,12 +133,14 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents_of: Callable,
-                   prepare: Callable, links_of: Callable, possible: Callable, folder: str, leads: DataFrame | None = None) -> DataFrame:
+                   prepare: Callable, links_of: Callable, possible: Callable, folder: str, leads: DataFrame | None = None,
+                   exact: bool = True) -> DataFrame:
     """``id, component`` of all items with a link.
 
     ``met``: staged (a, b, key); ``raw``: its staged pairs (a, b); ``pairs``: staged candidates (a > b, times); ``possible`` leaves out of such pairs those
     that cannot be linked. ``texts_of`` gives (id, text) of a column of ids, ``contents_of`` (id, content) what ``prepare`` and
-    ``links_of`` compare (see ``opened``). With ``leads`` (id, lead), items are equal to their lead, and pairs are of leads.
+    ``links_of`` compare (see ``opened``), exactly or so that no link is missed. With ``leads`` (id, lead), items are equal to
+    their lead, and pairs are of leads.
     """
     likely = stage(possible(pairs), "possible", folder)
     texts = texts_of(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "texts")
@@ -167,8 +170,11 @@ def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: C
     members = stage(members.select("key", "id", F.coalesce("component", "id").alias("c")), "members", folder)
     sizes = members.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"))
     members = stage(members.join(sizes.filter("x <> y AND n > 2").select("key", "n"), "key"), "open", folder)
-    more = stage(opened(members, contents_of(members.select("id").distinct()), prepare, links_of), "opened", folder)
-    # A class and the classes it was found linked with: few, against the links that made them.
+    more = stage(opened(members, contents_of(members.select("id").distinct()), prepare, links_of, exact), "opened", folder)
+    if not exact:
+        more = stage(more.join(done.unionByName(second).select("a", "b"), ["a", "b"], "left_anti"), "untold", folder)
+        texts = texts_of(more.select(F.col("a").alias("id")).union(more.select("b")).distinct(), "more-texts")
+        more = stage(verified(more, texts, decide), "verified-3", folder).filter("linked").select("a", "b")
     return components(links.unionByName(more))
 
 
@@ -178,23 +184,37 @@ def _either(met: DataFrame, pairs: DataFrame) -> DataFrame:
     return ordered.join(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_semi")
 
 
-def opened(shares: DataFrame, contents: DataFrame, prepare: Callable, links_of: Callable) -> DataFrame:
+def opened(shares: DataFrame, contents: DataFrame, prepare: Callable, links_of: Callable, exact: bool = True) -> DataFrame:
     """Links (a > b) between rows of a key in different classes; ``shares`` are (key, id, c, n), ``n`` rows in all.
 
     A key's rows are cut into blocks of bounded size. A block is held while the rows of earlier blocks come past; each is
     compared with those held that are not in its class, and a link found makes two classes one, so that a block gives fewer
     links than it has classes. ``prepare`` makes an item of a content; ``links_of(item, held, wanted)`` gives, one by one, the
     numbers of held items it is linked to, passing over those for which ``wanted(number)`` says no by then.
+
+    Without ``exact`` these are items it may be linked to: classes stay as they are, and a pair that meets under several keys is
+    given under the smallest of them only.
     """
+    none = F.array().cast("array<bigint>")
+    if not exact:
+        own_keys = shares.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+        contents = contents.join(own_keys, "id")
     rows = shares.withColumn("blocks", F.ceil(F.col("n") / IN_BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("block", F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)))
     rows = rows.withColumn("role", (F.col("block") != F.col("own")).cast("int")).join(contents, "id")
-    ordered = (rows.select("key", "block", "role", "id", "c", "content").repartition("key", "block")
-               .sortWithinPartitions("key", "block", "role", "id"))
+    rows = rows.select("key", "block", "role", "id", "c", "content", none.alias("keys") if exact else "keys")
+    ordered = rows.repartition("key", "block").sortWithinPartitions("key", "block", "role", "id")
+
+    def first_met(key: int, one: list[int], two: list[int]) -> bool:
+        """Whether ``key`` is the smallest that two sorted lists share."""
+        i = j = 0
+        while one[i] != two[j]:
+            i, j = (i + 1, j) if one[i] < two[j] else (i, j + 1)
+        return one[i] == key
 
     def run(batches):
-        current, ids, classes, held = None, [], [], []
+        current, ids, classes, held, of = None, [], [], [], []
         above: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -204,18 +224,21 @@ def opened(shares: DataFrame, contents: DataFrame, prepare: Callable, links_of:
 
         for batch in batches:
             out = []
-            for key, block, role, own, c, content in zip(*(x.to_pylist() for x in batch.columns)):
+            for key, block, role, own, c, content, keys in zip(*(x.to_pylist() for x in batch.columns)):
                 if current != (key, block):
-                    current, ids, classes, held = (key, block), [], [], []
+                    current, ids, classes, held, of = (key, block), [], [], [], []
                     above.clear()
                 mine, item = root(c), prepare(content)
                 others = [j for j in range(len(ids)) if root(classes[j]) != mine]
                 if others:
                     for i in links_of(item, [held[j] for j in others], lambda i: root(classes[others[i]]) != root(c)):
                         j = others[i]
-                        out.append((max(own, ids[j]), min(own, ids[j])))
-                        above[root(classes[j])] = root(c)
+                        if exact or first_met(key, keys, of[j]):
+                            out.append((max(own, ids[j]), min(own, ids[j])))
+                        if exact:
+                            above[root(classes[j])] = root(c)
                 if role == 0:
+                    of.append(keys)
                     ids.append(own)
                     classes.append(c)
                     held.append(item)
