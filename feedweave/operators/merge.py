@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedweave.schemas import RAW_RECORDS, RECORDS
+from feedweave.session import stage
 
 # What an update replaces; the other columns stay as first inserted.
 UPDATED_COLUMNS = [
@@ -26,6 +27,18 @@ def last_wins(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank")
 
 
+def latest(rows: DataFrame, key: str, place: str, folder: str | None = None) -> DataFrame:
+    """The last row per key of staged rows; no two rows share a ``place``, a null key is a key.
+
+    As ``last_wins``, but only keys and places are grouped: the rows are not sorted, however many a task has. Keys
+    that repeat are written first, so that their number is known when the join that drops their losers is planned.
+    """
+    ends = rows.groupBy(F.col(key).alias("_key")).agg(F.max(place).alias("_last"), F.count("*").alias("_copies"))
+    repeated = stage(ends.filter("_copies > 1").select("_key", "_last"), "repeated", folder)
+    met = rows.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return met.filter(F.col("_last").isNull() | (F.col(place) == F.col("_last"))).select(*rows.columns)
+
+
 def new_keys(incoming: DataFrame, existing: DataFrame, key: str = "source_id") -> DataFrame:
     return incoming.join(existing.select(key), key, "left_anti")
 

@@ -271,10 +271,13 @@ class Lake:
             self.quarantine.write(run_id, validate.quarantine(staged))
         inserted = 0
         if counts["processed"]:
-            latest = merge.last_wins(staged.filter(fresh).drop(*drift.COLUMNS), ["source_id"], [F.col("_place")])
+            latest = merge.latest(staged.filter(fresh).drop(*drift.COLUMNS), "source_id", "_place", folder)
             # Keys only: which of the batch's are known. The smaller side decides how they meet.
             known = self.records.keys().join(latest.select("source_id"), "source_id", "left_semi").distinct()
-            met = resolve.resolve(latest, self.book, self.cascade).join(known.withColumn("_known", F.lit(True)), "source_id", "left")
+            known = stage(known, "known", folder)
+            # Dealt out, so that a task's rows depend on the size of a shuffle's partition and not of an input file.
+            dealt = resolve.resolve(latest.repartition("source_id"), self.book, self.cascade)
+            met = dealt.join(known.withColumn("_known", F.lit(True)), "source_id", "left")
             new = Observation(f"{run_id}-new")
             met = met.observe(new, F.count_if(F.col("_known").isNull()).alias("inserted"))
             taken = stage(met, "latest", folder).withColumns({"seq": F.lit(seq).cast("long"), "stamp": at})

@@ -103,3 +103,12 @@ def test_add_columns(spark, target):
     old = target.drop("canonical_id")
     assert M.add_columns(old, target).columns == target.columns
     assert M.add_columns(old, target).filter("canonical_id is not null").isEmpty()
+
+
+def test_latest_sorts_no_rows(spark):
+    """The last row of each key, told by a join with the keys that repeat: no row is sorted."""
+    rows = [("a", 1, "x"), ("b", 2, "x"), ("a", 5, "y"), (None, 3, "x"), (None, 4, "y"), ("c", 6, "x"), ("a", 0, "z")]
+    found = M.latest(spark.createDataFrame(rows, "key string, place long, text string"), "key", "place")
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", 5, "y"), ("b", 2, "x"), ("c", 6, "x"), (None, 4, "y")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
