@@ -172,7 +172,8 @@ def _lookup(entries: dict[str, str], key: Column) -> Column:
         return S.null_text()
     # One literal text, folded to a constant map when the plan is optimised.
     literal = F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
-    return F.try_element_at(literal, key)
+    # Most keys are in no dictionary: a hashed set tells, where a map is searched from its beginning.
+    return F.when(key.isin(list(entries)), F.try_element_at(literal, key))
 
 
 def _any_of(words: Iterable[str]) -> str:

@@ -12,8 +12,10 @@ from feedweave.sources.files import CSV_COLUMNS, as_records
 def archived_csv(raw: DataFrame) -> DataFrame:
     """Stored CSV rows with the fields each of them had; ids and raw texts stay as stored."""
     names = [*CSV_COLUMNS, "guid", "link", *ALIAS_FIELDS]
-    cells = F.from_json("raw_data", "map<string,string>")
-    rows = raw.filter(F.col("source_type") == "csv").select(
+    # The one-element explode keeps what looks at the cells above the reading of them: a text is read once.
+    read = F.explode(F.array(F.from_json("raw_data", "map<string,string>")))
+    cells = F.col("_cells")
+    rows = raw.filter(F.col("source_type") == "csv").select("source_id", "raw_data", read.alias("_cells")).select(
         *[F.try_element_at(cells, F.lit(n)).alias(n) for n in names],
         F.col("source_id").alias(f"{STORED}id"), F.col("raw_data").alias(f"{STORED}raw"),
         F.map_keys(cells).alias(f"{STORED}fields"))

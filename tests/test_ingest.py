@@ -211,3 +211,11 @@ def test_provider_mappings(spark):
     assert (two["value"], two["source_timestamp"]) == (45000.5, dt.datetime(2024, 1, 15, 10, 30))
     quotes = df.select(*[c.alias(n) for n, c in N.market_quote(F.col("record")).items()]).collect()
     assert quotes[1]["category"] == "top-100" and quotes[0]["category"] is None
+
+
+def test_archived_cells_are_read_once(spark):
+    """What is asked of archived rows, filters too, looks at cells that have been read; each text is parsed once."""
+    raw = spark.createDataFrame([("csv", "csv_1", '{"id":"1","title":"a","value":"x"}')], "source_type string, source_id string, raw_data string")
+    found = archive.archived_csv(raw).filter("size(reasons) = 0 AND title IS NOT NULL")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert [tuple(r) for r in archive.archived_csv(raw).select("source_id", "title", "fields").collect()] == [("csv_1", "a", ["id", "title", "value"])]
