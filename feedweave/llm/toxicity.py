@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from feedweave.llm.prefilter import maybe_in
 from feedweave.llm.text import PUNCTUATION, chunks, mix, utf8, word_hashes
-from feedweave.session import drop_folder, fresh_dir, stage
+from feedweave.session import drop_folder, fresh_dir, shuffles_released, stage
 
 LEAST_COUNT = 4
 LEAST_CONTEXTS = 4
@@ -222,6 +222,11 @@ def train(labelled: DataFrame, most_calibration: int = 20_000, window: int = 48)
     labels in the fifth the ratio itself gives the score, with the share of toxic labels if that is low: where nothing
     is known a score lies below a half. Rows that repeat a text and rows that share an id count each for itself.
     """
+    with shuffles_released(labelled.sparkSession):
+        return _train(labelled, most_calibration, window)
+
+
+def _train(labelled: DataFrame, most_calibration: int, window: int) -> Model:
     spark = labelled.sparkSession
     folder = fresh_dir(spark, "toxicity")
     rows = labelled.filter("text IS NOT NULL AND toxic IS NOT NULL").select("text", F.col("toxic").cast("int").alias("toxic"))

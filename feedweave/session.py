@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 _own_scratch: dict[str, str] = {}
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "feedweave", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
@@ -52,6 +54,20 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """What is planned and run in here gives up its shuffle files when it ends; else they lie until the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -60,7 +76,8 @@ def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder}/{label}" if folder else fresh_dir(spark, label)
-    df.write.parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
