@@ -232,7 +232,7 @@ def _train(labelled: DataFrame, most_calibration: int, window: int) -> Model:
     rows = labelled.filter("text IS NOT NULL AND toxic IS NOT NULL").select("text", F.col("toxic").cast("int").alias("toxic"))
     rows = stage(rows, "labelled", folder)
     part = F.pmod(F.xxhash64("text"), F.lit(5))
-    sample = stage(rows.filter(part == 0).orderBy(F.xxhash64("text", F.lit(1))).limit(most_calibration), "sample", folder)
+    sample = stage(_sample(rows.filter(part == 0), most_calibration), "sample", folder)
     bad, every = rows.agg(F.count_if(F.col("toxic") > 0), F.count("*")).first()
     counted = rows.filter(part != 0)
     kept = _word_counts(counted).filter(
@@ -272,6 +272,17 @@ def _train(labelled: DataFrame, most_calibration: int, window: int) -> Model:
     return model
 
 
+def _sample(rows: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` rows by a hash of their text. Hashes alone are gathered to find the last one; no text is moved but copies of it."""
+    rows = rows.withColumn("_mark", F.xxhash64("text", F.lit(1)))
+    first = rows.select("_mark").orderBy("_mark").limit(most)
+    last = first.groupBy("_mark").count().orderBy(F.desc("_mark")).first()
+    if last is None:
+        return rows.drop("_mark").limit(0)
+    tied = rows.filter(F.col("_mark") == last["_mark"]).limit(last["count"])
+    return rows.filter(F.col("_mark") < last["_mark"]).unionByName(tied).drop("_mark")
+
+
 @contextmanager
 def _held_by_workers(spark, value):
     """A broadcast of ``value`` that is given up again when what reads it has been done."""
@@ -338,8 +349,16 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def train_on(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
-    """Train on the labelled documents that are not held out; a document with several labels counts for each."""
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text`` and ``toxic`` of the labelled documents that are not held out; a document with several labels comes with each.
+
+    Labels grow with the documents, so the join deals both out by id at any size and no executor holds one side.
+    """
     known = labels.select("doc_id", "toxic").filter(~held_out("doc_id") & F.col("toxic").isNotNull())
     likely = maybe_in(docs.select("doc_id", "text"), "doc_id", known.select("doc_id"))
-    return train(likely.join(known, "doc_id").select("text", "toxic"), **bounds)
+    return likely.join(known.hint("merge"), "doc_id").select("text", "toxic")
+
+
+def train_on(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
+    """Train on the rows of ``labelled``."""
+    return train(labelled(docs, labels), **bounds)

@@ -132,3 +132,22 @@ def test_repeated_rows_and_clashing_names_with_a_trained_model(table):
     scored = toxicity.score_rows(rows, model).collect()
     assert len(scored) == 81 and len({r.text: r.score for r in scored}) == len({(r.text, r.score) for r in scored})
     assert {r.toxic for r in scored} == {"x", "kept"} and {r.predicted for r in scored} == {2, 9}
+
+
+def test_texts_meet_labels_alike_at_any_size(table):
+    docs, labels = table([(i, f"text {i}", None, None, None) for i in range(30)], SCHEMA), table([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    found = toxicity.labelled(docs, labels)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # the bitmap only
+    known = [r.doc_id for r in docs.filter(~toxicity.held_out("doc_id")).collect()]
+    assert sorted(map(tuple, found.collect())) == sorted((f"text {i}", i % 2) for i in known)
+
+
+def test_the_sample_is_the_first_rows_by_hash_with_copies(table):
+    rows = table([(f"text {i % 40}", i % 2) for i in range(200)] + [(f"alone {i}", 0) for i in range(50)], "text string, toxic int").repartition(4)
+    for most in (1, 7, 100, 250, 1000):
+        first = rows.orderBy(F.xxhash64("text", F.lit(1))).limit(most)
+        found = toxicity._sample(rows, most)
+        assert found.columns == rows.columns
+        assert sorted(r.text for r in found.collect()) == sorted(r.text for r in first.collect())
+    assert toxicity._sample(rows.limit(0), 5).count() == 0
