@@ -1,20 +1,16 @@
-"""Exact Jaccard self-join of documents' word shingles by PartEnum signatures.
+"""Exact Jaccard self-join of documents' word shingles by prefixes.
 
-Sets that can be linked lie in one band of sizes or around the border of two, and differ in at most ``k``
-elements there. For each band and border the domain of shingles is parted twice: into ``n1`` parts, and
-each of them into ``n2`` cells. Of two sets that differ in at most ``k`` elements, some part has at most
-one difference, so all but one of its cells agree: every choice of ``n2 - 1`` cells of a part is a signature,
-and linked sets share one (``parts`` has a few more than needed, so that a shared one is not empty).
+All shingles have one order. Two linked sets have at least ``percent`` of the larger one's elements in common, so the
+smallest they share comes in each before all but as many: it is among the first ``n - ceil(percent * n / 100) + 1`` of the
+``n`` elements of either, and these are the signatures. Any order is exact. The one taken puts shingles last that several
+of a sample of documents have, by how many have them, and parts the others by their hash, so that rows seldom meet by what many
+texts repeat.
 
 Candidates are gathered and decided as in ``stars``: by their whole sets, without pairing a signature's rows.
 """
 
 from __future__ import annotations
 
-import math
-from functools import lru_cache
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,16 +23,8 @@ from feedweave.session import fresh_dir, stage
 
 SHINGLE = 5
 PERCENT = 80
-_GROWTH = 1.6
-
-
-@lru_cache(maxsize=None)
-def bands(most: int, percent: int = PERCENT) -> np.ndarray:
-    """First sizes of the bands of sizes up to ``most``, and one band more."""
-    edges = [1]
-    while edges[-1] <= most:
-        edges.append(max(edges[-1] + 1, math.ceil(edges[-1] * _GROWTH)))
-    return np.array([*edges, math.ceil(edges[-1] * _GROWTH)], dtype=np.int64)
+#: One document in so many is asked which shingles are common; of those found at most so many are put last.
+ASKED, MOST_COMMON = 20, 1 << 20
 
 
 def differences(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -44,78 +32,20 @@ def differences(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndar
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def plan(k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Parts, cells in a part, and how many parts agree up to one cell at least, for ``k`` differences."""
-    need = k // 2 + 1
-    parts = np.where(k == 0, 1, need + 1 + need // 4)
-    cells = np.where(k == 0, 1, np.where(k < 24, 3, 2))
-    return parts, cells, parts - k // 2
-
-
-def _instances(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(sets, instance, k): every set's band, and each border it can have a partner beyond."""
-    if not len(sizes):
-        return []
-    edges = bands(int(sizes.max()) * 2, percent)
-    band = np.searchsorted(edges, sizes, side="right") - 1
-    every = np.flatnonzero(sizes > 0)
-    top = edges[band[every] + 1] - 1
-    out = [(every, 2 * band[every], differences(top, top, percent))]
-    low = edges[band] - 1  # largest size below the border below
-    at = np.flatnonzero((sizes > 0) & (band > 0) & (percent * sizes <= 100 * low))
-    out.append((at, 2 * band[at] - 1, differences(low[at], 100 * low[at] // percent, percent)))
-    high = edges[np.maximum(band, 0) + 1]  # smallest size beyond the border above
-    at = np.flatnonzero((sizes > 0) & (100 * sizes >= percent * high))
-    low = high[at] - 1
-    out.append((at, 2 * band[at] + 1, differences(low, 100 * low // percent, percent)))
-    return out
-
-
-def signatures(sets: np.ndarray, before: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of many sets (elements in a row, ``before`` each set): (signature, number of its set)."""
+def signatures(sets: np.ndarray, before: np.ndarray, percent: int = PERCENT, common=None) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of many sets (sorted elements in a row, ``before`` each set): (signature, number of its set).
+
+    ``common``: sorted elements and how common each is; others come before them.
+    """
     sizes = np.diff(before)
-    keys, owners = [], []
-    for which, instance, k in _instances(sizes, percent):
-        if not len(which):
-            continue
-        parts, cells, agree = plan(k)
-        n = sizes[which]
-        owner = np.repeat(np.arange(len(which)), n)
-        place = np.repeat(before[:-1][which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        x = mix(sets[place] ^ mix(instance.astype(np.uint64) + np.uint64(7919))[owner])
-        cell_count = parts * cells
-        first = np.concatenate([[0], np.cumsum(cell_count)])
-        cell = ((x >> np.uint64(32)) * cell_count[owner].astype(np.uint64)) >> np.uint64(32)
-        cell = first[:-1][owner] + cell.astype(np.int64)
-        sums = np.zeros(first[-1], dtype=np.uint64)
-        np.add.at(sums, cell, mix(x))
-        full = np.bincount(cell, minlength=first[-1]) > 0
-        for width in (1, 2, 3):
-            chosen = np.flatnonzero(cells == width)
-            if not len(chosen):
-                continue
-            count = parts[chosen]
-            row = np.repeat(chosen, count)
-            part = np.arange(count.sum()) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-            base = first[:-1][row] + part * width
-            made = []
-            for subset in combinations(range(width), max(1, width - 1)):
-                key = mix(instance[row].astype(np.uint64) * np.uint64(1_000_003) + part.astype(np.uint64))
-                some = np.zeros(len(row), dtype=bool)
-                for j in subset:
-                    key = mix(key + sums[base + j] + np.uint64(j + 1))
-                    some |= full[base + j]
-                made.append((key, some))
-            # Empty signatures count only where they may be the only ones shared.
-            hollow = ~np.logical_and.reduce([some for _, some in made])
-            lacking = np.bincount(row, weights=hollow, minlength=len(which)) >= agree
-            for key, some in made:
-                keep = some | lacking[row]
-                keys.append(key[keep])
-                owners.append(which[row[keep]])
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    if common is not None and len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], sets), len(common[0]) - 1)
+        often = np.where(common[0][at] == sets, common[1][at], 0)
+        sets = sets[np.lexsort((often, owner))]
+    place = np.arange(len(sets)) - before[:-1][owner]
+    keep = place <= (sizes - (percent * sizes + 99) // 100)[owner]
+    return sets[keep], owner[keep]
 
 
 def sets_of(column: pa.Array):
@@ -207,8 +137,37 @@ def _fine_sketches(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id long, content binary")
 
 
-def _signature_rows(docs: DataFrame, percent: int) -> DataFrame:
-    """A note with the size, hash and sketch of every set, and its signatures; one of equal sets of a few rows stands for all."""
+def _common(docs: DataFrame, folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that several of a sample of documents have, and how many of it have each."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, sets, _ in sets_of(batch.column(0)):
+                found, n = np.unique(sets, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+    asked = docs.filter(F.pmod(F.xxhash64("id"), F.lit(ASKED)) == 0).select("text")
+    counts = asked.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 1")
+    counts = stage(counts, "common", folder)
+    least, held = None, 0
+    for n, shingles_of in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        held += shingles_of
+        if held > MOST_COMMON:
+            break
+        least = n
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found = counts.filter(F.col("n") >= least).toArrow()
+    shingle, n = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(shingle)
+    return shingle[order], n[order]
+
+
+def _signature_rows(docs: DataFrame, percent: int, common) -> DataFrame:
+    """A note with the size, hash and sketch of every set, and its signatures; one of equal sets of a few rows stands for all.
+
+    ``common`` is broadcast.
+    """
 
     def run(batches):
         for batch in batches:
@@ -223,7 +182,7 @@ def _signature_rows(docs: DataFrame, percent: int) -> DataFrame:
                 chosen = np.sort(np.unique(content, return_index=True)[1])
                 chosen = chosen[n[chosen] > 0]
                 kept = np.concatenate([sets[:0], *(each[i] for i in chosen)])
-                keys, owner = signatures(kept, np.concatenate([[0], np.cumsum(n[chosen])]), percent)
+                keys, owner = signatures(kept, np.concatenate([[0], np.cumsum(n[chosen])]), percent, common.value)
                 owner = chosen[owner]
                 yield from stars.share_rows(keys, own[owner])
 
@@ -272,7 +231,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     folder = fresh_dir(docs.sparkSession, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.filter("id IS NOT NULL")
-    found = stage(stars.meetings(_signature_rows(docs, percent)), "met", folder)
+    common = docs.sparkSession.sparkContext.broadcast(_common(docs, folder))
+    found = stage(stars.meetings(_signature_rows(docs, percent, common)), "met", folder)
+    common.destroy()
 
     # Equal sets: the smallest id stands for the others from here on.
     notes = found.filter(F.col("kind") == stars.NOTE).select(
@@ -293,9 +254,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def texts_of(ids: DataFrame, name: str) -> DataFrame:
         return stage(maybe_in(docs, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), name, folder)
 
+    def sketches_of(ids: DataFrame) -> DataFrame:
+        return _fine_sketches(maybe_in(docs, "id", ids)).join(ids, "id", "left_semi").dropDuplicates(["id"])
+
     classes = stars.linked_classes(
-        met, raw, pairs, texts_of, _decide(percent), lambda ids: _fine_sketches(texts_of(ids, "open-texts")), _prepare,
-        _may_link_of(percent), lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"), exact=False)
+        met, raw, pairs, texts_of, _decide(percent), sketches_of, _prepare, _may_link_of(percent),
+        lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"), exact=False)
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "lead").alias("component_id"))

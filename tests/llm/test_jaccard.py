@@ -86,3 +86,42 @@ def test_sketches_never_rule_out_a_link(both, only_a, only_b, seed):
     if len(a) and len(b) and 100 * both >= 80 * (both + only_a + only_b):
         one, two = jaccard._content(len(a), a), jaccard._content(len(b), b)
         assert jaccard._compare(80)(one, [two]) == [0] and jaccard._compare(80)(two, [one, one]) == [0, 1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 400), st.data())
+def test_sets_have_few_signatures_and_linked_ones_share_one_whatever_is_common(size, data):
+    rng = np.random.default_rng(data.draw(st.integers(0, 1 << 30)))
+    a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+    b = np.concatenate([a[data.draw(st.integers(0, size // 5)) :], rng.integers(0, 1 << 63, data.draw(st.integers(0, size // 4)), dtype=np.uint64)])
+    a, b = np.unique(a), np.unique(b)
+    known = np.unique(rng.choice(np.concatenate([a, b]), data.draw(st.integers(0, size))))
+    common = known, rng.integers(2, 9, len(known))
+    keys, owner = jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), common=common)
+    assert np.bincount(owner, minlength=2).tolist() == [len(x) // 5 + 1 for x in (a, b)]
+    both = len(np.intersect1d(a, b))
+    if 100 * both >= 80 * (len(a) + len(b) - both):
+        assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+def test_common_shingles_are_no_signatures_of_texts_that_have_others():
+    sets, before = np.arange(1, 61, dtype=np.uint64), np.array([0, 30, 60])
+    common = np.array([1, 2, 3, 31, 32], dtype=np.uint64), np.array([9, 9, 2, 5, 4])
+    keys, owner = jaccard.signatures(sets, before, common=common)
+    assert keys.tolist() == [*range(4, 11), *range(33, 40)] and owner.tolist() == [0] * 7 + [1] * 7
+    few = jaccard.signatures(sets[:4], np.array([0, 4]), common=common)[0]
+    assert few.tolist() == [4]
+
+
+def test_texts_with_a_passage_in_common_give_the_classes_of_all_pairs(table, tmp_path):
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(5000)}"
+    passage, rows = [word() for _ in range(40)], []
+    for i in range(0, 240, 2):
+        own = [word() for _ in range(rnd.choice([3, 8, 60]))]
+        rows += [(i, " ".join(passage + own)), (i + 1, " ".join(passage + own[:-1] + [word()]))]
+    docs = table([(i, t) for i, t in rows], "id long, text string")
+    shingle, n = jaccard._common(docs, str(tmp_path))
+    assert len(shingle) >= 36 and n.min() > 1 and (np.diff(shingle.astype(float)) >= 0).all()
+    found = jaccard.near_classes(table([(i, t, None, None, None, None) for i, t in rows], SCHEMA))
+    assert sorted(map(tuple, found.collect())) == jaccard_classes(rows)
