@@ -252,14 +252,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     contents = stage(notes.select("id", "content").join(touched, "id", "left_semi"), "sketches", folder)
 
     def texts_of(ids: DataFrame, name: str) -> DataFrame:
-        return stage(maybe_in(docs, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), name, folder)
+        # Ids come once. A semi-join would be moved in front of the bitmap, and all texts be dealt out.
+        return stage(maybe_in(docs, "id", ids).join(ids, "id").dropDuplicates(["id"]), name, folder)
 
     def sketches_of(ids: DataFrame) -> DataFrame:
         return _fine_sketches(maybe_in(docs, "id", ids)).join(ids, "id", "left_semi").dropDuplicates(["id"])
 
     classes = stars.linked_classes(
         met, raw, pairs, texts_of, _decide(percent), sketches_of, _prepare, _may_link_of(percent),
-        lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"), exact=False)
+        lambda rows: _possible(rows, contents, percent), folder, sizes.select("id", "lead"), exact=False,
+        spent=("met", "raw-pairs", "pairs", "sketches", "common", "possible", "texts"))
     classes = classes.select(F.col("id").alias("lead"), "component")
     return sizes.join(classes, "lead", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "lead").alias("component_id"))

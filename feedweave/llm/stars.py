@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from feedweave.llm.graph import components
 from feedweave.llm.text import mix
-from feedweave.session import stage
+from feedweave.session import drop_folder, stage
 
 #: Kinds of rows in one stream: passed on as they are, or a share of a signature.
 NOTE, SHARE = 0, 1
@@ -134,13 +134,13 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: Callable, decide: Callable, contents_of: Callable,
                    prepare: Callable, links_of: Callable, possible: Callable, folder: str, leads: DataFrame | None = None,
-                   exact: bool = True) -> DataFrame:
+                   exact: bool = True, spent: tuple[str, ...] = ()) -> DataFrame:
     """``id, component`` of all items with a link.
 
     ``met``: staged (a, b, key); ``raw``: its staged pairs (a, b); ``pairs``: staged candidates (a > b, times); ``possible`` leaves out of such pairs those
     that cannot be linked. ``texts_of`` gives (id, text) of a column of ids, ``contents_of`` (id, content) what ``prepare`` and
     ``links_of`` compare (see ``opened``), exactly or so that no link is missed. With ``leads`` (id, lead), items are equal to
-    their lead, and pairs are of leads.
+    their lead, and pairs are of leads. ``spent`` names what in ``folder`` nobody reads once the rows of opened keys are written: it goes.
     """
     likely = stage(possible(pairs), "possible", folder)
     texts = texts_of(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "texts")
@@ -173,6 +173,8 @@ def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: C
     # What is alike in a few places is so in many: of keys with the same rows (by 128 bits) one is opened.
     chosen = sizes.filter("x <> y AND n > 2").groupBy("n", "rows_1", "rows_2").agg(F.min("key").alias("key"))
     members = stage(members.join(chosen.select("key", "n"), "key"), "open", folder)
+    for label in ("members", *spent):
+        drop_folder(met.sparkSession, f"{folder}/{label}")
     more = stage(opened(members, contents_of(members.select("id").distinct()), prepare, links_of, exact), "opened", folder)
     if not exact:
         more = stage(more.join(done.unionByName(second).select("a", "b"), ["a", "b"], "left_anti"), "untold", folder)

@@ -125,3 +125,21 @@ def test_texts_with_a_passage_in_common_give_the_classes_of_all_pairs(table, tmp
     assert len(shingle) >= 36 and n.min() > 1 and (np.diff(shingle.astype(float)) >= 0).all()
     found = jaccard.near_classes(table([(i, t, None, None, None, None) for i, t in rows], SCHEMA))
     assert sorted(map(tuple, found.collect())) == jaccard_classes(rows)
+
+
+def test_texts_pass_the_bitmap_first_and_staged_rows_go_when_read(table, tmp_path, monkeypatch):
+    plans, stage = {}, jaccard.stage
+
+    def watched(df, label, folder=None):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, label, folder)
+
+    monkeypatch.setattr(jaccard, "stage", watched)
+    monkeypatch.setattr(jaccard, "fresh_dir", lambda spark, label: str(tmp_path / label))
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(12)]
+    found = jaccard.near_classes(table([(i, t, None, None, None, None) for i, t in rows], SCHEMA))
+    left = {p.name for p in (tmp_path / "jaccard").iterdir()}
+    assert "sizes" in left and not left & {"met", "members", "texts", "raw-pairs"}
+    # A semi-join would be moved in front of the bitmap.
+    assert "LeftSemi" not in plans["texts"] and "bitmap" in plans["texts"]
+    assert sorted(map(tuple, found.collect())) == jaccard_classes(rows)
