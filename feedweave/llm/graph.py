@@ -8,24 +8,24 @@ from pyspark.sql import functions as F
 from feedweave.session import drop_folder, fresh_dir, stage
 
 
-def _both(edges: DataFrame) -> DataFrame:
-    return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _least(edges: DataFrame, node: str, alias: str) -> DataFrame:
+    """The smallest smaller neighbour of each node that has one, for a merge join.
+
+    A side that is broadcast takes two megabytes or more of the driver's memory however few its rows are, and rounds are many.
+    """
+    return edges.groupBy(F.col("a").alias(node)).agg(F.min("b").alias(alias)).hint("merge")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node hands its larger neighbours to its smallest neighbour (itself included)."""
-    both = _both(edges)
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return (both.filter("b > a").join(least, "a").filter("b <> m")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")))
+    """Every node hands its larger neighbours to its smallest neighbour (itself included); edges are a > b, repeats may come."""
+    return edges.join(_least(edges, "b", "m"), "b", "left").select("a", F.coalesce("m", "b").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node hands its smaller neighbours and itself to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    """Every node hands its smaller neighbours and itself to the smallest of them; edges are a > b."""
+    # The row of the smallest neighbour becomes the node's own.
+    met = edges.join(_least(edges, "a", "m"), "a")
+    return met.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60, rounds: int | None = None) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, most_rounds: int = 60, rounds: int | None = Non
     Edges with a null end and loops are left out; repeated edges count once. Nodes without an edge
     are not returned: each is its own component. Every round is written to the shared folder, and what it gives is
     told apart from the round before by sums that the writing itself takes. After ``rounds`` rounds, if given, components
-    may still be parts of the final ones, each under one of its nodes.
+    may still be parts of the final ones, each under one of its nodes. The result is written too: who joins it several
+    times plans no more than a read.
     """
     spark = edges.sparkSession
     folder = fresh_dir(spark, "components")
@@ -59,4 +60,6 @@ def components(edges: DataFrame, most_rounds: int = 60, rounds: int | None = Non
     roots = state.select("b").distinct().select(F.col("b").alias("id"), F.col("b").alias("component"))
     if rounds is not None:
         roots = roots.join(state.select(F.col("a").alias("id")), "id", "left_anti")
-    return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+    whole = stage(state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots), "whole", folder)
+    drop_folder(spark, f"{folder}/{turn}")
+    return whole

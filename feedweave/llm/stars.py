@@ -147,33 +147,34 @@ def linked_classes(met: DataFrame, raw: DataFrame, pairs: DataFrame, texts_of: C
     # First each item with the one it shares most signatures with, then the pairs still apart. Classes in between only spare
     # comparisons, so they need not be whole yet.
     best = Window.partitionBy("a").orderBy(F.col("times").desc(), "b")
-    first = likely.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b")
+    # What a plan would hold several times is written first: the driver keeps each plan, and what it broadcasts, until its garbage is collected.
+    first = stage(likely.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b"), "first", folder)
     done = stage(verified(first, texts, decide), "verified-1", folder)
     links = done.filter("linked").select("a", "b")
     rest = apart(likely.join(done.select("a", "b"), ["a", "b"], "left_anti"), components(links, rounds=2))
-    second = stage(verified(rest.select("a", "b"), texts, decide), "verified-2", folder)
+    rest = stage(rest.select("a", "b"), "rest", folder)
+    second = stage(verified(rest, texts, decide), "verified-2", folder)
     links = links.unionByName(second.filter("linked").select("a", "b"))
     classes = components(links)
 
     # Keys whose rows are in several classes: those of pairs that are still apart.
     if leads is not None:
-        classes = leads.join(classes.withColumnRenamed("id", "lead"), "lead").select("id", "component", "lead")
-    else:
-        classes = classes.withColumn("lead", F.col("id"))
-    unlike = apart(raw.select("a", "b"), classes.drop("lead"))
+        classes = leads.join(classes.withColumnRenamed("id", "lead"), "lead").select("id", "component")
+        classes = stage(classes, "of-each", folder)
+    unlike = apart(raw.select("a", "b"), classes)
     open_keys = _either(met, unlike).select("key").distinct()
     members = met.join(open_keys, "key", "left_semi")
-    members = members.select("key", F.col("a").alias("id")).union(members.select("key", "b"))
+    members = members.select("key", F.explode(F.array("a", "b")).alias("id"))
     if leads is not None:
         members = members.join(leads, "id").select("key", F.col("lead").alias("id"))
-    members = members.distinct().join(classes.select("id", "component"), "id", "left")
+    members = members.distinct().join(classes, "id", "left")
     members = stage(members.select("key", "id", F.coalesce("component", "id").alias("c")), "members", folder)
     rows = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"rows_{i}") for i in (1, 2)]
     sizes = members.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"), *rows)
     # What is alike in a few places is so in many: of keys with the same rows (by 128 bits) one is opened.
     chosen = sizes.filter("x <> y AND n > 2").groupBy("n", "rows_1", "rows_2").agg(F.min("key").alias("key"))
     members = stage(members.join(chosen.select("key", "n"), "key"), "open", folder)
-    for label in ("members", *spent):
+    for label in ("first", "rest", "members", "of-each", *spent):
         drop_folder(met.sparkSession, f"{folder}/{label}")
     more = stage(opened(members, contents_of(members.select("id").distinct()), prepare, links_of, exact), "opened", folder)
     if not exact:
